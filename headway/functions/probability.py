@@ -100,6 +100,11 @@ def dist_columns(prefix: str = "") -> dict:
             "sigma": F.col(prefix + "ln_sigma"), "mean": F.col(prefix + "mean")}
 
 
+def computed_once(value: Column) -> Column:
+    """``value`` as a generated column: later filters read it instead of repeating its expression below."""
+    return F.explode_outer(F.array(value))
+
+
 def with_delay_cdf(df: DataFrame, points: dict[str, Column], prefix: str = "") -> DataFrame:
     """``df`` with P(delay <= x) for each named point x, by the distribution in the prefixed columns.
 
@@ -137,7 +142,7 @@ def with_p_connection(df: DataFrame, out: str, slack_sec: Column, arr_prefix: st
     points = {n: F.col(dep_prefix + q) + slack for n, q in zip(names, fv.QUANTILE_COLS)}
     out_df = _with_expectation(with_delay_cdf(df, points, arr_prefix), "_p", names)
     known = F.col(arr_prefix + "mean").isNotNull() & F.col(dep_prefix + "mean").isNotNull()
-    return out_df.withColumn(out, F.when(known, F.col("_p"))).drop("_p")
+    return out_df.select("*", computed_once(F.when(known, F.col("_p"))).alias(out)).drop("_p")
 
 
 def with_p_connection_clamped(df: DataFrame, out: str, slack_sec: Column, arr_prefix: str, dep_prefix: str) -> DataFrame:

@@ -120,8 +120,8 @@ def resolve_distributions(requests: DataFrame, levels: DataFrame) -> DataFrame:
         F.array(F.lit(0)))
     known = levels.where(F.col("level") != "global").select(
         F.col("level").alias("d_level"), *[F.col(k).alias(f"d_{k}") for k in KEYS],
-        F.struct(*DIST_COLS).alias("dist"), F.explode(copies).cast("long").alias("d_salt"))
-    same = [F.col("level") == F.col("d_level"), F.col("salt") == F.col("d_salt")]
+        F.struct(*DIST_COLS).alias("dist"), F.explode(copies).alias("d_salt"))
+    same = [F.col("level") == F.col("d_level"), F.col("salt") == F.col("d_salt").cast("long")]
     same += [F.col(f"k_{k}").eqNullSafe(F.col(f"d_{k}")) for k in KEYS]
     hit = F.struct("level", "dist")
     best = candidates.join(known, reduce(lambda a, b: a & b, same), "left").groupBy(*KEYS).agg(
