@@ -152,7 +152,8 @@ def with_p_connection_clamped(df: DataFrame, out: str, slack_sec: Column, arr_pr
     step = df.select("*", *[(F.col(dep_prefix + q) + slack_sec / 60.0).alias(f"_x{n}")
                             for n, q in zip(names, fv.QUANTILE_COLS)])
     step = step.select("*", *[clamped_cdf(F.col(f"_x{n}"), arr).alias(n) for n in names])
-    return _with_expectation(step, out, names).drop(*[f"_x{n}" for n in names])
+    step = _with_expectation(step, "_p", names).drop(*[f"_x{n}" for n in names])
+    return step.select("*", computed_once(F.col("_p")).alias(out)).drop("_p")
 
 
 def p_connection_normal(slack_sec: Column, avg_sec: Column, std_sec: Column) -> Column:

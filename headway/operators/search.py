@@ -6,6 +6,8 @@ max_walk_m)``. The search runs backwards from the destination: a label says "be
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -192,7 +194,8 @@ def latest_departures(requests: DataFrame, stop_times: DataFrame, edges: DataFra
 
 
 def scored_arrivals(stop_times: DataFrame, levels: DataFrame | None, requests: DataFrame,
-                    features: DataFrame | None = None) -> DataFrame:
+                    features: DataFrame | None = None,
+                    resolve: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Calls with the delay distribution of their stop, hour, line and each requested kind of day.
 
     Without levels the normal model of ``features`` is attached, where there is one.
@@ -204,13 +207,13 @@ def scored_arrivals(stop_times: DataFrame, levels: DataFrame | None, requests: D
     calls = calls.select("*", F.explode(kinds).alias("dow_bucket"))
     asked = calls.select(F.col("stop_id").alias("bpuic"), "hour_of_day", "dow_bucket", "line_text",
                          F.lit(None).cast("string").alias("product_id_clean")).distinct()
-    empty = asked.limit(0)
-    if levels is not None:
+    if resolve is not None:
+        resolved = resolve(asked)
+    elif levels is not None:
         resolved = ds.resolve_distributions(asked, levels)
     else:
         resolved = asked.select("*", *[F.lit(None).cast("string").alias("source_level")],
                                 *[F.lit(None).cast("double").alias(c) for c in ds.DIST_COLS])
-    del empty
     resolved = resolved.select(F.col("bpuic").alias("stop_id"), "hour_of_day", "dow_bucket",
                                F.col("line_text").alias("_line"), "source_level",
                                *[F.col(c).alias(f"d_{c}") for c in ds.DIST_COLS])
@@ -278,7 +281,8 @@ _DISTRIBUTION = [*[f"d_{c}" for c in ds.DIST_COLS], "avg_sec", "std_sec"]
 
 def _keep_confident(events: DataFrame, final_leg: str) -> DataFrame:
     """Alightings (label columns, call columns, ``slack``) with the new confidence, at least the requested one."""
-    events = pr.with_p_connection(events, "p_dist", F.col("slack"), "d_", "d_")
+    score = pr.with_p_connection_clamped if final_leg == "clamped" else pr.with_p_connection
+    events = score(events, "p_dist", F.col("slack"), "d_", "d_")
     if final_leg == "cdf":
         events = pr.with_delay_cdf(events, {"p_final": F.col("slack") / 60.0}, "d_")
         events = events.withColumn("p_dist", F.when((F.col("stop_id") == F.col("end_id")) & F.col("d_mean").isNotNull(),
@@ -382,13 +386,16 @@ def _raise_floor(labels: DataFrame, found: DataFrame) -> DataFrame:
 
 def ranked_routes(requests: DataFrame, stop_times: DataFrame, edges: DataFrame, levels: DataFrame | None,
                   features: DataFrame | None = None, max_boardings: int = 3, walk_limit: str = "total",
-                  final_leg: str = "connection") -> DataFrame:
+                  final_leg: str = "connection", resolve: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Up to ``max_routes`` itineraries per request with at least the requested confidence, latest departure first.
 
     Routes differ in their sequence of lines. Columns: query_id, start_id, end_id, q, option, dep_sec (``t``), conf,
     boardings, n_transfers, walk_m, lines, trail, path.
+
+    ``final_leg``: "connection" scores the arrival at the destination like a change of vehicle, "cdf" by the arrival
+    delay alone, "clamped" scores all without distribution tails. ``resolve`` replaces the level lookup.
     """
-    arrivals = cut_lineage(scored_arrivals(stop_times, levels, requests, features))
+    arrivals = cut_lineage(scored_arrivals(stop_times, levels, requests, features, resolve))
     calls = calls_by_day(stop_times)
     vehicle = destination_labels(requests)
     boarded = found = older_vehicle = older_any = None

@@ -2,7 +2,8 @@
 
 from importlib import import_module
 
-TOPICS = ("source_queries", "scalar_queries", "network_queries", "delay_queries", "search_queries")
+TOPICS = ("source_queries", "scalar_queries", "network_queries", "delay_queries", "search_queries", "route_queries",
+          "report_queries")
 
 
 def load_all() -> None:

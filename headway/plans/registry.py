@@ -36,4 +36,4 @@ def callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_texts() -> dict[str, str]:
     blocks = {**BLOCKS, **ORACLE_BLOCKS}
-    return {name: plain_tables(with_blocks(text, blocks)) for name, text in ORACLES.items()}
+    return {name: plain_tables(with_blocks(text, blocks, "AS MATERIALIZED")) for name, text in ORACLES.items()}

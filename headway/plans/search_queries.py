@@ -139,7 +139,7 @@ def latest_departure_rounds(t):
 
 
 @query("robust_labels", f"""
-SELECT query_id, stop_id, t, conf, CAST(boardings AS INTEGER) AS boardings, walk_m, next_label, trail
+SELECT DISTINCT query_id, stop_id, t, conf, CAST(boardings AS INTEGER) AS boardings, walk_m, next_label, trail
 FROM (SELECT {search_sql._STATE} FROM ox_own_v1 UNION ALL SELECT {search_sql._STATE} FROM ox_own_c0) v""")
 def robust_labels(t):
     p = shared.prepared(t)

@@ -81,7 +81,8 @@ FROM {labels} r JOIN {scored} a ON a.stop_id = r.stop_id AND a.dow_bucket = r.do
 JOIN ox_calls_by_day b ON b.trip_id = a.trip_id
 {f"JOIN {zone} z ON z.query_id = r.query_id AND z.stop_id = b.stop_id" if zone else ""}
 WHERE r.stop_id <> r.start_id AND a.arr <= r.t - {change} AND (a.day_mask & r.day_bit) <> 0 AND b.seq < a.seq
-  AND b.stop_id <> r.stop_id AND b.stop_id <> r.end_id AND b.dep <= a.arr"""
+  AND b.stop_id <> r.stop_id AND b.stop_id <> r.end_id AND b.dep <= a.arr
+  {"AND b.dep >= r.floor_sec" if zone else ""}"""
     certain = "q = 0 OR (stop_id <> end_id AND coalesce(next_label = label, false))"
     return f"""
 SELECT {_REQ}, b_stop AS stop_id, b_dep AS t, new_conf AS conf, boardings + 1 AS boardings, walk_m, label AS next_label,
@@ -134,7 +135,7 @@ FROM {requests} WHERE start_id <> end_id"""
     B[p + "f1"] = _ranked([p + "w0", p + "b1", p + "w1"])
     # Requests that have all their routes need no later label that leaves before the last of them.
     B[p + "u1"] = f"""
-SELECT u.* FROM (SELECT {_STATE} FROM {p}v1 UNION ALL SELECT {_STATE} FROM {p}w1 WHERE stop_id <> start_id) u
+SELECT u.*, coalesce(f.t, 0) AS floor_sec FROM (SELECT {_STATE} FROM {p}v1 UNION ALL SELECT {_STATE} FROM {p}w1 WHERE stop_id <> start_id) u
 LEFT JOIN {p}f1 f ON f.query_id = u.query_id AND f.option = f.max_routes WHERE f.t IS NULL OR u.t >= f.t"""
     B[p + "a1"] = _pareto(p + "u1", p + "a0")
     B[p + "zone"] = f"""

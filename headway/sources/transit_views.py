@@ -147,13 +147,13 @@ def needed(text: str, blocks: dict[str, str]) -> list[str]:
     return order
 
 
-def with_blocks(text: str, blocks: dict[str, str] | None = None) -> str:
+def with_blocks(text: str, blocks: dict[str, str] | None = None, keyword: str = "AS") -> str:
     """``text`` preceded by the blocks it uses as common table expressions."""
     blocks = BLOCKS if blocks is None else blocks
     names = needed(text, blocks)
     if not names:
         return text
-    return "WITH " + ",\n".join(f"{n} AS ({blocks[n]})" for n in names) + "\n" + text
+    return "WITH " + ",\n".join(f"{n} {keyword} ({blocks[n]})" for n in names) + "\n" + text
 
 
 _BASE = re.compile(r"\{([a-z]+)\}")

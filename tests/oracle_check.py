@@ -68,8 +68,11 @@ def compare(spark, con, folder, name, build, sql) -> tuple[bool, str]:
         return False, f"{note} types {odd}"
     a, b = normal(got_pd), normal(want_pd)
     if a != b:
-        only_a = [r for r in a if r not in set(b)][:3]
-        only_b = [r for r in b if r not in set(a)][:3]
+        in_a, in_b = set(a), set(b)
+        only_a = [r for r in a if r not in in_b]
+        only_b = [r for r in b if r not in in_a]
+        note += f" differ {len(only_a)}/{len(only_b)}"
+        only_a, only_b = only_a[:3], only_b[:3]
         return False, f"{note} {sorted(got_pd.columns)}\n   spark only {only_a}\n   sql only   {only_b}"
     return True, note
 
