@@ -13,17 +13,19 @@ Query = Callable[[TransitTables], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+# SQL that is too slow on whole tables: the tests run it on the smallest set.
+SLOW_ORACLES: dict[str, str] = {}
 # SQL-only blocks of the oracles, next to the shared views.
 ORACLE_BLOCKS: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+def query(name: str, sql: str | None = None, slow: bool = False) -> Callable[[Query], Query]:
     def keep(build: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name!r} is registered twice")
         QUERIES[name] = build
         if sql:
-            ORACLES[name] = sql
+            (SLOW_ORACLES if slow else ORACLES)[name] = sql
         return build
     return keep
 
@@ -34,6 +36,7 @@ def callables() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: bind(build) for name, build in QUERIES.items()}
 
 
-def oracle_texts() -> dict[str, str]:
+def oracle_texts(slow: bool = False) -> dict[str, str]:
     blocks = {**BLOCKS, **ORACLE_BLOCKS}
-    return {name: plain_tables(with_blocks(text, blocks, "AS MATERIALIZED")) for name, text in ORACLES.items()}
+    texts = {**ORACLES, **SLOW_ORACLES} if slow else ORACLES
+    return {name: plain_tables(with_blocks(text, blocks, "AS MATERIALIZED")) for name, text in texts.items()}

@@ -156,7 +156,7 @@ SELECT n, {rounded_sql(_RD, 9)} FROM (
   SELECT count(*) AS n, avg(a.success) AS success_robust, avg(b.success) AS success_plain,
          avg(CASE WHEN b.dep_sec >= a.dep_sec THEN 1e0 ELSE 0e0 END) AS share_plain_later
   FROM ox_ladder_success a JOIN ox_ladder_success b ON a.start_id = b.start_id AND a.end_id = b.end_id
-  WHERE a.q = 0.8e0 AND b.q = 0 AND a.option = 1 AND b.option = 1) x""")
+  WHERE a.q = 0.8e0 AND b.q = 0 AND a.option = 1 AND b.option = 1) x""", slow=True)
 def robust_vs_deterministic(t):
     return cal.robust_vs_deterministic(replayed(t, "ladder")).select("n", *rounded(_RD, 9))
 
@@ -167,7 +167,7 @@ SELECT start_id, end_id, bool_and(coalesce(dep <= before, true)) AS is_monotone,
        bool_and(CASE WHEN q = 1 THEN conf IS NULL OR conf >= 0.999e0 END) AS strict_ok
 FROM (SELECT *, lag(dep) OVER (PARTITION BY start_id, end_id ORDER BY q) AS before FROM (
   SELECT r.start_id, r.end_id, r.q, coalesce(f.t, -1) AS dep, f.conf FROM ox_requests_ladder r
-  LEFT JOIN ox_ladder_routes f ON f.query_id = r.query_id AND f.option = 1) a) b GROUP BY start_id, end_id""")
+  LEFT JOIN ox_ladder_routes f ON f.query_id = r.query_id AND f.option = 1) a) b GROUP BY start_id, end_id""", slow=True)
 def monotonicity_check(t):
     return cal.monotonicity_check(requests(t, "ladder"), routes(t, "ladder"))
 
@@ -333,7 +333,7 @@ LEFT JOIN ox_other_success o ON o.query_id = a.query_id WHERE abs(a.diff_min) >
 SELECT query_id, {rounded_sql(['our_success', 'other_success'], 9)}, CASE WHEN round(our_success - other_success, 9) > 0.02e0 THEN 'ours'
   WHEN round(our_success - other_success, 9) < -0.02e0 THEN 'other' ELSE 'tie' END AS winner FROM ox_duel""")
 def reliability_duel(t):
-    legs = _other(t)
+    legs = cut_lineage(_other(t))
     differ = qu.agreement_rows(best(t), legs.where(F.col("leg_no") == 1)).where(F.abs("diff_min") > 5).select("query_id")
     legs = legs.join(differ, "query_id", "left_semi")
     theirs = legs.select("query_id", F.lit(1).alias("option")).distinct()

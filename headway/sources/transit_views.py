@@ -179,7 +179,10 @@ class TransitTables:
     def sql(self, text: str) -> DataFrame:
         full = with_blocks(text)
         tables = {name: self.base(name) for name in set(_BASE.findall(full))}
-        return self.spark.sql(full, **tables)
+        literal = full.replace("{", "{{").replace("}", "}}")
+        for name in tables:
+            literal = literal.replace("{{" + name + "}}", "{" + name + "}")
+        return self.spark.sql(literal, **tables)
 
     def view(self, name: str) -> DataFrame:
         return self.sql(f"SELECT * FROM {name}")
