@@ -347,7 +347,7 @@ def reliability_duel(t):
 
 @query("tree_quantile_model")
 def tree_quantile_model(t):
-    tree = tree_model.fit(shared.train_part(t))
+    tree = tree_model.fit(cut_lineage(shared.train_part(t)))
     return tree.leaves.select("leaf", "n", *rounded(["mean", "std", *fv.QUANTILE_COLS]))
 
 
@@ -361,7 +361,7 @@ def p_connection_grid(t):
 @query("model_comparison")
 def model_comparison(t):
     p = shared.prepared(t)
-    tree = tree_model.fit(shared.train_part(t))
+    tree = tree_model.fit(cut_lineage(shared.train_part(t)))
     second = cut_lineage(search.ranked_routes(
         search.as_requests(requests(t, "own").drop("max_routes"), max_routes=1), p.stop_times, p.walking_edges, None, max_boardings=2,
         final_leg="clamped", resolve=lambda asked: tree_model.resolve(asked, tree)))
