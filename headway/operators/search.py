@@ -146,10 +146,10 @@ def one_transfer_itineraries(requests: DataFrame, stop_times: DataFrame, edges:
 # ---- latest departures, by schedule only -------------------------------------------------------------------------
 
 
-def latest_departures(requests: DataFrame, stop_times: DataFrame, edges: DataFrame, max_boardings: int = 3) -> DataFrame:
-    """Latest time to be at each stop per request and number of boardings used (at most ``max_boardings``).
+def latest_departures(requests: DataFrame, stop_times: DataFrame, edges: DataFrame, max_boardings: int | None = None) -> DataFrame:
+    """Latest time to be at each stop per request and number of boardings used.
 
-    One round per boarding. Only labels that improved are followed, and only over arrivals that the previous label of
+    One round per boarding, until no label improves (or ``max_boardings`` are used, if given). Only labels that improved are followed, and only over arrivals that the previous label of
     the same stop did not already reach, so nothing is expanded twice.
     """
     calls = calls_by_day(stop_times).withColumn("block", _block(F.col("arr")))
@@ -160,8 +160,8 @@ def latest_departures(requests: DataFrame, stop_times: DataFrame, edges: DataFra
                          sc.walk_seconds_search(F.col("distance_m")).alias("walk_sec"))
     vehicle = requests.select("query_id", F.col("end_id").alias("stop_id"), F.col("deadline_sec").alias("t"))
     reached = vehicle.select("query_id", "stop_id", F.lit(None).cast("long").alias("t")).limit(0)
-    result = None
-    for boardings in range(max_boardings + 1):
+    result, boardings = None, 0
+    while True:
         walked = vehicle.join(walks, "stop_id").join(ask.select("query_id", "end_id", "max_walk_m"), "query_id").where(
             (F.col("distance_m") <= F.col("max_walk_m")) & (F.col("a_stop_id") != F.col("end_id"))
         ).select("query_id", F.col("a_stop_id").alias("stop_id"), (F.col("t") - F.col("walk_sec")).alias("t"))
@@ -173,8 +173,9 @@ def latest_departures(requests: DataFrame, stop_times: DataFrame, edges: DataFra
         found = better.select("query_id", "stop_id", F.lit(boardings).alias("boardings"), "t")
         result = found if result is None else result.unionByName(found)
         reached = result.groupBy("query_id", "stop_id").agg(F.max("t").alias("t"))
-        if boardings == max_boardings:
+        if boardings == max_boardings or better.isEmpty():
             break
+        boardings += 1
         change = F.when(F.col("stop_id") == F.col("end_id"), 0).otherwise(F.col("min_transfer_secs"))
         open_labels = better.join(ask, "query_id").withColumns(
             {"latest": F.col("t") - change, "after": F.coalesce(F.col("t_before") - change, F.lit(-1).cast("long"))})
@@ -308,6 +309,16 @@ def _boardings(arrivals: DataFrame) -> DataFrame:
     return arrivals.select("trip_id", F.col("seq").alias("b_seq"), F.col("stop_id").alias("b_stop"), F.col("dep").alias("b_dep"))
 
 
+def _best_alightings(events: DataFrame) -> DataFrame:
+    """Of the labels that one call of a vehicle serves in a round, those with more confidence or less walking than others.
+
+    All of them lead to the same boardings at the same times, so the others would be dominated at each of these.
+    """
+    best_first = Window.partitionBy("query_id", "trip_id", "seq").orderBy(F.desc("conf"), "walk_m", "trail")
+    least = F.min("walk_m").over(best_first.rowsBetween(Window.unboundedPreceding, -1))
+    return events.withColumn("_least", least).where(F.col("_least").isNull() | (F.col("walk_m") < F.col("_least"))).drop("_least")
+
+
 def ride_back(labels: DataFrame, arrivals: DataFrame, calls: DataFrame, final_leg: str = "connection") -> DataFrame:
     """Labels at every stop where a vehicle can be boarded that alights in time for a labelled stop."""
     open_labels = labels.where(F.col("stop_id") != F.col("start_id")).withColumn("latest", F.col("t") - _change_secs())
@@ -317,7 +328,7 @@ def ride_back(labels: DataFrame, arrivals: DataFrame, calls: DataFrame, final_le
         _runs() & F.col("arr").between(F.col("floor_sec"), F.col("latest")))
     events = events.withColumn("slack", F.col("latest") - F.col("arr")).select(
         *_LABEL, *_ARRIVAL, "slack", *_DISTRIBUTION)
-    events = _keep_confident(events, final_leg)
+    events = _best_alightings(_keep_confident(events, final_leg))
     boarded = events.join(_boardings(calls), "trip_id").where(
         (F.col("b_seq") < F.col("seq")) & (F.col("b_stop") != F.col("stop_id")) & (F.col("b_stop") != F.col("end_id"))
         & F.col("b_dep").between(F.col("floor_sec"), F.col("arr")))
@@ -385,10 +396,11 @@ def _raise_floor(labels: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def ranked_routes(requests: DataFrame, stop_times: DataFrame, edges: DataFrame, levels: DataFrame | None,
-                  features: DataFrame | None = None, max_boardings: int = 3, walk_limit: str = "total",
+                  features: DataFrame | None = None, max_boardings: int | None = None, walk_limit: str = "total",
                   final_leg: str = "connection", resolve: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Up to ``max_routes`` itineraries per request with at least the requested confidence, latest departure first.
 
+    One round per boarding, until no label is left to follow; ``max_boardings`` is for callers who want fewer vehicles.
     Routes differ in their sequence of lines. Columns: query_id, start_id, end_id, q, option, dep_sec (``t``), conf,
     boardings, n_transfers, walk_m, lines, trail, path.
 
@@ -399,7 +411,8 @@ def ranked_routes(requests: DataFrame, stop_times: DataFrame, edges: DataFrame,
     calls = calls_by_day(stop_times)
     vehicle = destination_labels(requests)
     boarded = found = older_vehicle = older_any = None
-    for boardings in range(max_boardings + 1):
+    boardings = 0
+    while True:
         if boarded is not None:
             found = _best_per_sequence(found.unionByName(_at_start(boarded)))
             away = _raise_floor(boarded.where(F.col("stop_id") != F.col("start_id")), found)
@@ -412,8 +425,11 @@ def ranked_routes(requests: DataFrame, stop_times: DataFrame, edges: DataFrame,
             break
         away = _raise_floor(vehicle.unionByName(walked.where(F.col("stop_id") != F.col("start_id"))), found)
         labels = cut_lineage(undominated(away, class_column="next_label", older=older_any))
+        if labels.isEmpty():
+            break
         older_any = labels if older_any is None else older_any.unionByName(labels)
-        if boardings + 1 == max_boardings:
+        boardings += 1
+        if boardings == max_boardings:
             boarded = cut_lineage(ride_back_to_start(labels, arrivals, calls, edges, final_leg))
         else:
             boarded = cut_lineage(ride_back(labels, arrivals, calls, final_leg))

@@ -363,7 +363,7 @@ def model_comparison(t):
     p = shared.prepared(t)
     tree = tree_model.fit(cut_lineage(shared.train_part(t)))
     second = cut_lineage(search.ranked_routes(
-        search.as_requests(requests(t, "own").drop("max_routes"), max_routes=1), p.stop_times, p.walking_edges, None, max_boardings=2,
+        search.as_requests(requests(t, "own").drop("max_routes"), max_routes=1), p.stop_times, p.walking_edges, None,
         final_leg="clamped", resolve=lambda asked: tree_model.resolve(asked, tree)))
     changes = lg.transfers(lg.collapse_legs(lg.route_legs(second)))
     replay = lg.replayed_success(second, changes, shared.holdout_part(t))

@@ -209,6 +209,6 @@ SELECT query_id, CASE WHEN arr > deadline_sec THEN 'too late' WHEN round(CASE WH
   count(*) AS n FROM ox_audit GROUP BY ALL""")
 def feasibility_audit(t):
     p, ask = shared.prepared(t), requests(t, "own")
-    latest = search.latest_departures(ask, p.stop_times, p.walking_edges, max_boardings=2)
+    latest = search.latest_departures(ask, p.stop_times, p.walking_edges)
     scored = search.scored_arrivals(p.stop_times, p.delay_levels, ask)
     return lg.feasibility_audit(ask, p.connections, latest, scored)

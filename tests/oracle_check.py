@@ -21,7 +21,7 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 def session():
     from pyspark.sql import SparkSession
 
-    spark = (SparkSession.builder.master("local[8]").appName("oracle-check")
+    spark = (SparkSession.builder.master("local[4]").appName("oracle-check")
              .config("spark.ui.enabled", "false").config("spark.sql.shuffle.partitions", "8")
              .config("spark.driver.memory", "12g").config("spark.sql.session.timeZone", "UTC").getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
