@@ -1,4 +1,4 @@
-"""Settings passed to operators; the caller owns the SparkSession."""
+"""Settings passed to operators; the caller owns the SparkSession, and ``tune_session`` sets four options of it."""
 
 from __future__ import annotations
 
@@ -7,6 +7,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .functions.fixed_values import MIN_OBSERVATIONS
+
 
 @dataclass(frozen=True)
 class NetworkConfig:
@@ -20,13 +22,21 @@ class NetworkConfig:
     walk_speed_m_per_min: float = 50.0
     min_transfer_secs: int = 120
     artifact_root: str | None = None
+    split_day: str | None = None
+    min_observations: int = MIN_OBSERVATIONS
+    region_actuals_only: bool = True
 
     def artifact_path(self) -> str:
-        """Folder of the prepared tables; every setting that changes them is in the name."""
+        """Folder of the prepared tables; every setting that changes them is in the name.
+
+        Without ``pub_date`` the name can't tell one publication from the next: take the configuration from
+        ``snapshots.with_resolved_date`` where new ones may appear.
+        """
         if not self.artifact_root:
             raise ValueError("artifact_root is not set")
         parts = (sorted(self.region_uuids), self.pub_date, self.start_date, self.end_date,
-                 float(self.max_walk_m), float(self.walk_speed_m_per_min))
+                 float(self.max_walk_m), float(self.walk_speed_m_per_min), self.split_day, self.min_observations,
+                 self.region_actuals_only)
         tag = hashlib.sha256(repr(parts).encode()).hexdigest()[:16]
         return f"{self.artifact_root.rstrip('/')}/prepared-{tag}"
 

@@ -111,21 +111,33 @@ def _checks(parts: DataFrame, requests: DataFrame) -> DataFrame:
         "hour_of_day": sc.service_hour(F.col("alight_sec")), "product_id_clean": F.lit(None).cast("string")})
 
 
-def confidence_breakdown(parts: DataFrame, requests: DataFrame, levels: DataFrame) -> DataFrame:
+def _normal_model(rows: DataFrame, features: DataFrame | None, stop: str, hour: Column) -> DataFrame:
+    """Mean and deviation of the delay at the stop and hour, in seconds; NULL without features."""
+    if features is None:
+        return rows.withColumns({"avg_sec": F.lit(None).cast("double"), "std_sec": F.lit(None).cast("double")})
+    normal = features.select(F.col("bpuic").alias("_stop"), F.col("hour_of_day").alias("_hour"), (F.col("hist_avg_delay_mins") * 60.0).alias("avg_sec"),
+                             (F.col("hist_std_delay_mins") * 60.0).alias("std_sec"))
+    return rows.join(normal, (F.col(stop) == F.col("_stop")) & (hour == F.col("_hour")), "left").drop("_stop", "_hour")
+
+
+def confidence_breakdown(parts: DataFrame, requests: DataFrame, levels: DataFrame, features: DataFrame | None = None) -> DataFrame:
     """Every change and the final arrival with its probability and the product so far.
 
+    The probability comes from the delay distribution, else from the normal model of ``features``, else it is 1.
+
     The slack is the plain time between two events: it leaves out the minimum change time that the search sets aside.
     """
     rows = _checks(parts, requests)
     rows = ds.attach_distribution(rows, ds.resolve_distributions(rows, levels), "d_", {k: k for k in ds.KEYS})
-    rows = pr.with_p_connection(rows, "p_known", F.col("slack_sec"), "d_", "d_").withColumn("p", F.coalesce("p_known", F.lit(1.0)))
+    rows = _normal_model(pr.with_p_connection(rows, "p_known", F.col("slack_sec"), "d_", "d_"), features, "bpuic", F.col("hour_of_day"))
+    rows = rows.withColumn("p", F.coalesce("p_known", pr.p_connection_normal(F.col("slack_sec"), F.col("avg_sec"), F.col("std_sec"))))
     so_far = Window.partitionBy(*ROUTE).orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return rows.withColumn("p_so_far", F.product("p").over(so_far)).select(
         *ROUTE, "part", "what", "bpuic", "alight_sec", "slack_sec", "p", "p_so_far")
 
 
-def route_confidence(routes: DataFrame, parts: DataFrame, requests: DataFrame, levels: DataFrame) -> DataFrame:
-    product = confidence_breakdown(parts, requests, levels).groupBy(*ROUTE).agg(F.product("p").alias("recomputed"))
+def route_confidence(routes: DataFrame, parts: DataFrame, requests: DataFrame, levels: DataFrame, features: DataFrame | None = None) -> DataFrame:
+    product = confidence_breakdown(parts, requests, levels, features).groupBy(*ROUTE).agg(F.product("p").alias("recomputed"))
     return routes.join(product, list(ROUTE), "left").withColumn("recomputed", F.coalesce("recomputed", F.lit(1.0)))
 
 
@@ -210,12 +222,12 @@ def feasibility_audit(requests: DataFrame, rides: DataFrame, latest: DataFrame,
                              "arr_stop_id", F.col("dep_time_sec").cast("long").alias("dep"), F.col("arr_time_sec").cast("long").alias("arr"),
                              sc.dow_bucket_of_name(day).alias("dow_bucket"))
     at = scored.select("trip_id", F.col("stop_id").alias("arr_stop_id"), "arr", "dow_bucket",
-                       *[F.col(f"d_{c}") for c in ds.DIST_COLS]).dropDuplicates(["trip_id", "arr_stop_id", "arr", "dow_bucket"])
+                       *[F.col(f"d_{c}") for c in ds.DIST_COLS], "avg_sec", "std_sec").dropDuplicates(["trip_id", "arr_stop_id", "arr", "dow_bucket"])
     rows = landing.join(at, ["trip_id", "arr_stop_id", "arr", "dow_bucket"], "left")
     best = latest.groupBy("query_id", "stop_id").agg(F.max("t").alias("best"))
     rows = rows.join(best.withColumnRenamed("stop_id", "dep_stop_id"), ["query_id", "dep_stop_id"], "left")
     rows = pr.with_p_connection(rows, "p", F.col("deadline_sec") - F.col("arr"), "d_", "d_")
-    p = F.when(F.col("q") == 0, 1.0).otherwise(F.coalesce("p", F.lit(1.0)))
+    p = pr.p_transfer(F.col("q"), F.col("p"), pr.p_connection_normal(F.col("deadline_sec") - F.col("arr"), F.col("avg_sec"), F.col("std_sec")))
     reason = (
         F.when(F.col("arr") > F.col("deadline_sec"), "too late").when(F.round(p, 9) < F.col("q"), "confidence below Q")
         .when(F.col("best").isNull(), "unreachable").when(F.col("dep") < F.col("best"), "not better").otherwise("accepted"))

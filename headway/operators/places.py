@@ -66,12 +66,12 @@ def _cell(metres: Column, size: float) -> Column:
 
 
 def walking_edges(stops: DataFrame, max_walk_m: float = 500.0, walk_speed_m_per_min: float = 50.0) -> DataFrame:
-    """Directed pairs of different stops at most ``max_walk_m`` apart.
+    """Directed pairs of different stops at most ``max_walk_m`` apart; none if no walking is allowed.
 
     Stops are put into cubes of that size on the sphere, so partners lie in neighbouring cubes: an equi join on the
     cube instead of a comparison of every pair, valid at any latitude and across the date line.
     """
-    size = float(max_walk_m)
+    size = float(max_walk_m) or 1.0
     lat, lon = F.radians("stop_lat"), F.radians("stop_lon")
     radius = F.lit(fv.EARTH_RADIUS_M)
     cells = stops.select(
@@ -91,7 +91,7 @@ def walking_edges(stops: DataFrame, max_walk_m: float = 500.0, walk_speed_m_per_
         a.join(b, ["cx", "cy", "cz"])
         .where(F.col("a_stop_id") != F.col("b_stop_id"))
         .select("a_stop_id", "b_stop_id", metres.alias("distance_m"))
-        .where(F.col("distance_m") <= size)
+        .where((F.col("distance_m") <= float(max_walk_m)) & F.lit(max_walk_m > 0))
         .withColumn("walk_time_sec", sc.walk_seconds_stored(F.col("distance_m"), walk_speed_m_per_min))
     )
 

@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from ..config import NetworkConfig
-from ..functions import fixed_values as fv
 from ..sources import artifacts, geometry, snapshots
 from . import actuals as ac
 from . import distributions as ds
@@ -35,11 +34,11 @@ class RawTables:
                          spark.table(shapes_table), spark.table(f"{catalog}.actuals"))
 
 
-def prepare_network(raw: RawTables, cfg: NetworkConfig, region_actuals_only: bool = True,
-                    split_day: str | None = None, min_observations: int = fv.MIN_OBSERVATIONS) -> artifacts.PreparedNetwork:
+def prepare_network(raw: RawTables, cfg: NetworkConfig) -> artifacts.PreparedNetwork:
     """Write all tables of ``cfg``; recorded arrivals only when it names a date window.
 
-    With ``split_day`` the distribution levels are trained on the days before it.
+    With ``split_day`` the distribution levels are trained on the days before it. The tables count as prepared only
+    when the last one is written.
     """
     if not cfg.region_uuids:
         raise ValueError("region_uuids must name at least one region")
@@ -47,19 +46,22 @@ def prepare_network(raw: RawTables, cfg: NetworkConfig, region_actuals_only: boo
     def keep(name: str, df: DataFrame) -> DataFrame:
         return artifacts.write_and_read(df, cfg, name)
 
+    artifacts.mark(raw.stops.sparkSession, cfg, ())
     edges = geometry.ring_edges(snapshots.shapes_by_uuid(raw.shapes, cfg.region_uuids))
     stops = keep("stops", places.stops_in_regions(raw.stops, edges))
     walks = keep("walking_edges", places.walking_edges(stops, cfg.max_walk_m, cfg.walk_speed_m_per_min))
     calls = keep("stop_times", timetable.region_stop_times(raw.stop_times, raw.trips, raw.calendar, raw.routes, stops))
     rides = keep("connections", timetable.connections(calls))
     if raw.actuals is None or not (cfg.start_date or cfg.end_date):
+        artifacts.mark(raw.stops.sparkSession, cfg, artifacts.CORE)
         return artifacts.PreparedNetwork(stops, walks, calls, rides)
     rows = snapshots.actuals_between(raw.actuals, cfg.start_date, cfg.end_date)
-    if region_actuals_only:
+    if cfg.region_actuals_only:
         rows = ac.actuals_in_region(rows, stops)
     clean = keep("actuals", ac.clean_actuals(rows, raw.routes))
     training = keep("delay_training", ac.delay_training(clean))
     features = keep("delay_features", ac.hist_delay_features(training))
-    past = snapshots.split_by_day(training, split_day)[0] if split_day else training
-    levels = keep("delay_levels", ds.trusted_levels(ds.delay_levels(past), min_observations))
+    past = snapshots.split_by_day(training, cfg.split_day)[0] if cfg.split_day else training
+    levels = keep("delay_levels", ds.trusted_levels(ds.delay_levels(past), cfg.min_observations))
+    artifacts.mark(raw.stops.sparkSession, cfg, artifacts.CORE + artifacts.OPTIONAL)
     return artifacts.PreparedNetwork(stops, walks, calls, rides, clean, training, features, levels)

@@ -38,18 +38,21 @@ def validate_requests(requests: DataFrame, stops: DataFrame) -> DataFrame:
     return rows.withColumn("status", status).drop("_start", "_end").select(*requests.columns, "status")
 
 
-def paired_requests(stops: DataFrame, buckets: int = 4, seed: str = "od") -> DataFrame:
+def paired_requests(stops: DataFrame, buckets: int | None = None, seed: str = "od") -> DataFrame:
     """Reproducible random origin-destination pairs: every stop is once an origin.
 
-    Stops are ordered by a digest inside digest buckets (take more buckets for more stops, up to 256) and each stop's
-    destination is the next one; day and confidence come from other digits.
+    Stops are ordered by a digest inside digest buckets (about 1,000 stops each unless ``buckets`` is given) and each
+    stop's destination is the next one; day and confidence come from other digits.
     """
+    if buckets is None:
+        buckets = max(4, -(-stops.count() // 1000))
     digest = F.md5(F.concat(F.lit(seed), F.col("stop_id").cast("string")))
 
     def digit(start: int) -> Column:
         return F.conv(F.substring("digest", start, 2), 16, 10).cast("int")
 
-    rows = stops.select("stop_id", digest.alias("digest")).withColumn("bucket", digit(1) % buckets)
+    rows = stops.select("stop_id", digest.alias("digest")).withColumn(
+        "bucket", digit(1) % buckets if buckets <= 256 else F.conv(F.substring("digest", 7, 8), 16, 10).cast("long") % buckets)
     ordered = Window.partitionBy("bucket").orderBy("digest")
     whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = rows.withColumn("end_id", F.coalesce(F.lead("stop_id").over(ordered), F.first("stop_id").over(whole)))

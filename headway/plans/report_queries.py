@@ -187,25 +187,41 @@ _COVER = ["coverage", "mean_min", "median_min", "p05_min", "p95_min", "mean_walk
 
 
 @query("coverage_summary", f"""
-SELECT n, n_found, transfers_0, transfers_1, {rounded_sql(_COVER)} FROM (
+SELECT n, n_found, {rounded_sql(_COVER)} FROM (
   SELECT count(*) AS n, count(dep_sec) AS n_found, avg(CASE WHEN dep_sec IS NOT NULL THEN 1e0 ELSE 0e0 END) AS coverage, avg(travel_min) AS mean_min,
          quantile_cont(travel_min, 0.5) AS median_min, quantile_cont(travel_min, 0.05) AS p05_min, quantile_cont(travel_min, 0.95) AS p95_min,
-         count(CASE WHEN n_transfers = 0 THEN 1 END) AS transfers_0, count(CASE WHEN n_transfers = 1 THEN 1 END) AS transfers_1,
          avg(walk_m) AS mean_walk_m FROM ox_best) c""")
 def coverage_summary(t):
-    return qu.coverage_summary(best(t)).select("n", "n_found", "transfers_0", "transfers_1", *rounded(_COVER))
+    return qu.coverage_summary(best(t)).select("n", "n_found", *rounded(_COVER))
 
 
-@query("plausibility_ratio", f"""
-SELECT query_id, round(d, 4) + 0e0 AS distance_m, round(travel_min, 6) + 0e0 AS travel_min,
-       round(travel_min / greatest(d / 333e0, 1e0), 6) + 0e0 AS ratio, travel_min / greatest(d / 333e0, 1e0) <= 10 AS plausible
+@query("transfer_histogram", "SELECT n_transfers, count(*) AS n FROM ox_best WHERE dep_sec IS NOT NULL GROUP BY n_transfers")
+def transfer_histogram(t):
+    return qu.transfer_histogram(best(t))
+
+
+B["ox_ratios"] = f"""
+SELECT query_id, d AS distance_m, travel_min, travel_min / greatest(d / 333e0, 1e0) AS ratio
 FROM (SELECT b.query_id, b.travel_min, {haversine_sql('a.stop_lat', 'a.stop_lon', 'z.stop_lat', 'z.stop_lon')} AS d
-      FROM ox_best b JOIN ox_region_stops a ON a.stop_id = b.start_id JOIN ox_region_stops z ON z.stop_id = b.end_id WHERE b.dep_sec IS NOT NULL) x""")
+      FROM ox_best b JOIN ox_region_stops a ON a.stop_id = b.start_id JOIN ox_region_stops z ON z.stop_id = b.end_id WHERE b.dep_sec IS NOT NULL) x"""
+
+
+@query("plausibility_ratio", f"""
+SELECT query_id, round(distance_m, 4) + 0e0 AS distance_m, {rounded_sql(["travel_min", "ratio"])}, ratio <= 10 AS plausible FROM ox_ratios""")
 def plausibility_ratio(t):
     return qu.plausibility(best(t), shared.prepared(t).stops).select(
         "query_id", *rounded(["distance_m"], 4), *rounded(["travel_min", "ratio"]), "plausible")
 
 
+@query("plausibility_summary", f"""
+SELECT n, {rounded_sql(["mean_ratio", "median_ratio"])}, n_outliers FROM (
+  SELECT count(*) AS n, avg(ratio) AS mean_ratio, quantile_cont(ratio, 0.5) AS median_ratio, count(CASE WHEN ratio > 10 THEN 1 END) AS n_outliers
+  FROM ox_ratios) s""")
+def plausibility_summary(t):
+    return qu.plausibility_summary(qu.plausibility(best(t), shared.prepared(t).stops)).select(
+        "n", *rounded(["mean_ratio", "median_ratio"]), "n_outliers")
+
+
 @query("travel_time_bounds", """
 SELECT start_id, end_id, 0e0 AS lo_min, 10e0 + 20 * (start_id % 3) AS hi_min, round(travel_min, 6) + 0e0 AS travel_min,
        CASE WHEN travel_min IS NULL THEN 'no route' WHEN travel_min BETWEEN 0 AND 10e0 + 20 * (start_id % 3) THEN 'as expected' ELSE 'outside' END AS verdict

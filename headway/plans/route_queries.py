@@ -122,7 +122,7 @@ FROM ox_own_checked d"""
 SELECT {_PART}, what, bpuic, alight_sec, slack_sec, round(p, 9) + 0e0 AS p,
        round(product(p) OVER (PARTITION BY query_id, option ORDER BY part), 9) + 0e0 AS p_so_far FROM ox_own_scored_checks""")
 def confidence_breakdown(t):
-    out = lg.confidence_breakdown(parts(t), requests(t, "own"), shared.prepared(t).delay_levels)
+    out = lg.confidence_breakdown(parts(t), requests(t, "own"), shared.prepared(t).delay_levels, shared.prepared(t).delay_features)
     return out.select("query_id", "option", "part", "what", "bpuic", "alight_sec", "slack_sec", *rounded(["p", "p_so_far"], 9))
 
 
@@ -130,7 +130,7 @@ def confidence_breakdown(t):
 SELECT r.query_id, CAST(r.option AS INTEGER) AS option, r.conf, round(coalesce(c.p, 1e0), 9) + 0e0 AS recomputed
 FROM ox_own_routes r LEFT JOIN (SELECT query_id, option, product(p) AS p FROM ox_own_scored_checks GROUP BY ALL) c USING (query_id, option)""")
 def route_confidence(t):
-    out = lg.route_confidence(routes(t), parts(t), requests(t, "own"), shared.prepared(t).delay_levels)
+    out = lg.route_confidence(routes(t), parts(t), requests(t, "own"), shared.prepared(t).delay_levels, shared.prepared(t).delay_features)
     return out.select("query_id", "option", "conf", *rounded(["recomputed"], 9))
 
 
@@ -210,5 +210,5 @@ SELECT query_id, CASE WHEN arr > deadline_sec THEN 'too late' WHEN round(CASE WH
 def feasibility_audit(t):
     p, ask = shared.prepared(t), requests(t, "own")
     latest = search.latest_departures(ask, p.stop_times, p.walking_edges)
-    scored = search.scored_arrivals(p.stop_times, p.delay_levels, ask)
+    scored = search.scored_arrivals(p.stop_times, p.delay_levels, ask, p.delay_features)
     return lg.feasibility_audit(ask, p.connections, latest, scored)

@@ -123,7 +123,9 @@ def temporal_holdout_split(t):
     return snapshots.split_day_counts(shared.clean(t), shared.SPLIT)
 
 
-@query("capped_training_sample")
+@query("capped_training_sample", """
+SELECT * EXCLUDE (dow_bucket) FROM ox_training WHERE bpuic IN (SELECT stop_id FROM ox_region_stops) AND CAST('0x' || substr(md5(concat_ws('|', CAST(operating_day AS VARCHAR),
+  CAST(trip_id AS VARCHAR), CAST(bpuic AS VARCHAR), CAST(hour_of_day AS VARCHAR), CAST(arr_delay_sec AS VARCHAR), '42')), 1, 8) AS BIGINT) % 1000000 < 50000""")
 def capped_training_sample(t):
     from ..operators.actuals import actuals_in_region
     rows = actuals_in_region(shared.training(t), shared.region_stops(t))

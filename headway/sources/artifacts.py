@@ -35,37 +35,43 @@ def write_and_read(df: DataFrame, cfg: NetworkConfig, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def mark(spark: SparkSession, cfg: NetworkConfig, names: tuple[str, ...]) -> None:
+    """Names the tables that are complete: none before a preparation writes, all of them after its last table."""
+    spark.createDataFrame([(n,) for n in names], "name string").coalesce(1).write.mode("overwrite").parquet(f"{cfg.artifact_path()}/complete")
+
+
 def write_prepared(prepared: PreparedNetwork, cfg: NetworkConfig) -> None:
-    for field in fields(prepared):
-        df = getattr(prepared, field.name)
-        if df is not None:
-            write_and_read(df, cfg, field.name)
+    present = [f.name for f in fields(prepared) if getattr(prepared, f.name) is not None]
+    spark = prepared.stops.sparkSession
+    mark(spark, cfg, ())
+    for name in present:
+        write_and_read(getattr(prepared, name), cfg, name)
+    mark(spark, cfg, tuple(present))
 
 
-def read_prepared(spark: SparkSession, cfg: NetworkConfig) -> PreparedNetwork:
-    base = cfg.artifact_path()
+def complete_tables(spark: SparkSession, cfg: NetworkConfig) -> set[str]:
+    """Names that the marker holds; none if there is no marker. Other errors are not taken for a missing one."""
+    try:
+        marker = spark.read.schema("name string").parquet(f"{cfg.artifact_path()}/complete")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return set()
+    return {r["name"] for r in marker.collect()}
 
-    def read(name: str) -> DataFrame | None:
-        try:
-            return spark.read.parquet(f"{base}/{name}")
-        except AnalysisException as error:
-            if name in CORE:
-                raise RuntimeError(f"no prepared table {name!r} under {base}: run the preparation first") from error
-            return None
 
-    return PreparedNetwork(**{name: read(name) for name in CORE + OPTIONAL})
+def read_prepared(spark: SparkSession, cfg: NetworkConfig) -> PreparedNetwork:
+    base, names = cfg.artifact_path(), complete_tables(spark, cfg)
+    if not set(CORE) <= names:
+        raise RuntimeError(f"no prepared tables under {base}: run the preparation first")
+    return PreparedNetwork(**{name: spark.read.parquet(f"{base}/{name}") for name in CORE + OPTIONAL if name in names})
 
 
 def prepare_or_load(spark: SparkSession, cfg: NetworkConfig, build: Callable[[], PreparedNetwork],
                     force: bool = False) -> PreparedNetwork:
-    """Prepared tables from disk if a row can be read from each core table, else those that ``build`` has written."""
-    if not force:
-        try:
-            found = read_prepared(spark, cfg)
-            for name in CORE:
-                getattr(found, name).limit(1).count()
-            return found
-        except Exception:  # any unreadable artifact means rebuilding
-            log.info("prepared tables under %s are not usable, building them", cfg.artifact_path())
+    """Prepared tables from disk if their marker says that all were written, else those that ``build`` has written."""
+    if not force and set(CORE) <= complete_tables(spark, cfg):
+        return read_prepared(spark, cfg)
+    log.info("no complete tables under %s, building them", cfg.artifact_path())
     build()
     return read_prepared(spark, cfg)

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import NetworkConfig
@@ -20,6 +21,14 @@ def latest_snapshot(df: DataFrame, pub_date: str | None = None) -> DataFrame:
     return df.where(F.col("pub_date") == wanted)
 
 
+def with_resolved_date(spark: SparkSession, catalog: str, cfg: NetworkConfig, table: str = "stops") -> NetworkConfig:
+    """``cfg`` with the latest publication's date where it names none, so that prepared tables carry that date."""
+    if cfg.pub_date:
+        return cfg
+    latest = latest_value(spark.table(f"{catalog}.{table}"), "pub_date").first()[0]
+    return replace(cfg, pub_date=None if latest is None else str(latest))
+
+
 def load_snapshot(spark: SparkSession, catalog: str, table: str, cfg: NetworkConfig) -> DataFrame:
     """One of stops, stop_times, trips, routes, calendar, calendar_dates; each picks its own latest date."""
     return latest_snapshot(spark.table(f"{catalog}.{table}"), cfg.pub_date)
@@ -68,13 +77,27 @@ def split_day_counts(df: DataFrame, split: str) -> DataFrame:
                   F.count(F.when(day >= cut, 1)).alias("n_holdout_rows"))
 
 
+SLOTS = 1_000_000
+
+
+def _slot(keys: Sequence[str], seed: int) -> Column:
+    """Slot of a row by the md5 of its key values as text, which any engine can compute."""
+    text = F.concat_ws("|", *[F.col(k).cast("string") for k in keys], F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % SLOTS
+
+
 def hash_sample(df: DataFrame, keys: Sequence[str], fraction: float, seed: int = 42) -> DataFrame:
     """Reproducible sample: a row is in or out by the hash of its key, whatever the partitioning."""
-    slot = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), F.lit(1_000_000))
-    return df.where(slot < int(round(fraction * 1_000_000)))
+    return df.where(_slot(keys, seed) < int(round(fraction * SLOTS)))
 
 
 def capped_sample(df: DataFrame, keys: Sequence[str], fraction: float, max_rows: int, seed: int = 42) -> DataFrame:
-    """:func:`hash_sample` with at most ``max_rows`` rows; the rows kept are those with the smallest hash."""
-    order = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed + 1))
-    return hash_sample(df, keys, fraction, seed).orderBy(order, *keys).limit(max_rows)
+    """:func:`hash_sample` with at most ``max_rows`` rows: as many whole slots of another hash as fit, lowest first.
+
+    Only counts per slot are gathered, a million at the most; the rows are filtered where they are.
+    """
+    sample, slot = hash_sample(df, keys, fraction, seed), _slot(keys, seed + 1)
+    up_to = F.sum("count").over(Window.orderBy("slot"))
+    counts = sample.groupBy(slot.alias("slot")).count().withColumn("up_to", up_to)
+    last = counts.where(F.col("up_to") <= max_rows).agg(F.max("slot")).first()[0]
+    return sample.where(slot <= F.lit(-1 if last is None else last))

@@ -122,3 +122,39 @@ def test_artifact_path_depends_on_settings(spark, tmp_path):
         assert "run the preparation first" in str(error)
     else:
         raise AssertionError("missing artifacts were not reported")
+
+
+def small_network(spark):
+    stops = spark.createDataFrame([(1, "a", 46.5, 6.6), (2, "b", 46.501, 6.6)], "stop_id bigint, stop_name string, stop_lat double, stop_lon double")
+    return artifacts.PreparedNetwork(stops, places.walking_edges(stops), stops, stops)
+
+
+def test_artifacts_of_other_settings_or_half_written_are_not_used(spark, tmp_path):
+    cfg = NetworkConfig(region_uuids=("a",), artifact_root=str(tmp_path), split_day="2024-01-01")
+    assert cfg.artifact_path() != NetworkConfig(region_uuids=("a",), artifact_root=str(tmp_path), split_day="2024-02-01").artifact_path()
+    assert cfg.artifact_path() != NetworkConfig(region_uuids=("a",), artifact_root=str(tmp_path), split_day="2024-01-01", min_observations=3).artifact_path()
+    built = []
+
+    def build():
+        built.append(1)
+        artifacts.write_prepared(small_network(spark), cfg)
+
+    artifacts.prepare_or_load(spark, cfg, build)
+    artifacts.prepare_or_load(spark, cfg, build)
+    assert len(built) == 1
+    artifacts.mark(spark, cfg, ())  # as a preparation leaves it that stopped on its way
+    assert artifacts.prepare_or_load(spark, cfg, build).stops.count() == 2 and len(built) == 2
+
+
+def test_no_walking_gives_no_edges(spark):
+    assert places.walking_edges(small_network(spark).stops, 0.0).count() == 0
+    assert places.walking_edges(small_network(spark).stops, 500.0).count() == 2
+
+
+def test_capped_sample_keeps_whole_slots(spark):
+    from headway.sources import snapshots
+
+    rows = spark.range(2000).select(F.col("id").alias("k"))
+    assert snapshots.capped_sample(rows, ("k",), 1.0, 5000).count() == 2000
+    some = snapshots.capped_sample(rows, ("k",), 1.0, 300)
+    assert 250 <= some.count() <= 300 and some.exceptAll(snapshots.capped_sample(rows.repartition(5), ("k",), 1.0, 300)).count() == 0
