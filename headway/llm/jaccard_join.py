@@ -169,34 +169,43 @@ def may_link(percent: int, n: str, pos: str, m: str, q: str) -> Column:
     return (100 * F.least(n, m).cast("long") >= percent * F.greatest(n, m).cast("long")) & enough
 
 
-def verified(own: DataFrame, pairs: DataFrame, order: Order, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
-    """The pairs (a, an, b, bn) that link: overlaps counted by fragment, then summed."""
-    nodes = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig")))
-    # A filter of fixed size, so that only sets of candidates leave the scan; it may let a few others through.
-    bit = F.pmod(F.col("sig"), F.lit(FILTER_BITS))
-    held = nodes.select(F.bitmap_bucket_number(bit).alias("bucket"), F.bitmap_bit_position(bit).alias("bit")).groupBy("bucket").agg(
+def id_mark(id_column: Column) -> Column:
+    return F.pmod(F.xxhash64(id_column), F.lit(FILTER_BITS))
+
+
+def members(classes: DataFrame, pairs: DataFrame) -> np.ndarray:
+    """A filter of fixed size on document ids, so that only documents that stand for a node of a pair are cut into shingles.
+
+    It may let a few others through; the joins drop them.
+    """
+    nodes = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
+    bit = nodes.join(classes, "sig").select(id_mark(F.col("least")).alias("bit"))
+    held = bit.select(F.bitmap_bucket_number("bit").alias("bucket"), F.bitmap_bit_position("bit").alias("bit")).groupBy("bucket").agg(
         F.bitmap_construct_agg("bit").alias("bits")).collect()
     member = np.zeros(FILTER_BITS, bool)
     for row in held:
         bits = np.unpackbits(np.frombuffer(bytes(row["bits"]), np.uint8), bitorder="little").astype(bool)
         # Bucket k holds the numbers from (k - 1) * 32768 + 1 to k * 32768; number 0 is in bucket 0.
-        lo = (row["bucket"] - 1) * len(bits) + 1
-        inside = np.flatnonzero(bits) + lo
+        inside = np.flatnonzero(bits) + (row["bucket"] - 1) * len(bits) + 1
         member[inside[(inside >= 0) & (inside < FILTER_BITS)]] = True
         if row["bucket"] == 0:
             member[0] = True
-    packed = np.packbits(member)
+    return np.packbits(member)
+
+
+def verified(own: DataFrame, classes: DataFrame, pairs: DataFrame, order: Order, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+    """The pairs (a, an, b, bn) that link: overlaps counted by fragment, then summed."""
+    packed = members(classes, pairs)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted, seen = np.unpackbits(packed).astype(bool), set()
 
-        def chosen(sigs: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-            use = wanted[sigs % FILTER_BITS] & (sizes > 0)
-            use[use] = _unseen(sigs[use], sizes[use], seen)
-            return use
+        def picked() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield batch.filter(pa.array(wanted[batch.column("bit").to_numpy(zero_copy_only=False)]))
 
-        for _, texts in slices(batches, "text"):
-            owner, hashes, keys, _, sizes, sigs = _ordered(texts, shingle, order, chosen)
+        for _, texts in slices(picked(), "text"):
+            owner, hashes, keys, _, sizes, sigs = _ordered(texts, shingle, order, lambda s, n: _unseen(s, n, seen))
             fragment = np.searchsorted(order.cuts, keys, side="right")
             first = np.ones(len(owner), bool)
             first[1:] = (owner[1:] != owner[:-1]) | (fragment[1:] != fragment[:-1])
@@ -205,27 +214,31 @@ def verified(own: DataFrame, pairs: DataFrame, order: Order, percent: int = PERC
             yield pa.RecordBatch.from_arrays([pa.array(sigs[owner[at]]), pa.array(sizes[owner[at]].astype(np.int32)),
                                               pa.array(fragment[at].astype(np.int32)), lists], names=["sig", "n", "fragment", "toks"])
 
-    sets = own.select("text").mapInArrow(work, "sig long, n int, fragment int, toks array<long>")
-    sets = stored(sets.groupBy("sig", "n", "fragment").agg(F.any_value("toks").alias("toks")), "fragments")
-    left = sets.select(F.col("sig").alias("a"), F.col("n").alias("an"), "fragment", F.col("toks").alias("a_toks"))
-    right = sets.select(F.col("sig").alias("b"), F.col("n").alias("bn"), "fragment", F.col("toks").alias("b_toks"))
-    partial = pairs.join(left, ["a", "an"]).join(right, ["b", "bn", "fragment"]).select(
+    sets = own.select(id_mark(F.col("id")).alias("bit"), "text").mapInArrow(work, "sig long, n int, fragment int, toks array<long>")
+    # Both joins use the partitioning of this grouping, so a set is shuffled once and then once for each of its pairs.
+    sets = sets.groupBy("sig", "n", "fragment").agg(F.any_value("toks").alias("toks"))
+    left, right = sets.toDF("a", "an", "fragment", "a_toks"), sets.toDF("b", "bn", "fragment", "b_toks")
+    cut = pairs.withColumn("fragment", F.explode(F.sequence(F.lit(0), F.lit(len(order.cuts)))))
+    partial = cut.join(left, ["a", "an", "fragment"]).join(right, ["b", "bn", "fragment"]).select(
         "a", "an", "b", "bn", F.size(F.array_intersect("a_toks", "b_toks")).alias("both"))
     total = partial.groupBy("a", "an", "b", "bn").agg(F.sum("both").alias("both"))
     return total.where(100 * F.col("both") >= percent * (F.col("an") + F.col("bn") - F.col("both"))).select("a", "b")
 
 
-def similar_links(own: DataFrame, order: Order, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
+def similar_links(own: DataFrame, classes: DataFrame, order: Order, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """(a, b) between nodes: enough links that all linked nodes are connected."""
     posted = stored(postings(own, order, percent, shingle), "postings")
-    shared = stored(posted.groupBy("tok").agg(F.min(F.struct("pos", "n", "sig")).alias("pivot"), F.min("sig").alias("lo"), F.max("sig").alias("hi"))
-                    .where("lo <> hi").select("tok", F.col("pivot.sig").alias("p"), F.col("pivot.n").alias("pn"), F.col("pivot.pos").alias("ppos")), "shared")
+    shared = posted.groupBy("tok").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi")).where("lo <> hi").select("tok")
+    shared = stored(shared, "shared")
     held = stored(posted.join(shared, "tok"), "held")
+    chosen = held.groupBy("tok").agg(F.min(F.struct("pos", "n", "sig")).alias("pivot")).select(
+        "tok", F.col("pivot.sig").alias("p"), F.col("pivot.n").alias("pn"), F.col("pivot.pos").alias("ppos"))
+    met = held.join(stored(chosen, "chosen"), "tok")
     # One pivot for each node: the one it shares most posted shingles with.
-    votes = held.where((F.col("sig") != F.col("p")) & may_link(percent, "n", "pos", "pn", "ppos")).groupBy("sig", "n", "p", "pn").agg(F.count("*").alias("v"))
+    votes = met.where((F.col("sig") != F.col("p")) & may_link(percent, "n", "pos", "pn", "ppos")).groupBy("sig", "n", "p", "pn").agg(F.count("*").alias("v"))
     pivots = votes.groupBy("sig", "n").agg(F.max(F.struct("v", "p", "pn")).alias("best"))
     first = stored(pivots.select(F.col("sig").alias("a"), F.col("n").alias("an"), F.col("best.p").alias("b"), F.col("best.pn").alias("bn")), "pairs")
-    links = stored(verified(own, first, order, percent, shingle), "links")
+    links = stored(verified(own, classes, first, order, percent, shingle), "links")
     roots = components(links)
     grouped = held.join(roots, held.sig == roots.node, "left").select("tok", "sig", "n", "pos", F.coalesce("root", "sig").alias("root")).distinct()
     grouped = stored(grouped, "grouped")
@@ -234,7 +247,7 @@ def similar_links(own: DataFrame, order: Order, percent: int = PERCENT, shingle:
     pairs = rest.select(F.col("sig").alias("a"), F.col("n").alias("an"), F.col("sig2").alias("b"), F.col("n2").alias("bn")).distinct()
     done = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     pairs = stored(pairs.join(done, ["a", "b"], "left_anti"), "pairs")
-    return links.unionByName(verified(own, pairs, order, percent, shingle))
+    return links.unionByName(verified(own, classes, pairs, order, percent, shingle))
 
 
 def spread_join(left: DataFrame, right: DataFrame, keys: list[str], share: int = 1000) -> DataFrame:
@@ -253,8 +266,8 @@ def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = S
     scanned = stored(_sizes_and_sketch(own, dict(docs.dtypes)[id_col], shingle), "sets")
     sizes = scanned.where("block is null").select("id", "n", "sig")
     order = Order(_summed(scanned.where("block is not null").select("block", "slot", "counts")), fragments)
-    roots = components(similar_links(own, order, percent, shingle))
-    classes = sizes.where("n > 0").groupBy("sig", "n").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
+    classes = stored(sizes.where("n > 0").groupBy("sig", "n").agg(F.min("id").alias("least"), F.count("*").alias("copies")), "classes")
+    roots = components(similar_links(own, classes, order, percent, shingle))
     placed = classes.join(roots, classes.sig == roots.node, "left").select("sig", "n", "least", "copies", F.coalesce("root", "sig").alias("root"), F.col("root").isNotNull().alias("linked"))
     heads = placed.where("linked").groupBy("root").agg(F.min("least").alias("head"))
     merged = placed.where("linked or copies > 1").join(heads, "root", "left").select("sig", "n", F.coalesce("head", "least").alias("component"))
