@@ -298,64 +298,97 @@ def external_journeys_to_legs(t):
     return external(t)
 
 
-# The other planner's answer to a request: its first one for the same origin.
+# All answers of the other planner for the pairs of the panel, which are the answers' own; rows go by the answer's id.
 B["ox_other_pick"] = """
-SELECT r.query_id, min(e.query_id) AS answer_id FROM ox_requests_own r JOIN fx_external_json e ON e.orig_id = r.start_id GROUP BY r.query_id"""
+SELECT r.query_id, e.query_id AS answer_id FROM ox_requests_external r JOIN fx_external_json e ON e.orig_id = r.start_id AND e.dest_id = r.end_id"""
+B["ox_external_best"] = """
+SELECT f.query_id, CAST(f.n_transfers AS INTEGER) AS n_transfers, (e.arr_sec - e.dep_sec) / 60e0 AS travel_min
+FROM ox_external_routes f JOIN ox_external_times e ON e.query_id = f.query_id AND e.option = 1 WHERE f.option = 1"""
 B["ox_agree"] = """
-SELECT b.query_id, b.travel_min AS our_min, b.n_transfers AS our_transfers, e.travel_min AS other_min, e.n_transfers AS other_transfers,
-       b.travel_min - e.travel_min AS diff_min, p.answer_id
-FROM ox_best b JOIN ox_other_pick p USING (query_id) JOIN ox_ext_legs e ON e.query_id = p.answer_id AND e.leg_no = 1 WHERE b.travel_min IS NOT NULL"""
+SELECT p.answer_id, b.query_id AS own_id, b.travel_min AS our_min, b.n_transfers AS our_transfers, e.travel_min AS other_min,
+       e.n_transfers AS other_transfers, b.travel_min - e.travel_min AS diff_min
+FROM ox_external_best b JOIN ox_other_pick p USING (query_id) JOIN ox_ext_legs e ON e.query_id = p.answer_id AND e.leg_no = 1
+WHERE b.travel_min - e.travel_min IS NOT NULL"""
+
+
+def _picked(t):
+    """(query_id, answer_id) of all answers for the panel's pairs."""
+    answers = t.view("fx_external_json").select(F.col("query_id").alias("answer_id"), F.col("orig_id").alias("start_id"), F.col("dest_id").alias("end_id"))
+    return requests(t, "external").select("query_id", "start_id", "end_id").join(answers, ["start_id", "end_id"]).select("query_id", "answer_id")
+
+
+def _by_answer(t, rows):
+    """Rows of our requests once for each answer, under the answer's id."""
+    return rows.join(_picked(t), "query_id").drop("query_id").withColumnRenamed("answer_id", "query_id")
 
 
 def _other(t):
-    """Legs of the other planner under our request ids."""
-    answers = t.view("fx_external_json")
-    pick = requests(t, "own").select("query_id", "start_id").join(
-        answers.select(F.col("query_id").alias("answer_id"), F.col("orig_id").alias("start_id")), "start_id").groupBy("query_id").agg(
-        F.min("answer_id").alias("answer_id"))
-    chosen = answers.select(F.col("query_id").alias("answer_id"), "body").join(pick, "answer_id").select("query_id", "body")
+    """Legs of the other planner's answers for the panel's pairs."""
+    chosen = t.view("fx_external_json").select("query_id", "body").join(_picked(t).select(F.col("answer_id").alias("query_id")), "query_id", "left_semi")
     return qu.external_legs(chosen, shared.prepared(t).stops)
 
 
-_SHARES = ["exact", "within_5", "within_10", "mean_abs_diff", "transfers_match"]
+def _agreement(t, legs):
+    own = qu.best_routes(requests(t, "external"), routes(t, "external"), lg.first_last_event(parts(t, "external")))
+    return qu.agreement_rows(_by_answer(t, own.select("query_id", "travel_min", "n_transfers")), legs.where(F.col("leg_no") == 1))
+
+
+_SHARES = ["exact", "within_5", "within_10", "mean_abs_diff", "mean_diff", "transfers_match"]
 
 
 @query("itinerary_agreement", f"""
 SELECT n, n_mismatches, {rounded_sql(_SHARES)} FROM (
   SELECT count(*) AS n, count(CASE WHEN abs(diff_min) > 5 THEN 1 END) AS n_mismatches, avg(CASE WHEN diff_min = 0 THEN 1e0 ELSE 0e0 END) AS exact,
          avg(CASE WHEN abs(diff_min) <= 5 THEN 1e0 ELSE 0e0 END) AS within_5, avg(CASE WHEN abs(diff_min) <= 10 THEN 1e0 ELSE 0e0 END) AS within_10,
-         avg(abs(diff_min)) AS mean_abs_diff, avg(CASE WHEN our_transfers = other_transfers THEN 1e0 ELSE 0e0 END) AS transfers_match FROM ox_agree) a""")
+         avg(abs(diff_min)) AS mean_abs_diff, avg(diff_min) AS mean_diff,
+         avg(CASE WHEN our_transfers = other_transfers THEN 1e0 ELSE 0e0 END) AS transfers_match FROM ox_agree) a""")
 def itinerary_agreement(t):
-    other = _other(t).where(F.col("leg_no") == 1)
-    return qu.itinerary_agreement(qu.agreement_rows(best(t), other)).select("n", "n_mismatches", *rounded(_SHARES))
+    return qu.itinerary_agreement(_agreement(t, _other(t))).select("n", "n_mismatches", *rounded(_SHARES))
 
 
 B["ox_other_changes"] = """
-SELECT * FROM (SELECT a.query_id, e.leg_no, lag(e.to_id) OVER w AS alight_stop, lag(e.arr_sec) OVER w AS alight_sec, lag(e.name) OVER w AS before,
+SELECT * FROM (SELECT a.answer_id AS query_id, e.leg_no, lag(e.to_id) OVER w AS alight_stop, lag(e.arr_sec) OVER w AS alight_sec, lag(e.name) OVER w AS before,
                       e.name, e.dep_sec FROM ox_agree a JOIN ox_ext_legs e ON e.query_id = a.answer_id WHERE abs(a.diff_min) > 5
-               WINDOW w AS (PARTITION BY a.query_id ORDER BY e.leg_no)) c WHERE before IS NOT NULL AND before <> name"""
+               WINDOW w AS (PARTITION BY a.answer_id ORDER BY e.leg_no)) c WHERE before IS NOT NULL AND before <> name"""
+# The share of delays that a change bears, once for each stop, hour and slack.
 B["ox_other_success"] = """
-SELECT query_id, product(share) AS success FROM (
-  SELECT c.query_id, c.leg_no, coalesce(avg(CASE WHEN h.arr_delay_sec IS NULL THEN NULL WHEN c.dep_sec >= c.alight_sec + h.arr_delay_sec THEN 1e0 ELSE 0e0 END),
-         CASE WHEN c.dep_sec >= c.alight_sec THEN 1e0 ELSE 0e0 END) AS share
-  FROM ox_other_changes c LEFT JOIN ox_holdout h ON h.bpuic = c.alight_stop AND h.hour_of_day = (c.alight_sec // 3600) % 24
-  GROUP BY c.query_id, c.leg_no, c.dep_sec, c.alight_sec) s GROUP BY query_id"""
+SELECT c.query_id, product(s.share) AS success
+FROM ox_other_changes c JOIN (
+  SELECT k.alight_stop, k.hour, k.slack, coalesce(avg(CASE WHEN h.arr_delay_sec IS NULL THEN NULL WHEN k.slack >= h.arr_delay_sec THEN 1e0 ELSE 0e0 END),
+         CASE WHEN k.slack >= 0 THEN 1e0 ELSE 0e0 END) AS share
+  FROM (SELECT DISTINCT alight_stop, (alight_sec // 3600) % 24 AS hour, dep_sec - alight_sec AS slack FROM ox_other_changes) k
+  LEFT JOIN ox_holdout h ON h.bpuic = k.alight_stop AND h.hour_of_day = k.hour GROUP BY k.alight_stop, k.hour, k.slack) s
+  ON s.alight_stop IS NOT DISTINCT FROM c.alight_stop AND s.hour = (c.alight_sec // 3600) % 24 AND s.slack = c.dep_sec - c.alight_sec
+GROUP BY c.query_id"""
 B["ox_duel"] = """
-SELECT a.query_id, s.success AS our_success, coalesce(o.success, 1e0) AS other_success FROM ox_agree a JOIN ox_replayed s ON s.query_id = a.query_id
-LEFT JOIN ox_other_success o ON o.query_id = a.query_id WHERE abs(a.diff_min) > 5"""
+SELECT a.answer_id, s.success AS our_success, coalesce(o.success, 1e0) AS other_success
+FROM ox_agree a JOIN ox_external_success s ON s.query_id = a.own_id AND s.option = 1
+LEFT JOIN ox_other_success o ON o.query_id = a.answer_id WHERE abs(a.diff_min) > 5"""
+_WINNER = """CASE WHEN round(our_success - other_success, 9) > 0.02e0 THEN 'ours'
+  WHEN round(our_success - other_success, 9) < -0.02e0 THEN 'other' ELSE 'tie' END"""
 
 
-@query("reliability_duel", f"""
-SELECT query_id, {rounded_sql(['our_success', 'other_success'], 9)}, CASE WHEN round(our_success - other_success, 9) > 0.02e0 THEN 'ours'
-  WHEN round(our_success - other_success, 9) < -0.02e0 THEN 'other' ELSE 'tie' END AS winner FROM ox_duel""")
-def reliability_duel(t):
+def duels(t):
     legs = cut_lineage(_other(t))
-    differ = qu.agreement_rows(best(t), legs.where(F.col("leg_no") == 1)).where(F.abs("diff_min") > 5).select("query_id")
+    differ = cut_lineage(_agreement(t, legs).where(F.abs("diff_min") > 5).select("query_id"))
     legs = legs.join(differ, "query_id", "left_semi")
     theirs = legs.select("query_id", F.lit(1).alias("option")).distinct()
     other = lg.replayed_success(theirs, qu.external_changes(legs), shared.holdout_part(t))
-    return qu.reliability_duel(replayed(t).join(differ, "query_id", "left_semi"), other).select(
-        "query_id", *rounded(["our_success", "other_success"], 9), "winner")
+    own = _by_answer(t, replayed(t, "external").select("query_id", "success"))
+    return qu.reliability_duel(own.join(differ, "query_id", "left_semi"), other)
+
+
+@query("reliability_duel", f"""
+SELECT answer_id AS query_id, {rounded_sql(['our_success', 'other_success'], 9)}, {_WINNER} AS winner FROM ox_duel""")
+def reliability_duel(t):
+    return duels(t).select("query_id", *rounded(["our_success", "other_success"], 9), "winner")
+
+
+@query("reliability_duel_summary", f"""
+SELECT winner, count(*) AS n, round(avg(our_success), 9) + 0e0 AS our_success, round(avg(other_success), 9) + 0e0 AS other_success
+FROM (SELECT *, {_WINNER} AS winner FROM ox_duel) d GROUP BY winner""")
+def reliability_duel_summary(t):
+    return qu.duel_summary(duels(t)).select("winner", "n", *rounded(["our_success", "other_success"], 9))
 
 
 # ---- tree model --------------------------------------------------------------------------------------------------

@@ -46,7 +46,7 @@ FROM {p}routes r LEFT JOIN (
     GROUP BY c.query_id, c.option, c.part, c.slack_sec) x GROUP BY query_id, option) s USING (query_id, option)"""
 
 
-for _name in ("own", "ladder", "walks"):
+for _name in ("own", "ladder", "walks", "external"):
     add_parts(_name)
 
 _OPTION = "query_id, CAST(option AS INTEGER) AS option"
@@ -82,9 +82,10 @@ def hhmm_sql(c: str) -> str:
     return f"lpad(CAST({c} // 3600 AS VARCHAR), 2, '0') || ':' || lpad(CAST(({c} % 3600) // 60 AS VARCHAR), 2, '0')"
 
 
-B["ox_own_times"] = """
+for _name in ("own", "external"):
+    B[f"ox_{_name}_times"] = f"""
 SELECT query_id, option, min(dep_sec) AS dep_sec, coalesce(max(CASE WHEN kind = 'ride' THEN arr_sec END), max(dep_sec)) AS arr_sec
-FROM ox_own_parts GROUP BY query_id, option"""
+FROM ox_{_name}_parts GROUP BY query_id, option"""
 
 
 @query("route_summary", f"""

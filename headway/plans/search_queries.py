@@ -26,6 +26,14 @@ def _spread(rows: DataFrame, column: str, values: list) -> DataFrame:
 
 
 def requests(t, panel: str) -> DataFrame:
+    if panel == "external":
+        # The pairs of the other planner's answers; each origin has one destination there.
+        known = shared.prepared(t).stops.select("stop_id")
+        asked = t.view("fx_external_json").select(F.col("orig_id").alias("start_id"), F.col("dest_id").alias("end_id")).distinct()
+        for side in ("start_id", "end_id"):
+            asked = asked.join(known.withColumnRenamed("stop_id", side), side, "left_semi")
+        asked = asked.where("start_id <> end_id").select(F.col("start_id").alias("query_id"), "start_id", "end_id")
+        return search.as_requests(asked.withColumns({"day": F.lit("tuesday"), "q": F.lit(0.0)}), max_routes=1)
     base = pairs(t)
     if panel == "own":
         return search.as_requests(base)

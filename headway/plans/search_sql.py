@@ -44,6 +44,12 @@ SELECT query_id * 1000 + m.m AS query_id, start_id, end_id, day, 0e0 AS q, CAST(
        120 AS min_transfer_secs, CAST(m.m AS DOUBLE) AS max_walk_m FROM ox_pairs CROSS JOIN (VALUES (0), (500)) m(m)
 UNION ALL SELECT query_id * 1000 + 999, start_id, start_id, day, 0e0, 32400, 1, 120, 500e0 FROM ox_pairs"""
 
+B["ox_requests_external"] = """
+SELECT start_id AS query_id, start_id, end_id, 'tuesday' AS day, 0e0 AS q, CAST(32400 AS BIGINT) AS deadline_sec, 1 AS max_routes,
+       120 AS min_transfer_secs, 500e0 AS max_walk_m
+FROM (SELECT DISTINCT orig_id AS start_id, dest_id AS end_id FROM fx_external_json) p
+WHERE start_id <> end_id AND start_id IN (SELECT stop_id FROM ox_region_stops) AND end_id IN (SELECT stop_id FROM ox_region_stops)"""
+
 _REQ = "query_id, start_id, end_id, day_bit, dow_bucket, q, min_transfer_secs, max_walk_m, max_routes"
 _STATE = _REQ + ", stop_id, t, conf, boardings, walk_m, next_label, trail, legs, lines, first_line"
 
@@ -165,5 +171,5 @@ FROM (SELECT query_id, start_id, end_id, q, option, generate_subscripts(string_s
              unnest(string_split(rtrim(legs, '|'), '|')) AS leg FROM {p}routes WHERE legs <> '') l"""
 
 
-for _name in ("own", "ladder", "walks"):
+for _name in ("own", "ladder", "walks", "external"):
     add_search(_name, f"ox_requests_{_name}")
