@@ -42,22 +42,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     windows = benchmark_windows(benchmark, window)
     stats = windows.agg(F.count("*"), F.collect_set("length")).first()
     lengths = tuple(sorted(stats[1]))
-    # Hash 0 at place 0 stands for the document itself, so that one pass gives hits and documents without hits.
-    itself = docs.sparkSession.range(1).select(F.lit(0).cast("long").alias("hash"), F.lit(-1).alias("length"),
-                                               F.lit("").alias("window_words"), F.array().cast("array<bigint>").alias("items"))
-    windows = windows.withColumn("items", F.col("items").cast("array<bigint>")).unionByName(itself)
-    if stats[0] <= broadcast_limit:
-        windows = F.broadcast(windows)
+    windows = windows.withColumn("items", F.col("items").cast("array<bigint>"))
     words = docs.select(F.col(id_col).alias("id"), text_mark(F.col(text_col)).alias("mark"), plain_words(F.col(text_col)).alias("words"))
     hashed = with_window_hashes(words, "words", lengths)
-    every = F.concat(F.array(F.lit(0).cast("long")), *(F.col(f"w{n}") for n in lengths))
-    rows = hashed.select("id", "mark", "words", F.size("words").alias("n_words"), F.posexplode(every).alias("place", "doc_hash"))
-    start, length = _decoded(lengths)
-    same = F.col("window_words") == F.array_join(F.slice("words", start + 1, F.col("length")), " ")
-    hits = rows.join(windows, (F.col("doc_hash") == F.col("hash")) & F.when(F.col("place") == 0, F.col("length") == -1)
-                     .otherwise((F.col("length") == length) & same))
-    found = hits.select("id", "mark", "n_words", "items", (F.col("place") == 0).alias("itself"),
-                        F.when(F.col("place") > 0, F.struct(start.cast("long").alias("start"), F.col("length"))).alias("span"))
+    find = _found_by_broadcast if stats[0] <= broadcast_limit else _found_by_shuffle
+    found = find(hashed, windows, lengths)
     per_doc = found.groupBy("id", "mark", "n_words").agg(
         F.count_if("itself").alias("copies"), F.collect_set("span").alias("spans"),
         F.array_distinct(F.flatten(F.collect_set("items"))).alias("items"))
@@ -65,6 +54,42 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
                                               hit_words(F.col("spans")).alias("n_hit"))
 
 
+def _places(hashed: DataFrame, lengths: tuple[int, ...]) -> DataFrame:
+    """A row for each window of each document, and one with place 0 and hash 0 for the document itself."""
+    every = F.concat(F.array(F.lit(0).cast("long")), *(F.col(f"w{n}") for n in lengths))
+    return hashed.select("id", "mark", "words", F.size("words").alias("n_words"), F.posexplode(every).alias("place", "doc_hash"))
+
+
+def _window(start: Column) -> Column:
+    return F.array_join(F.slice("words", start + 1, F.col("length")), " ")
+
+
+def _found_by_broadcast(hashed: DataFrame, windows: DataFrame, lengths: tuple[int, ...]) -> DataFrame:
+    """Hits and documents in one pass: the words are compared where the hash meets the broadcast set."""
+    itself = hashed.sparkSession.range(1).select(F.lit(0).cast("long").alias("hash"), F.lit(-1).alias("length"),
+                                                 F.lit("").alias("window_words"), F.array().cast("array<bigint>").alias("items"))
+    start, length = _decoded(lengths)
+    same = (F.col("length") == length) & (F.col("window_words") == _window(start))
+    hits = _places(hashed, lengths).join(F.broadcast(windows.unionByName(itself)), (F.col("doc_hash") == F.col("hash")) & F.when(
+        F.col("place") == 0, F.col("length") == -1).otherwise(same))
+    return hits.select("id", "mark", "n_words", "items", (F.col("place") == 0).alias("itself"),
+                       F.when(F.col("place") > 0, F.struct(start.cast("long").alias("start"), F.col("length"))).alias("span"))
+
+
+def _found_by_shuffle(hashed: DataFrame, windows: DataFrame, lengths: tuple[int, ...]) -> DataFrame:
+    """The same for a benchmark of any size: only hashes and places are shuffled, and candidates go back to their words."""
+    start, length = _decoded(lengths)
+    narrow = _places(hashed, lengths).where("place > 0").select("id", "mark", "n_words", start.alias("start"), length.alias("doc_length"), "doc_hash")
+    near = narrow.join(windows, (F.col("doc_hash") == F.col("hash")) & (F.col("doc_length") == F.col("length")))
+    texts = hashed.select(F.col("id").alias("own_id"), F.col("mark").alias("own_mark"), "words").dropDuplicates(["own_id", "own_mark"])
+    checked = near.join(texts, F.col("id").eqNullSafe(F.col("own_id")) & (F.col("mark") == F.col("own_mark"))).where(
+        F.col("window_words") == _window(F.col("start")))
+    itself = hashed.select("id", "mark", F.size("words").alias("n_words"), F.array().cast("array<bigint>").alias("items"), F.lit(True).alias("itself"),
+                           F.lit(None).cast("struct<start:bigint,length:int>").alias("span"))
+    return itself.unionByName(checked.select("id", "mark", "n_words", "items", F.lit(False).alias("itself"), F.struct(
+        F.col("start").cast("long").alias("start"), "length").alias("span")))
+
+
 def _decoded(lengths: tuple[int, ...]) -> tuple[Column, Column]:
     """Start and length of the window at ``place`` among the joined arrays of all lengths."""
     start, length, before = F.lit(0), F.lit(0), F.lit(1)
