@@ -166,7 +166,46 @@ def jaccard_join_query(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_join.jaccard_components(table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
 
 
-@query("op9_license_scan")
+def _values(rows: list[tuple]) -> str:
+    return ", ".join("(" + ", ".join(repr(x) for x in row) + ")" for row in rows)
+
+
+OP9_SQL = r"""
+WITH docs AS MATERIALIZED (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                             '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words
+  FROM documents),
+phrases AS (SELECT phrase, label, len(string_split(phrase, ' ')) AS n FROM (VALUES {phrases}) p(phrase, label)),
+places AS MATERIALIZED (
+  SELECT doc_id, i, label FROM (SELECT doc_id, words, phrase, label, n, unnest(generate_series(0, len(words) - n)) AS i FROM docs, phrases WHERE len(words) >= n) s
+  WHERE words[i + 1] = split_part(phrase, ' ', 1) AND array_to_string(words[i + 1:i + n], ' ') = phrase),
+templates AS (SELECT template, label, string_split(text, ' ') AS w FROM (VALUES {templates}) t(template, text, label)),
+template_grams AS (SELECT template, label, len(w) AS m, j AS loc, array_to_string(w[j + 1:j + 3], ' ') AS gram
+                   FROM (SELECT *, unnest(generate_series(0, len(w) - 3)) AS j FROM templates) s),
+doc_grams AS (SELECT doc_id, i, array_to_string(words[i + 1:i + 3], ' ') AS gram
+              FROM (SELECT doc_id, words, unnest(generate_series(0, len(words) - 3)) AS i FROM docs WHERE len(words) >= 3) s),
+votes AS MATERIALIZED (SELECT doc_id, template, label, m, loc, i - loc AS diagonal FROM doc_grams JOIN template_grams USING (gram)),
+bands AS (
+  SELECT *, sum(apart) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS band
+  FROM (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) > {neighbour} THEN 1 ELSE 0 END AS apart
+        FROM (SELECT DISTINCT doc_id, template, diagonal FROM votes) d) e),
+spans AS MATERIALIZED (
+  SELECT doc_id, label, count(DISTINCT p) / m AS cover
+  FROM (SELECT doc_id, template, band, label, m, unnest([loc, loc + 1, loc + 2]) AS p FROM votes JOIN bands USING (doc_id, template, diagonal)) s
+  GROUP BY doc_id, template, band, label, m HAVING count(DISTINCT p) / m >= {cover}),
+base AS (SELECT doc_id, count(*) AS n, min(i) AS lo, max(i) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM places GROUP BY doc_id),
+every AS (SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+          FROM (SELECT doc_id, label FROM places UNION ALL SELECT doc_id, label FROM spans) u GROUP BY doc_id),
+best AS (SELECT doc_id, max(cover) AS cover FROM spans GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.words) AS BIGINT) AS n_words, CAST(coalesce(b.n, 0) AS BIGINT) AS n_base, CAST(b.lo AS BIGINT) AS first_word,
+       CAST(b.hi AS BIGINT) AS last_word, coalesce(b.labels, '') AS base_labels, coalesce(e.labels, '') AS labels, coalesce(s.cover, 0e0) AS score
+FROM docs d LEFT JOIN base b USING (doc_id) LEFT JOIN every e USING (doc_id) LEFT JOIN best s USING (doc_id)""".replace(
+    "{phrases}", _values(list(licenses.PHRASES.items()))).replace(
+    "{templates}", _values([(i, text, label) for i, (text, label) in enumerate(licenses.TEMPLATES)])).replace(
+    "{neighbour}", str(licenses.NEIGHBOUR)).replace("{cover}", f"{licenses.MIN_COVER}e0")
+
+
+@query("op9_license_scan", OP9_SQL)
 def license_scan_query(spark: SparkSession, folder: str) -> DataFrame:
     """License phrases and template spans of every document."""
     found = licenses.scan_licenses(table(spark, folder, "documents"))
@@ -180,7 +219,64 @@ def license_scan_query(spark: SparkSession, folder: str) -> DataFrame:
                         F.coalesce(F.array_max("spans.cover"), F.lit(0.0)).alias("score"))
 
 
-@query("op10_secret_scan")
+def _kind_sql(number: int, kind: str, pattern: str, group: int, least: int) -> str:
+    pattern = pattern.replace("'", "''")
+    return f"""
+  SELECT doc_id, {number} AS kind_no, '{kind}' AS kind, n, length(gaps[n]) AS gap, length(found[n]) AS size, length(vals[n]) >= {least} AS kept, found[n] AS run
+  FROM (SELECT doc_id, found, vals, gaps, unnest(generate_series(1, len(found))) AS n
+        FROM (SELECT doc_id, regexp_extract_all(text, '{pattern}', 0) AS found, regexp_extract_all(text, '{pattern}', {group}) AS vals,
+                     string_split_regex(text, '{pattern}') AS gaps FROM docs) a) b"""
+
+
+# The same pattern with both cases written out: case folding of engines differs outside of ASCII.
+_ASSIGN_SQL = secret_scan.ASSIGN.replace("(?i:password|passwd|secret|token|api_?key)", "|".join(
+    "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word) for word in ("password", "passwd", "secret", "token", "api_?key")))
+_SCALED = "CASE WHEN {0} <= 1 THEN 0 ELSE CAST(round({0} * log2({0}) * 1e9) AS BIGINT) END"
+OP10_SQL = f"""
+WITH docs AS MATERIALIZED (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+matches AS MATERIALIZED ({" UNION ALL ".join((
+    _kind_sql(1, "assign", _ASSIGN_SQL, 2, 8), _kind_sql(2, "access", secret_scan.ACCESS, 1, 16), _kind_sql(3, "hex", secret_scan.HEX, 1, 32),
+    _kind_sql(4, "entropy_hex", secret_scan.RUN_HEX, 1, secret_scan.SLIDE), _kind_sql(5, "entropy_base64", secret_scan.RUN_BASE64, 1, secret_scan.SLIDE)))}),
+placed AS MATERIALIZED (
+  SELECT *, CAST(stop_at - size AS BIGINT) AS start FROM (
+    SELECT *, CAST(sum(gap + size) OVER (PARTITION BY doc_id, kind_no ORDER BY n) AS BIGINT) AS stop_at FROM matches) m),
+runs AS (
+  SELECT doc_id, kind_no, kind, start, run FROM placed
+  WHERE kind_no >= 4 AND {" AND ".join(f"NOT contains(run, '{word}')" for word in secret_scan.ALLOWED)}
+    AND regexp_matches(run, '[0-9]') AND CASE kind_no WHEN 4 THEN regexp_matches(run, '[A-Fa-f]')
+                                              ELSE regexp_matches(run, '[A-Z]') AND regexp_matches(run, '[a-z]') END),
+chars AS (SELECT doc_id, kind_no, kind, start, loc, substr(run, loc + 1, 1) AS ch
+          FROM (SELECT *, unnest(generate_series(0, length(run) - 1)) AS loc FROM runs) r),
+counted AS (
+  SELECT *, count(*) OVER (PARTITION BY doc_id, kind_no, start, ch ORDER BY loc RANGE BETWEEN {secret_scan.SLIDE - 1} PRECEDING AND CURRENT ROW) AS c_in,
+         count(*) OVER (PARTITION BY doc_id, kind_no, start, ch ORDER BY loc RANGE BETWEEN CURRENT ROW AND {secret_scan.SLIDE - 1} FOLLOWING) AS c_out
+  FROM chars),
+changed AS (SELECT *, {_SCALED.format("c_in")} - {_SCALED.format("(c_in - 1)")} AS gain, {_SCALED.format("c_out")} - {_SCALED.format("(c_out - 1)")} AS loss FROM counted),
+summed AS (
+  SELECT *, sum(gain) OVER (PARTITION BY doc_id, kind_no, start ORDER BY loc)
+         - coalesce(sum(loss) OVER (PARTITION BY doc_id, kind_no, start ORDER BY loc ROWS BETWEEN UNBOUNDED PRECEDING AND {secret_scan.SLIDE} PRECEDING), 0) AS total
+  FROM changed),
+high AS (
+  SELECT doc_id, kind_no, kind, start, loc FROM summed
+  WHERE loc >= {secret_scan.SLIDE - 1} AND log2({secret_scan.SLIDE}e0) - CAST(total AS DOUBLE) / {secret_scan.SLIDE}e9
+        >= CASE kind_no WHEN 4 THEN {secret_scan.THRESHOLDS["entropy_hex"]}e0 ELSE {secret_scan.THRESHOLDS["entropy_base64"]}e0 END),
+islands AS (
+  SELECT *, sum(apart) OVER (PARTITION BY doc_id, kind_no, start ORDER BY loc) AS island
+  FROM (SELECT *, CASE WHEN loc - lag(loc) OVER (PARTITION BY doc_id, kind_no, start ORDER BY loc) > {secret_scan.SLIDE} THEN 1 ELSE 0 END AS apart FROM high) h),
+spans AS MATERIALIZED (
+  SELECT doc_id, kind_no, kind, start, stop_at FROM placed WHERE kind_no <= 3 AND kept
+  UNION ALL SELECT doc_id, kind_no, kind, start + min(loc) - {secret_scan.SLIDE - 1}, start + max(loc) + 1 FROM islands GROUP BY doc_id, kind_no, kind, start, island),
+listed AS (
+  SELECT doc_id, count(*) FILTER (kind_no = 1) AS n_assign, count(*) FILTER (kind_no = 2) AS n_access, count(*) FILTER (kind_no = 3) AS n_hex,
+         string_agg(kind || ':' || start || ':' || stop_at, ',' ORDER BY start, kind_no) FILTER (kind_no <= 3) AS base,
+         string_agg(kind || ':' || start || ':' || stop_at, ',' ORDER BY start, kind_no) AS spans
+  FROM spans GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs d LEFT JOIN listed l USING (doc_id)"""
+
+
+@query("op10_secret_scan", OP10_SQL)
 def secret_scan_query(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets of every document."""
     found = secret_scan.scan_secrets(table(spark, folder, "documents"))
