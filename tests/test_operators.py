@@ -158,3 +158,19 @@ def test_capped_sample_keeps_whole_slots(spark):
     assert snapshots.capped_sample(rows, ("k",), 1.0, 5000).count() == 2000
     some = snapshots.capped_sample(rows, ("k",), 1.0, 300)
     assert 250 <= some.count() <= 300 and some.exceptAll(snapshots.capped_sample(rows.repartition(5), ("k",), 1.0, 300)).count() == 0
+
+
+def test_confidence_falls_back_to_the_normal_model(spark):
+    from headway.operators import legs as lg
+
+    rows = [("2024-01-01", f"t{i}", "11", "11", 1, "L1", "B", "Bus", 8, 2, 1, 60 * (i % 3), float(i % 3)) for i in range(6)]
+    schema = ("operating_day string, trip_id string, operator_id string, operator_id_clean string, bpuic bigint, line_text string, transport_clean string, "
+              "product_id_clean string, hour_of_day int, day_of_week int, month int, arr_delay_sec bigint, arr_delay_mins double")
+    levels = ds.trusted_levels(ds.delay_levels(spark.createDataFrame(rows, schema)), 5).where("level like 'bpuic%'")
+    parts = spark.createDataFrame([(q, 1, "a", 1, 7, 1, 0.5, "ride", "t", "bus 1", "1", 5, stop, 28000, 28800, 0.0) for q, stop in ((1, 7), (2, 8))],
+                                  "query_id bigint, option int, x string, start_id bigint, end_id bigint, part bigint, q double, kind string, trip_id string, "
+                                  "label string, line_text string, from_stop bigint, to_stop bigint, dep_sec bigint, arr_sec bigint, walk_m double")
+    requests = spark.createDataFrame([(1, "monday", 28920), (2, "monday", 28920)], "query_id bigint, day string, deadline_sec bigint")
+    features = spark.createDataFrame([(7, 8, 1.0, 1.0)], "bpuic bigint, hour_of_day int, hist_avg_delay_mins double, hist_std_delay_mins double")
+    p = {r["query_id"]: r["p"] for r in lg.confidence_breakdown(parts, requests, levels, features).collect()}
+    assert abs(p[1] - 0.8413447) < 1e-4 and p[2] == 1.0
