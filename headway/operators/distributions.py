@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..config import cut_lineage
 from ..functions import fixed_values as fv
 from ..functions import probability as pr
 from ..functions import scalars as sc
@@ -25,8 +26,10 @@ LEVEL_KEYS = {
     "global": (),
 }
 
-# Copies of each row of the few-row levels, so that the many requests for one line or mode meet in many tasks.
-COARSE_COPIES = 16
+# Copies of each row of the few-row levels, so that the many requests for one line or mode meet in many tasks: one for
+# so many distinct requests, and so many at least.
+REQUESTS_PER_COPY = 100_000
+LEAST_COPIES = 16
 
 DIST_COLS = ("n", "mean", "std", *fv.QUANTILE_COLS, "ln_offset", "ln_sigma", "ln_mu")
 
@@ -96,10 +99,11 @@ def resolve_distributions(requests: DataFrame, levels: DataFrame) -> DataFrame:
     level number wins. Rows of the line and mode levels are kept in several copies and requests pick one by hash, so
     that the many requests for one line or mode meet in many tasks.
     """
-    asked = requests.select(*KEYS).distinct()
+    asked = cut_lineage(requests.select(*KEYS).distinct())
+    n_copies = max(LEAST_COPIES, -(-asked.count() // REQUESTS_PER_COPY))
     key_types = [asked.schema[k].dataType for k in KEYS]
     spread = F.xxhash64(*KEYS)
-    salt = F.pmod(spread, F.lit(COARSE_COPIES))
+    salt = F.pmod(spread, F.lit(n_copies))
 
     def candidate(number: int, name: str) -> Column:
         used = LEVEL_KEYS.get(name, ())
@@ -116,7 +120,7 @@ def resolve_distributions(requests: DataFrame, levels: DataFrame) -> DataFrame:
     # The last candidate matches nothing: it keeps the request itself.
     choices = [optional(i, n) for i, n in enumerate(specific)] + [candidate(len(specific), "none")]
     candidates = asked.select(*KEYS, F.explode(F.array_compact(F.array(*choices))).alias("c")).select(*KEYS, "c.*")
-    copies = F.when(F.col("level").rlike("^(line|prod)"), F.sequence(F.lit(0), F.lit(COARSE_COPIES - 1))).otherwise(
+    copies = F.when(F.col("level").rlike("^(line|prod)"), F.sequence(F.lit(0), F.lit(n_copies - 1))).otherwise(
         F.array(F.lit(0)))
     known = levels.where(F.col("level") != "global").select(
         F.col("level").alias("d_level"), *[F.col(k).alias(f"d_{k}") for k in KEYS],
@@ -150,7 +154,7 @@ def connection_success(transfers: DataFrame, levels: DataFrame) -> DataFrame:
     def asked(side: str) -> DataFrame:
         return transfers.select(*[F.col(c).alias(k) for k, c in names(side).items()])
 
-    resolved = resolve_distributions(asked("arr").unionByName(asked("dep")), levels)
+    resolved = cut_lineage(resolve_distributions(asked("arr").unionByName(asked("dep")), levels))
     both = attach_distribution(transfers, resolved, "a_", names("arr"))
     both = attach_distribution(both, resolved, "d_", names("dep"))
     both = pr.with_p_connection(both, "p_success", F.col("slack_sec"), "a_", "d_")
