@@ -20,7 +20,8 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from .shared import small_batches
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]{0,8192}"|'[^']{0,8192}')*+)>|"""
                    r"""<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/a-zA-Z][^>]*\Z""", re.S)
@@ -235,4 +236,4 @@ def extract_text(pages: DataFrame, html_col: str = "html", out_col: str = "text"
                 yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in kept), texts], names=[*(f.name for f in kept), out_col])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), f"`{out_col}` string"])
-    return pages.select(*(f.name for f in kept), html_col).mapInArrow(work, schema)
+    return small_batches(pages).select(*(f.name for f in kept), html_col).mapInArrow(work, schema)

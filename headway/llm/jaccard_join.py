@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import stored
+from .shared import small_batches, stored
 from .text_arrays import SPACE, Texts, mix, slices, windows
 
 SHINGLE = 4
@@ -94,7 +94,7 @@ def _sizes_and_sketch(own: DataFrame, id_type: str, shingle: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.nulls(n, ids.type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(range(n), pa.int32()),
                                               pa.array([slot] * n, pa.int32()), pa.array(blocks, pa.binary())], names=names)
 
-    return own.mapInArrow(work, f"id {id_type}, n long, sig long, block int, slot int, counts binary")
+    return small_batches(own).mapInArrow(work, f"id {id_type}, n long, sig long, block int, slot int, counts binary")
 
 
 def _summed(parts: DataFrame) -> np.ndarray:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stored, text_mark
+from .shared import small_batches, stored, text_mark
 from .text_arrays import SPACE, Texts, slices
 
 GRAM = 4
@@ -81,7 +81,7 @@ def fit_models(marked: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
         full = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(raw[full]), pa.array(target[full])], names=["bucket", "raw", "target"])
 
-    sums = marked.mapInArrow(count, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw"), F.sum("target")).toArrow()
+    sums = small_batches(marked).mapInArrow(count, "bucket long, raw long, target long").groupBy("bucket").agg(F.sum("raw"), F.sum("target")).toArrow()
     raw, target = np.zeros(buckets), np.zeros(buckets)
     where = sums.column(0).to_numpy()
     raw[where], target[where] = sums.column(1).to_numpy(), sums.column(2).to_numpy()

@@ -33,9 +33,8 @@ def sentencepiece_dropout_query(spark: SparkSession, folder: str) -> DataFrame:
     """Pieces of every document, and whether they decode to the document."""
     vocabulary = sentencepiece_dropout.read_vocabulary()
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    both = sentencepiece_dropout.decode(sentencepiece_dropout.encode(docs, vocabulary), vocabulary)
-    return both.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.char_length("text").cast("long").alias("n_chars"),
-                       F.col("text").eqNullSafe(F.col("decoded")).alias("lossless"), "ids")
+    made = sentencepiece_dropout.encode(docs, vocabulary, check_col="lossless")
+    return made.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.char_length("text").cast("long").alias("n_chars"), "lossless", "ids")
 
 
 # SQL blocks: the words of documents and benchmark items, and a hit for every window found.

@@ -31,6 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
+from .shared import small_batches
 from .text_arrays import mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -39,11 +40,11 @@ SEED = 29
 VARIANTS = 8
 # Units of more symbols than this have a heap; texts are handled in slices of about so many characters.
 WIDE = 40
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 19
 MARK = "▁"
 NONE = np.int64(2**40)
 # Units that a process remembers between slices: about 40 bytes each.
-KNOWN_UNITS = 2_000_000
+KNOWN_UNITS = 600_000
 
 
 @dataclass(frozen=True)
@@ -336,9 +337,13 @@ def _salts(column: pa.Array) -> np.ndarray:
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS,
-           id_col: str = "doc_id", text_col: str = "text", out_col: str = "ids") -> DataFrame:
-    """``docs`` with ``out_col``, the ids of the text; a column of that name is replaced, all others stay."""
-    kept = [f for f in docs.schema if f.name != out_col]
+           id_col: str = "doc_id", text_col: str = "text", out_col: str = "ids", check_col: str | None = None) -> DataFrame:
+    """``docs`` with ``out_col``, the ids of the text, and with ``check_col`` whether they decode to it.
+
+    Columns of these names are replaced, all others stay.
+    """
+    added = [out_col, *([check_col] if check_col else [])]
+    kept = [f for f in docs.schema if f.name not in added]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -352,10 +357,14 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, dropout: float = DROPOUT, se
                     ids, n = encode_texts(vocabulary, [t or "" for t in texts.to_pylist()], _salts(part.column(id_col)), dropout, seed, variants)
                     lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(ids),
                                                      mask=texts.is_null() if texts.null_count else None)
-                    yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in kept), lists], names=[*(f.name for f in kept), out_col])
+                    columns = [lists]
+                    if check_col:
+                        ends, made = np.cumsum(n), ids.tolist()
+                        columns.append(pa.array([decode_ids(vocabulary, made[e - k:e]) == (t or "") for e, k, t in zip(ends, n, texts.to_pylist())]))
+                    yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in kept), *columns], names=[*(f.name for f in kept), *added])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), f"`{out_col}` array<int>"])
-    return docs.select(*(f.name for f in kept)).mapInArrow(work, schema)
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), f"`{out_col}` array<int>", *([f"`{check_col}` boolean"] if check_col else [])])
+    return small_batches(docs).select(*(f.name for f in kept)).mapInArrow(work, schema)
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -370,4 +379,4 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", out
                 yield pa.RecordBatch.from_arrays([*(part.column(f.name) for f in kept), pa.array(texts, pa.string())], names=[*(f.name for f in kept), out_col])
 
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), f"`{out_col}` string"])
-    return encoded.mapInArrow(work, schema)
+    return small_batches(encoded).mapInArrow(work, schema)

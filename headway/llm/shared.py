@@ -62,6 +62,18 @@ def with_window_hashes(df: DataFrame, words: str, lengths: tuple[int, ...]) -> D
     return df
 
 
+# Bytes and rows of the batches that go to Python workers: with long texts the session's defaults take much of an executor.
+BATCH_BYTES, BATCH_ROWS = 8 << 20, 2_000
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, after the session's limits on Arrow batches are set to these."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    return df
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read again: later steps neither recompute it nor lose it with an executor."""
     spark = df.sparkSession

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Texts are handled in slices of about this many bytes, which bounds the arrays made from them; one longer text is a slice.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .quality_classifier import best_cut
-from .shared import lower_ascii
+from .shared import lower_ascii, small_batches
 from .text_arrays import BASE, BYTE_VALUES, Texts, mix, slices
 
 ORDERS = 5
@@ -106,7 +106,7 @@ def log_ratios(texts: Texts, table: np.ndarray) -> np.ndarray:
 def judge_urls(pages: DataFrame, rules: dict[str, str] = RULES, buckets: int = BUCKETS, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """One row per page: id, host, path, rule, score and verdict."""
     url = F.coalesce(F.col(url_col), F.lit(""))
-    parts = pages.select(F.col(id_col).alias("id"), url.alias("url"), host_of(url).alias("host"), path_of(url).alias("path"))
+    parts = small_batches(pages).select(F.col(id_col).alias("id"), url.alias("url"), host_of(url).alias("host"), path_of(url).alias("path"))
     ruled = parts.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
     verdicts = F.create_map(*(F.lit(x) for pair in rules.items() for x in pair)) if rules else F.create_map().cast("map<string,string>")
     ruled = ruled.withColumn("ruled", F.when(F.col("rule").isNotNull(), F.element_at(verdicts, F.col("rule"))))

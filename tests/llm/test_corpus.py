@@ -120,6 +120,8 @@ def test_dropout_round_trip_and_keys(spark, docs, vocabulary):
     rows = made.collect()
     assert len(rows) == extra.count() and all(r.text == r.decoded for r in rows)
     assert all((r.ids is None) == (r.text is None) for r in rows)
+    checked = sentencepiece_dropout.encode(extra, vocabulary, check_col="mark").collect()
+    assert len(checked) == len(rows) and all(r.mark for r in checked)
     again = {(r.doc_id, r.text): r.ids for r in sentencepiece_dropout.encode(extra.repartition(2), vocabulary).collect()}
     assert all(again[r.doc_id, r.text] == r.ids for r in rows)
     other = {(r.doc_id, r.text): r.ids for r in sentencepiece_dropout.encode(extra, vocabulary, seed=1).collect()}
