@@ -43,8 +43,8 @@ def uncontaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
 def encoded(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Pieces of every document, and whether they decode to its text."""
     vocabulary = sentencepiece_dropout.read_vocabulary()
-    both = sentencepiece_dropout.decode(sentencepiece_dropout.encode(docs.select("doc_id", "text"), vocabulary), vocabulary)
-    return both.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), F.col("text").eqNullSafe(F.col("decoded")).alias("lossless"))
+    made = sentencepiece_dropout.encode(docs.select("doc_id", "text"), vocabulary, check_col="lossless")
+    return made.select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), "lossless")
 
 
 STAGES: list[tuple[str, Stage]] = [
