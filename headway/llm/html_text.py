@@ -27,7 +27,6 @@ TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:
                    r"""<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/a-zA-Z][^>]*\Z""", re.S)
 NAME = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none)", re.I)
-BLANK = re.compile(r"[\s ]+")
 
 # Elements by their part in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -137,7 +136,7 @@ def densities(page: Page) -> tuple[list[float], list[float], list[int]]:
         linked[i] = page.tag[i] == "a" or linked[page.parent[i]]
     for node, text in page.pieces:
         if text is not None and not page.dropped[node]:
-            size = len(BLANK.sub("", text))
+            size = len("".join(text.split()))
             chars[node] += size
             if linked[node]:
                 link_chars[node] += size
@@ -215,7 +214,7 @@ def main_text(source: str | None) -> str:
     blocks, current = [], []
     for node, text in [*page.pieces, (0, None)]:
         if text is None:
-            block = BLANK.sub(" ", "".join(current)).strip()
+            block = " ".join("".join(current).split())
             if block:
                 blocks.append(block)
             current = []
