@@ -12,6 +12,9 @@ from headway.config import shared_folder
 from headway.llm import decontaminate, jaccard_join, line_dedup, quality_classifier, sentencepiece_dropout
 from headway.llm.shared import table
 
+# Near copies share 80 percent of their runs of five words; op8's own values bind its query only.
+NEAR_PERCENT, NEAR_SHINGLE = 80, 5
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -30,9 +33,7 @@ def fresh_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 def one_of_each(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near copies: the one with the smallest id. Rows that repeat an id and a set are one."""
-    found = jaccard_join.jaccard_components(docs).where(F.col("doc_id") != F.col("component_id"))
-    gone = found.select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs.doc_id == F.col("__gone"), "left_anti")
+    return jaccard_join.without_near_copies(docs, NEAR_PERCENT, NEAR_SHINGLE)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .shared import small_batches, stored
+from .shared import small_batches, stored, text_mark
 from .text_arrays import SPACE, Texts, mix, slices, windows
 
 SHINGLE = 4
@@ -76,10 +76,12 @@ def _unseen(sigs: np.ndarray, sizes: np.ndarray, seen: set[int]) -> np.ndarray:
 
 
 def _sizes_and_sketch(own: DataFrame, id_type: str, shingle: int) -> DataFrame:
-    """Rows (id, n, sig) of the documents, and rows (block, slot, counts) of each task's part of the sketch."""
+    """Rows (id, n, sig) of the documents, with their mark if they have one, and rows (block, slot, counts) of each task's part of the sketch."""
+    marked = "mark" in own.columns
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch, seen, slot, ids = np.zeros(1 << SKETCH_BITS, np.uint32), set(), TaskContext.get().partitionId(), None
-        names = ["id", "n", "sig", "block", "slot", "counts"]
+        names = ["id", "n", "sig", "block", "slot", "counts", *(["mark"] if marked else [])]
         for part, texts in slices(batches, "text"):
             owner, hashes = shingle_sets(texts, shingle)
             sizes, sigs = signatures(owner, hashes, texts.n)
@@ -87,14 +89,16 @@ def _sizes_and_sketch(own: DataFrame, id_type: str, shingle: int) -> DataFrame:
             sketch += np.bincount((hashes[fresh[owner]] >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=1 << SKETCH_BITS).astype(np.uint32)
             ids = part.column("id")
             none = pa.nulls(texts.n, pa.int32())
-            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes), pa.array(sigs), none, none, pa.nulls(texts.n, pa.binary())], names=names)
+            marks = [part.column("mark")] if marked else []
+            yield pa.RecordBatch.from_arrays([ids, pa.array(sizes), pa.array(sigs), none, none, pa.nulls(texts.n, pa.binary()), *marks], names=names)
         if ids is not None:
             blocks = [sketch[lo:lo + BLOCK].tobytes() for lo in range(0, len(sketch), BLOCK)]
             n = len(blocks)
             yield pa.RecordBatch.from_arrays([pa.nulls(n, ids.type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array(range(n), pa.int32()),
-                                              pa.array([slot] * n, pa.int32()), pa.array(blocks, pa.binary())], names=names)
+                                              pa.array([slot] * n, pa.int32()), pa.array(blocks, pa.binary()),
+                                              *([pa.nulls(n, pa.int64())] if marked else [])], names=names)
 
-    return small_batches(own).mapInArrow(work, f"id {id_type}, n long, sig long, block int, slot int, counts binary")
+    return small_batches(own).mapInArrow(work, f"id {id_type}, n long, sig long, block int, slot int, counts binary{', mark long' if marked else ''}")
 
 
 def _summed(parts: DataFrame) -> np.ndarray:
@@ -259,17 +263,39 @@ def spread_join(left: DataFrame, right: DataFrame, keys: list[str], share: int =
     return often.unionByName(left.join(few, keys, "left_anti").join(right, keys, "left"))
 
 
-def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, fragments: int = FRAGMENTS,
-                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: id, mark of the set (sig), n_shingles, component_id."""
+def _grouped(docs: DataFrame, percent: int, shingle: int, fragments: int, id_col: str, text_col: str, marked: bool) -> DataFrame:
+    """One row per document: id, mark of its text (if wanted), n, sig, and head (least id, sig, n) of its group; null if it is alone."""
     own = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    scanned = stored(_sizes_and_sketch(own, dict(docs.dtypes)[id_col], shingle), "sets")
-    sizes = scanned.where("block is null").select("id", "n", "sig")
+    id_type = dict(docs.dtypes)[id_col]
+    scanned = stored(_sizes_and_sketch(own.withColumn("mark", text_mark(F.col("text"))) if marked else own, id_type, shingle), "sets")
+    sizes = scanned.where("block is null").select("id", *(["mark"] if marked else []), "n", "sig")
     order = Order(_summed(scanned.where("block is not null").select("block", "slot", "counts")), fragments)
     classes = stored(sizes.where("n > 0").groupBy("sig", "n").agg(F.min("id").alias("least"), F.count("*").alias("copies")), "classes")
     roots = components(similar_links(own, classes, order, percent, shingle))
     placed = classes.join(roots, classes.sig == roots.node, "left").select("sig", "n", "least", "copies", F.coalesce("root", "sig").alias("root"), F.col("root").isNotNull().alias("linked"))
-    heads = placed.where("linked").groupBy("root").agg(F.min("least").alias("head"))
-    merged = placed.where("linked or copies > 1").join(heads, "root", "left").select("sig", "n", F.coalesce("head", "least").alias("component"))
-    result = spread_join(sizes, stored(merged, "merged"), ["sig", "n"])
-    return result.select(F.col("id").alias(id_col), "sig", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+    # Sets of null ids only come last.
+    first = F.min(F.struct(F.col("least").isNull().alias("none"), "least", "sig", "n"))
+    heads = placed.where("linked").groupBy("root").agg(first.alias("head"))
+    merged = placed.where("linked or copies > 1").join(heads, "root", "left").select(
+        "sig", "n", F.coalesce("head", F.struct(F.col("least").isNull().alias("none"), "least", "sig", "n")).alias("head"))
+    return spread_join(sizes, stored(merged, "merged"), ["sig", "n"])
+
+
+def jaccard_components(docs: DataFrame, percent: int = PERCENT, shingle: int = SHINGLE, fragments: int = FRAGMENTS,
+                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: id, mark of the set (sig), n_shingles, component_id."""
+    result = _grouped(docs, percent, shingle, fragments, id_col, text_col, False)
+    return result.select(F.col("id").alias(id_col), "sig", F.col("n").alias("n_shingles"), F.coalesce("head.least", "id").alias("component_id"))
+
+
+def without_near_copies(docs: DataFrame, percent: int, shingle: int, fragments: int = FRAGMENTS,
+                        id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One document of each group: the one with the smallest id, of these the one with the smallest mark of its set.
+
+    Rows go by id and set, so one text of a repeated id can go and another stay; rows that repeat both stay together.
+    Null ids come last: such a row stays only if its group has no other id. Texts without words stay.
+    """
+    result = _grouped(docs, percent, shingle, fragments, id_col, text_col, True)
+    is_head = F.col("id").eqNullSafe(F.col("head.least")) & (F.col("sig") == F.col("head.sig")) & (F.col("n") == F.col("head.n"))
+    gone = result.where(F.col("head").isNotNull() & ~is_head).select(F.col("id").alias("__gone"), F.col("mark").alias("__mark")).distinct()
+    return docs.join(gone, docs[id_col].eqNullSafe(F.col("__gone")) & (text_mark(docs[text_col]) == F.col("__mark")), "left_anti")

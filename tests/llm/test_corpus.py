@@ -510,3 +510,48 @@ def test_pipeline_stages_take_odd_rows(spark, docs):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, odd, FOLDER).count() >= 0
         assert stage(spark, odd.limit(0), FOLDER).count() == 0
+
+
+def test_near_copies_of_the_pipeline_take_five_words_and_four_fifths(spark):
+    rng = random.Random(12)
+
+    def changed(words, places):
+        return [f"new{rng.randrange(10**6)}" if i in places else w for i, w in enumerate(words)]
+
+    long = [f"w{rng.randrange(10**6)}" for _ in range(1000)]
+    rows = [(1, " ".join(long)), (2, " ".join(changed(long, range(20, 1000, 46)))), (3, " ".join(changed(long, range(5, 1000, 40))))]
+    # An id with two texts: one is a near copy of id 1, the other stands alone; the same for ids that two groups share.
+    rows += [(4, " ".join(long[1:])), (4, "a clean text that no other document holds"), (5, "one two three"), (5, " ".join(long[2:])), (None, " ".join(long[3:]))]
+    apart = [[f"k{k}x{i}" for i in range(200)] for k in range(12)]
+    for k, words in enumerate(apart):
+        rows += [(100 + k, " ".join(words))] + [(200 + 10 * k + j, " ".join(changed(words, set(rng.sample(range(200), 3 + j))))) for j in range(3)]
+    # Two near copies of one id: one of them stays.
+    other = [f"z{i}" for i in range(100)]
+    rows += [(7, " ".join(other)), (7, " ".join(other[1:])), (6, None), (6, "")]
+
+    def shingles(text):
+        w = BLANKS.findall((text or "").translate(FOLD))
+        return frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+
+    sets, root = [shingles(t) for _, t in rows], list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and 10 * len(a & sets[j]) >= 8 * len(a | sets[j]):
+                root[find(i)] = find(j)
+    groups = defaultdict(list)
+    for i, row in enumerate(rows):
+        groups[find(i)].append(row)
+    made = corpus_pipeline.one_of_each(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3), FOLDER).collect()
+    kept = Counter((r.doc_id, r.text) for r in made)
+    for group in groups.values():
+        least = min((d for d, _ in group if d is not None), default=None)
+        left = [row for row in group if kept[row]]
+        assert len(left) == 1 and left[0][0] == least, (group, left)
+    assert sum(kept.values()) == len(groups) and kept[4, "a clean text that no other document holds"] == 1
+    assert find(0) == find(1) and kept[2, rows[1][1]] == 0
