@@ -23,19 +23,23 @@ from pyspark.sql import DataFrame
 
 from .shared import small_batches
 
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]{0,8192}"|'[^']{0,8192}')*+)>|"""
+# The usual tags in one step: few and short quoted values. A tag of the other form may have a > in a value; Page._tag_end looks for its end.
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>"']*+(?:(?:"[^"]{0,512}"|'[^']{0,512}')[^>"']*+){0,16}+)>|"""
                    r"""<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/a-zA-Z][^>]*\Z""", re.S)
+END_OR_QUOTE = re.compile(r"""[>"']""")
 NAME = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none)", re.I)
 
 # Elements by their part in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title noscript iframe template xmp noembed noframes".split())
+RAW_ENDS = {name: re.compile(f"</{name}", re.I | re.A) for name in RAW}
 DROPPED = frozenset("nav header footer aside form script style noscript iframe template button select textarea input label option menu dialog svg "
                     "canvas object embed audio video head title".split())
 BLOCKS = frozenset("address article aside blockquote body br center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                    "header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 CLOSES_P = BLOCKS - {"br", "body", "html", "td", "th", "tr", "tbody", "thead", "tfoot"}
+HIDES_P = frozenset("table td th button".split())
 # An element of the first kind ends open elements of the second, up to the third.
 SIBLINGS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
             "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
@@ -55,30 +59,53 @@ class Page:
         self.parent, self.tag, self.dropped = [-1], ["#page"], [False]
         self.pieces: list[tuple[int, str | None]] = []  # (node, text) or (node, None) for the border of a block
         stack = [0]
-        at, size, low = 0, len(source), source.lower()
+        # For each open element the place in the stack of the p that a block in it ends, or 0.
+        self.open_p = [0]
+        self.endless: set[int] = set()
+        at, size = 0, len(source)
         while at < size:
             m = TOKEN.search(source, at)
             self._text(stack[-1], source[at:m.start() if m else size])
             if not m:
                 break
             at = m.end()
+            attributes = m[3] if m[2] else m[6]
+            if m[5]:
+                end = self._tag_end(source, m.end(5))
+                if end >= 0:
+                    attributes, at = source[m.end(5):end], end + 1
             name = (m[2] or m[5] or "").lower()
             if not name:
                 continue
             if m[1] or m[4]:
                 self._close(stack, name)
                 continue
-            attributes = m[3] if m[2] else m[6]
             self._open(stack, name, attributes or "")
             if name in RAW:
-                end = low.find(f"</{name}", at)
-                end = size if end < 0 else end
+                found = RAW_ENDS[name].search(source, at)
+                end = found.start() if found else size
                 if name == "textarea":
                     self._text(stack[-1], source[at:end])
                 at = end
                 if end == size:
                     break
 
+    def _tag_end(self, source: str, at: int) -> int:
+        """Place of the > that ends a tag, outside quoted values of any length; -1 if a value or the tag has no end.
+
+        Quotes that led to no end are remembered, so all searches of a page together are linear in its length.
+        """
+        passed = []
+        while (m := END_OR_QUOTE.search(source, at)) and m.start() not in self.endless:
+            if m[0] == ">":
+                return m.start()
+            passed.append(m.start())
+            at = source.find(m[0], m.end()) + 1
+            if not at:
+                break
+        self.endless.update(passed)
+        return -1
+
     def _text(self, node: int, text: str) -> None:
         if text and not self.dropped[node]:
             self.pieces.append((node, html.unescape(text) if "&" in text else text))
@@ -88,8 +115,8 @@ class Page:
             self.pieces.append((node, None))
 
     def _open(self, stack: list[int], name: str, attributes: str) -> None:
-        if name in CLOSES_P and "p" in (self.tag[n] for n in stack[-64:]):
-            self._pop(stack, {"p"}, {"table", "td", "th", "button"})
+        if name in CLOSES_P and self.open_p[-1]:
+            self._cut(stack, self.open_p[-1])
         if name in SIBLINGS:
             self._pop(stack, *SIBLINGS[name])
         parent, drop = stack[-1], name in DROPPED
@@ -103,22 +130,26 @@ class Page:
         self.dropped.append(drop or self.dropped[parent])
         self._border(parent, name)
         if name not in VOID and not attributes.endswith("/"):
+            self.open_p.append(len(stack) if name == "p" else 0 if name in HIDES_P else self.open_p[-1])
             stack.append(node)
 
+    def _cut(self, stack: list[int], k: int) -> None:
+        """Ends the open element at place k, and all in it."""
+        self._border(self.parent[stack[k]], self.tag[stack[k]])
+        del stack[k:], self.open_p[k:]
+
     def _pop(self, stack: list[int], names: set[str], until: set[str]) -> None:
         for k in range(len(stack) - 1, 0, -1):
             if self.tag[stack[k]] in until:
                 return
             if self.tag[stack[k]] in names:
-                self._border(self.parent[stack[k]], self.tag[stack[k]])
-                del stack[k:]
+                self._cut(stack, k)
                 return
 
     def _close(self, stack: list[int], name: str) -> None:
         for k in range(len(stack) - 1, 0, -1):
             if self.tag[stack[k]] == name:
-                self._border(self.parent[stack[k]], name)
-                del stack[k:]
+                self._cut(stack, k)
                 return
 
     def inside(self, tops: set[int]) -> list[bool]:

@@ -243,6 +243,24 @@ def test_main_text(source, want):
     assert html_text.main_text(source) == want
 
 
+def test_html_long_values_deep_inlines_and_raw_ends():
+    Page = html_text.Page
+    value = "{'a': '<p>no</p><div>no</div>'}" * 1000
+    page = Page(f'<body><div data-x="{value}" title=\'{"b>" * 9000}\'><p>yes</p></div>')
+    assert page.tag == ["#page", "body", "div", "p"] and [t for _, t in page.pieces if t] == ["yes"]
+    assert html_text.main_text("<body><div " + 'a=">" ' * 50 + ">yes</div>") == "yes"
+    # A value without an end: the tag ends at the first >, and the page is still read in time that grows with its length.
+    assert html_text.main_text('<body><p title="x>yes</p>') == "yes"
+    assert len(Page("<a \"'>'" * 30001).tag) > 1
+    # A block ends an open p under any number of inline elements, but not one outside of a table cell.
+    page = Page("<body><p>" + "<b>" * 100 + "x<div>y</div>")
+    assert page.parent[page.tag.index("div")] == page.tag.index("body")
+    page = Page("<body><p><table><td>" + "<b>" * 100 + "x<div>y</div></table><div>z")
+    assert [page.tag[page.parent[i]] for i, t in enumerate(page.tag) if t == "div"] == ["b", "body"]
+    for raw in ("script", "STYLE", "title", "noscript"):
+        assert html_text.main_text("<body><p>" + "İ" * 40 + f"</p><{raw}>x < y</{raw.title()}><p>after</p></body>") == "İ" * 40 + "\nafter"
+
+
 def test_html_pages(spark):
     rows = [(1, "u", None, 5), (2, None, "<p>" * 30000 + "deep", 5), (2, None, "<p>" * 30000 + "deep", 5), (3, "u", "<div>" * 5000 + "x", 1)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
