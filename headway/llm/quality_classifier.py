@@ -112,14 +112,18 @@ def weigh(docs: DataFrame, ratios: np.ndarray, seed: int = SEED, temperature: fl
     return scored.withColumn("key", F.col("weight") - temperature * F.log(-F.log(unit)))
 
 
-def best_cut(keys: np.ndarray, good: np.ndarray) -> float | None:
-    """The cut with the fewest labelled documents on the wrong side, both kinds weighing the same."""
+def best_cut(keys: np.ndarray, good: np.ndarray, times: np.ndarray | None = None) -> float | None:
+    """The cut with the fewest labelled documents on the wrong side, both kinds weighing the same.
+
+    ``times`` says how many documents each key stands for; without it, one.
+    """
     if not good.any() or good.all():
         return None
     order = np.argsort(keys, kind="stable")
-    keys, good = keys[order], good[order].astype(float)
+    keys, times = keys[order], np.ones(len(keys)) if times is None else times[order].astype(float)
+    good, bad = np.where(good[order], times, 0.0), np.where(good[order], 0.0, times)
     # Cutting below place i rejects the i lowest keys.
-    wrong = np.concatenate([[0], np.cumsum(good)]) / good.sum() + (len(good) - good.sum() - np.concatenate([[0], np.cumsum(1 - good)])) / (len(good) - good.sum())
+    wrong = np.concatenate([[0], np.cumsum(good)]) / good.sum() + (bad.sum() - np.concatenate([[0], np.cumsum(bad)])) / bad.sum()
     edges = np.concatenate([[-np.inf], (keys[:-1] + keys[1:]) / 2, [np.inf]])
     usable = np.concatenate([[True], keys[1:] > keys[:-1], [True]])
     wrong = np.where(usable, wrong, np.inf)

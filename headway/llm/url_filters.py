@@ -123,10 +123,7 @@ def judge_urls(pages: DataFrame, rules: dict[str, str] = RULES, buckets: int = B
             .groupBy(F.round("score", 3).alias("score"), "accepted").agg(F.count("*").alias("n")).toArrow())
     cut = None
     if bins.num_rows and table[0].any() and table[1].any():
-        times = bins.column(2).to_numpy()
-        scale = max(1, int(times.sum() // 200_000))
-        times = np.maximum(1, times // scale)
-        cut = best_cut(np.repeat(bins.column(0).to_numpy(), times), np.repeat(bins.column(1).to_numpy() == 1, times))
+        cut = best_cut(bins.column(0).to_numpy(), bins.column(1).to_numpy() == 1, bins.column(2).to_numpy())
     id_type = dict(pages.dtypes)[id_col]
     scored = ruled.mapInArrow(score, f"id {id_type}, url string, host string, path string, rule string, ruled string, score double")
     own = F.when(F.col("score") >= F.lit(float(cut) if cut is not None else float("-inf")), "allow").otherwise("block")

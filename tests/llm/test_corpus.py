@@ -296,6 +296,20 @@ def test_url_rules(spark):
     assert url_filters.judge_urls(spark.createDataFrame([], "page_id long, url string")).count() == 0
 
 
+def test_cut_of_weighted_bins_is_that_of_single_rows():
+    best_cut, rng = quality_classifier.best_cut, np.random.default_rng(3)
+    for _ in range(50):
+        keys, good, times = rng.integers(0, 12, 30) / 4, rng.random(30) < 0.4, rng.integers(1, 9, 30)
+        assert best_cut(keys, good, times) == best_cut(np.repeat(keys, times), np.repeat(good, times))
+    assert best_cut(np.array([1.0]), np.array([True]), np.array([5])) is None
+
+
+def test_cut_keeps_counts_of_a_rare_class_at_any_size():
+    keys, good = np.tile(np.arange(6.0), 2), np.repeat([False, True], 6)
+    times = np.array([107399, 57397, 143847, 24466, 66000, 256568, 8, 10, 10, 10, 4, 6])
+    assert quality_classifier.best_cut(keys, good, times) == quality_classifier.best_cut(np.repeat(keys, times), np.repeat(good, times)) == np.inf
+
+
 def test_url_model_separates_held_out_urls(spark):
     rng = random.Random(4)
 
