@@ -1,14 +1,17 @@
 """URL filters: host and path rules, and a ratio of two character language models for the urls that no rule judges.
 
 Urls with a rule's verdict are the accepted and the rejected training texts. For each class a Markov model of order 0 to
-4 over bytes is counted in hashed tables; a longer context is smoothed by the shorter one. A url's score is the
+4 over bytes is counted, context by context; a longer context is smoothed by the shorter one. A url's score is the
 difference of the two log-likelihoods per byte. A fifth of the ruled urls, picked by hash, is not counted but used to
 find the cut with the fewest errors (both classes weighing the same); urls at or above the cut are allowed.
 
+The model is a table with a row for each distinct window (a byte and the four before it) and grows with the urls: nothing
+of it is collected or of a fixed size. Windows are gathered by chunks of urls, so a window of all urls meets the model
+once for each chunk, and each chunk gets the values of its windows back.
+
 Defined results: a null url, or one without ``://``, has an empty host and path and no rule; a null url scores 0 and is
 judged like the empty text. Equal urls get equal verdicts and all rows stay. Urls of any length are read whole. If one
-class has no url, everything without a rule is allowed. An empty table gives an empty result. The tables for the models
-have a fixed size; counts cover all ruled urls.
+class has no url, everything without a rule is allowed. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -17,16 +20,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .quality_classifier import best_cut
-from .shared import lower_ascii, small_batches
-from .text_arrays import BASE, BYTE_VALUES, Texts, mix, slices
+from .shared import lower_ascii, small_batches, stored
+from .text_arrays import Texts, slices
 
 ORDERS = 5
-BUCKETS = 1 << 14
 STRENGTH = 2.0
+# A window holds its symbols in nine bits each, the last one lowest: bytes, and one more symbol before the begin of a url.
+BITS, BEGIN = 9, 256
+# Urls are dealt out in chunks of about so many bytes.
+CHUNK_BYTES = 1 << 19
 
 # Rules as host and path, with their verdicts.
 RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
@@ -52,58 +60,88 @@ def rule_of(host: Column, path: Column, rules: dict[str, str] = RULES) -> Column
     return chosen if chosen is not None else F.lit(None).cast("string")
 
 
-def _places(texts: Texts, buckets: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """For each order: the bucket of every byte's context, and of context and byte."""
+def url_windows(texts: Texts) -> np.ndarray:
+    """For every byte the window of it and the four symbols before."""
     n = len(texts.bytes)
-    value = BYTE_VALUES[texts.bytes]
-    begin = np.repeat(texts.offsets[:-1], np.diff(texts.offsets))
-    where = np.arange(n)
-    context, found = np.zeros(n, np.uint64), []
-    for order in range(ORDERS):
-        if order:
-            before = np.where(where - order >= begin, value[np.maximum(where - order, 0)], np.uint64(order))
-            context = mix(context * BASE + before)
-        found.append(((context >> np.uint64(11)).astype(np.int64) % buckets, (mix(context * BASE + value + np.uint64(1)) >> np.uint64(11)).astype(np.int64) % buckets))
+    value = texts.bytes.astype(np.int64)
+    begin, where = np.repeat(texts.offsets[:-1], np.diff(texts.offsets)), np.arange(n)
+    found = value.copy()
+    for back in range(1, ORDERS):
+        found |= np.where(where - back >= begin, value[np.maximum(where - back, 0)], BEGIN) << (BITS * back)
     return found
 
 
-def fit_url_models(urls: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
-    """Counts[class, order, context or pair, bucket]; class 1 is accepted. ``urls``: url, accepted."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros((2, ORDERS, 2, buckets), np.int64)
+def chunked(urls: DataFrame) -> DataFrame:
+    """``urls`` (with a column url) and the chunk of each row."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, task = 0, TaskContext.get().partitionId()
+        for batch in batches:
+            sizes = before + np.cumsum(64 + pc.fill_null(pc.binary_length(batch.column("url")), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+            before = int(sizes[-1]) if len(sizes) else before
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array((task << 32) | (sizes // CHUNK_BYTES))], names=[*batch.schema.names, "chunk"])
+
+    return urls.mapInArrow(work, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in urls.schema), "chunk long"]))
+
+
+def chunk_windows(urls: DataFrame) -> DataFrame:
+    """(chunk, window, a, r): the distinct windows of each chunk, and how often they stand in urls with accepted 1 and 0."""
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in slices(batches, "url"):
-            accepted = np.repeat(part.column("accepted").to_numpy(zero_copy_only=False).astype(np.int64), np.diff(texts.offsets))
-            for order, pair in enumerate(_places(texts, buckets)):
-                for side in (0, 1):
-                    for kind in (0, 1):
-                        table[side, order, kind] += np.bincount(pair[kind][accepted == side], minlength=buckets)
-        flat = table.reshape(-1)
-        full = np.flatnonzero(flat)
-        yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(flat[full])], names=["cell", "n"])
-
-    sums = urls.mapInArrow(count, "cell long, n long").groupBy("cell").agg(F.sum("n")).toArrow()
-    table = np.zeros(2 * ORDERS * 2 * buckets)
-    table[sums.column(0).to_numpy()] = sums.column(1).to_numpy()
-    return table.reshape(2, ORDERS, 2, buckets).astype(np.float32)
-
-
-def log_ratios(texts: Texts, table: np.ndarray) -> np.ndarray:
-    """Mean over the bytes of log P(accepted) - log P(rejected); 0 for an empty url."""
-    total = np.zeros(len(texts.bytes))
-    places = _places(texts, table.shape[-1])
-    for side, sign in ((1, 1.0), (0, -1.0)):
-        p = np.full(len(texts.bytes), 1 / 256)
-        for order, (context, pair) in enumerate(places):
-            seen = table[side, order, 0][context].astype(float)
-            both = np.minimum(table[side, order, 1][pair], seen)
-            p = (both + STRENGTH * p) / (seen + STRENGTH)
-        total += sign * np.log(p)
-    lengths = np.diff(texts.offsets)
-    owner = np.repeat(np.arange(texts.n), lengths)
-    return np.bincount(owner, weights=total, minlength=texts.n) / np.maximum(lengths, 1)
-
-
-def judge_urls(pages: DataFrame, rules: dict[str, str] = RULES, buckets: int = BUCKETS, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+            if not len(texts.bytes):
+                continue
+            lengths = np.diff(texts.offsets)
+            chunks, local = np.unique(part.column("chunk").to_numpy(), return_inverse=True)
+            accepted = np.repeat(pc.fill_null(part.column("accepted"), -1).to_numpy(zero_copy_only=False), lengths)
+            keys, back = np.unique((np.repeat(local, lengths).astype(np.int64) << (BITS * ORDERS)) | url_windows(texts), return_inverse=True)
+            counts = [pa.array(np.bincount(back[accepted == side], minlength=len(keys)).astype(np.int64)) for side in (1, 0)]
+            yield pa.RecordBatch.from_arrays([pa.array(chunks[keys >> (BITS * ORDERS)]), pa.array(keys & ((1 << (BITS * ORDERS)) - 1)), *counts],
+                                             names=["chunk", "window", "a", "r"])
+
+    found = urls.select("url", "chunk", "accepted").mapInArrow(work, "chunk long, window long, a long, r long")
+    return found.groupBy("chunk", "window").agg(F.sum("a").alias("a"), F.sum("r").alias("r"))
+
+
+def window_ratios(counts: DataFrame) -> DataFrame:
+    """(window, ratio): log P(accepted) - log P(rejected) of each window's byte after its context. ``counts``: window, a, r."""
+    levels = [counts.select(F.col("window").alias("key"), "a", "r")]
+    for order in range(ORDERS - 2, -1, -1):
+        shorter = F.col("key").bitwiseAND(F.lit((1 << (BITS * (order + 1))) - 1))
+        levels.append(levels[-1].groupBy(shorter.alias("key")).agg(F.sum("a").alias("a"), F.sum("r").alias("r")))
+    model = None
+    for order, level in enumerate(reversed(levels)):
+        # A context has a row for each symbol after it, and a shorter window one for each symbol before it: 257 at most.
+        context = Window.partitionBy(F.shiftright("key", BITS))
+        seen = level.select("key", "a", "r", F.sum("a").over(context).alias("sa"), F.sum("r").over(context).alias("sr"))
+        if model is None:
+            seen = seen.withColumns({"pa": F.lit(1 / 256), "pr": F.lit(1 / 256)})
+        else:
+            seen = seen.withColumn("shorter", F.col("key").bitwiseAND(F.lit((1 << (BITS * order)) - 1))).join(model.withColumnRenamed("key", "shorter"), "shorter")
+        model = seen.select("key", *(((F.col(n) + STRENGTH * F.col(f"p{n}")) / (F.col(f"s{n}") + STRENGTH)).alias(f"p{n}") for n in ("a", "r")))
+    return model.select(F.col("key").alias("window"), (F.log("pa") - F.log("pr")).alias("ratio"))
+
+
+def scored_urls(urls: DataFrame, ratios: DataFrame) -> DataFrame:
+    """``urls`` (with url and chunk) and their score: the mean ratio of the windows; 0 for an empty url. ``ratios``: chunk, window, ratio."""
+    names = urls.columns
+
+    def work(rows: pa.Table, values: pa.Table) -> pa.Table:
+        window, ratio = values.column("window").to_numpy(), values.column("ratio").to_numpy()
+        order = np.argsort(window)
+        window, ratio = window[order], ratio[order]
+        made = []
+        for part, texts in slices(iter(rows.select(names).combine_chunks().to_batches()), "url"):
+            lengths = np.diff(texts.offsets)
+            owner = np.repeat(np.arange(texts.n), lengths)
+            each = ratio[np.searchsorted(window, url_windows(texts))] if len(owner) else np.zeros(0)
+            score = np.bincount(owner, weights=each, minlength=texts.n) / np.maximum(lengths, 1)
+            made.append(pa.RecordBatch.from_arrays([*part.columns, pa.array(score)], names=[*names, "score"]))
+        return pa.Table.from_batches(made)
+
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in urls.schema), "score double"])
+    return urls.groupBy("chunk").cogroup(ratios.groupBy("chunk")).applyInArrow(work, schema)
+
+
+def judge_urls(pages: DataFrame, rules: dict[str, str] = RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
     """One row per page: id, host, path, rule, score and verdict."""
     url = F.coalesce(F.col(url_col), F.lit(""))
     parts = small_batches(pages).select(F.col(id_col).alias("id"), url.alias("url"), host_of(url).alias("host"), path_of(url).alias("path"))
@@ -111,20 +149,16 @@ def judge_urls(pages: DataFrame, rules: dict[str, str] = RULES, buckets: int = B
     verdicts = F.create_map(*(F.lit(x) for pair in rules.items() for x in pair)) if rules else F.create_map().cast("map<string,string>")
     ruled = ruled.withColumn("ruled", F.when(F.col("rule").isNotNull(), F.element_at(verdicts, F.col("rule"))))
     # Equal urls fall on the same side of the split.
-    known = ruled.where("ruled is not null").select("url", (F.col("ruled") == "allow").cast("int").alias("accepted"),
-                                                   (F.pmod(F.xxhash64("url"), F.lit(5)) == 0).alias("held"))
-    table = fit_url_models(known.where("not held").select("url", "accepted"), buckets)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in slices(batches, "url"):
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(log_ratios(texts, table))], names=[*part.schema.names, "score"])
-
-    bins = (known.where("held").mapInArrow(score, "url string, accepted int, held boolean, score double")
-            .groupBy(F.round("score", 3).alias("score"), "accepted").agg(F.count("*").alias("n")).toArrow())
-    cut = None
-    if bins.num_rows and table[0].any() and table[1].any():
+    ruled = ruled.withColumn("held", F.pmod(F.xxhash64("url"), F.lit(5)) == 0)
+    ruled = stored(chunked(ruled), "urls")
+    known = F.when(F.col("ruled").isNotNull(), (F.col("ruled") == "allow").cast("int"))
+    used = stored(chunk_windows(ruled.withColumn("accepted", F.when(~F.col("held"), known))), "windows")
+    counts = stored(used.groupBy("window").agg(F.sum("a").alias("a"), F.sum("r").alias("r")), "counts")
+    scored = stored(scored_urls(ruled, used.select("chunk", "window").join(window_ratios(counts), "window")), "scored")
+    bins = (scored.where("held and ruled is not null").groupBy(F.round("score", 3).alias("score"), known.alias("accepted"))
+            .agg(F.count("*").alias("n")).toArrow())
+    cut, both = None, counts.agg(F.max("a"), F.max("r")).first()
+    if bins.num_rows and both[0] and both[1]:
         cut = best_cut(bins.column(0).to_numpy(), bins.column(1).to_numpy() == 1, bins.column(2).to_numpy())
-    id_type = dict(pages.dtypes)[id_col]
-    scored = ruled.mapInArrow(score, f"id {id_type}, url string, host string, path string, rule string, ruled string, score double")
     own = F.when(F.col("score") >= F.lit(float(cut) if cut is not None else float("-inf")), "allow").otherwise("block")
     return scored.select(F.col("id").alias(id_col), "host", "path", "rule", "score", F.coalesce("ruled", own).alias("verdict"))

@@ -323,6 +323,41 @@ def test_url_model_separates_held_out_urls(spark):
     assert sum((r.verdict == "allow") == (r.page_id % 2 == 1) for r in rows) >= 190
 
 
+def test_url_scores_are_those_of_exact_counts(spark, monkeypatch):
+    monkeypatch.setattr(url_filters, "CHUNK_BYTES", 2000)
+    rng = random.Random(8)
+    urls = [f"http://{''.join(rng.choices(LOWER + '0123456789-', k=rng.randint(1, 30)))}.{rng.choice(['org/fr/', 'net/', 'info/'])}{rng.randint(1, 10**9)}" for _ in range(3000)]
+    urls += [None, "", "é://日本.net/", urls[0], urls[0], "http://a.org/fr/" + "long" * 3000]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").repartition(3)
+    held = {r.url: r.h == 0 for r in pages.select("url", F.pmod(F.xxhash64(F.coalesce("url", F.lit(""))), F.lit(5)).alias("h")).collect()}
+    got = {r.page_id: r for r in url_filters.judge_urls(pages).collect()}
+    counts = [Counter(), Counter()]
+
+    def places(url):
+        symbols = [256] * 4 + list((url or "").encode())
+        return [tuple(symbols[i - 4:i + 1]) for i in range(4, len(symbols))]
+
+    for i, url in enumerate(urls):
+        if got[i].rule and not held[url]:
+            side = counts[url_filters.RULES[got[i].rule] == "allow"]
+            for w in places(url):
+                for order in range(5):
+                    side[w[4 - order:]] += 1
+                    side[w[4 - order:4], "context"] += 1
+
+    def log_p(side, w):
+        p = 1 / 256
+        for order in range(5):
+            p = (side[w[4 - order:]] + 2.0 * p) / (side[w[4 - order:4], "context"] + 2.0)
+        return math.log(p)
+
+    assert len(got) == len(urls) and len({w for u in urls for w in places(u)}) > 1 << 14
+    for i, url in enumerate(urls):
+        w = places(url)
+        want = sum(log_p(counts[1], x) - log_p(counts[0], x) for x in w) / max(len(w), 1)
+        assert got[i].score == pytest.approx(want, abs=1e-9)
+
+
 # ---- 7 ------------------------------------------------------------------------------------------------------------
 
 
