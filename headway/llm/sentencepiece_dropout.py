@@ -2,10 +2,10 @@
 
 A byte-pair model's merges are worked off from an agenda: the best piece first, the leftmost of equals. A candidate merge
 is known by where its two parts begin and end in their unit (a word with the space marks before it); a keyed hash of
-seed, variant, unit and these places tells whether it is skipped when its turn comes. So a text is cut into shorter
-pieces than without dropout, in another way for each key, yet the same way on every run and every executor. Which of
-``variants`` ways a unit takes comes from a hash of seed, document and place in the text; equal units of one variant are
-cut once per slice. With dropout 0 the ids are those of the model.
+seed, document, place of the unit in the text, unit and these places tells whether it is skipped when its turn comes. So
+a text is cut into shorter pieces than without dropout, each occurrence of a unit by its own draws, yet the same way on
+every run and every executor. Equal units whose draws skip the same of all merges the unit can have are cut once. With
+dropout 0 the ids are those of the model.
 
 Short units are worked off together, as rows of arrays; the agenda of a row is the smallest rank in it. Long units have
 an agenda of their own (a heap), so that a text without any space costs n log n.
@@ -37,9 +37,10 @@ from .text_arrays import mix
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 29
-VARIANTS = 8
 # Units of more symbols than this have a heap; texts are handled in slices of about so many characters.
 WIDE = 40
+# Units of at most this many symbols have their possible merges listed, so that occurrences with equal draws share a cut.
+SHARED = 16
 SLICE_CHARS = 1 << 19
 MARK = "▁"
 NONE = np.int64(2**40)
@@ -113,10 +114,104 @@ def read_vocabulary(path: str = MODEL) -> Vocabulary:
                       bool(model.encode("a", out_type=str)[0].startswith(MARK)), hashlib.sha256(model.serialized_model_proto()).hexdigest())
 
 
+def _place(start: np.ndarray, mid: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return mix((start.astype(np.uint64) << np.uint64(42)) ^ (mid.astype(np.uint64) << np.uint64(21)) ^ end.astype(np.uint64))
+
+
 def _skipped(key: np.ndarray, start: np.ndarray, mid: np.ndarray, end: np.ndarray, limit: int) -> np.ndarray:
     """Whether the merge of [start, mid) and [mid, end) of a unit is skipped under its key."""
-    place = (start.astype(np.uint64) << np.uint64(42)) ^ (mid.astype(np.uint64) << np.uint64(21)) ^ end.astype(np.uint64)
-    return (mix(key ^ mix(place)) >> np.uint64(11)) < np.uint64(limit)
+    return (mix(key ^ _place(start, mid, end)) >> np.uint64(11)) < np.uint64(limit)
+
+
+class Known:
+    """Cut units, or their merges, that this process keeps for later slices and tasks, at most KNOWN_UNITS. Results don't depend on it."""
+
+    def __init__(self, kind: type = np.int32) -> None:
+        self.settings, self.kind = None, kind
+        self.start_over(None)
+
+    def start_over(self, settings) -> None:
+        self.settings, self.keys = settings, np.zeros(0, np.uint64)
+        self.at, self.n, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.kind)
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which of the sorted keys are known, and where."""
+        if not len(self.keys):
+            return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
+        where = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return self.keys[where] == keys, where
+
+    def keep(self, keys: np.ndarray, n: np.ndarray, at: np.ndarray, pool: np.ndarray) -> None:
+        if len(self.keys) + len(keys) > KNOWN_UNITS or len(self.pool) + len(pool) > 8 * KNOWN_UNITS:
+            return
+        at = at + len(self.pool)
+        self.pool = np.concatenate([self.pool, pool])
+        place = np.searchsorted(self.keys, keys)
+        self.keys, self.n, self.at = np.insert(self.keys, place, keys), np.insert(self.n, place, n), np.insert(self.at, place, at)
+
+
+_known, _merges = Known(), Known(np.uint64)
+
+
+def possible_merges(v: Vocabulary, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Row and mixed place (as in _skipped) of every merge that units of equal length can come to under any draws."""
+    n, width = symbols.shape
+    span = np.full((n, width + 1, width + 1), -1, np.int32)
+    at = np.arange(width)
+    span[:, at, at + 1] = np.maximum(symbols, -1)
+    rows, places = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for size in range(2, width + 1):
+        start = np.repeat(np.arange(width - size + 1), size - 1)
+        mid = start + np.tile(np.arange(1, size), width - size + 1)
+        left, right = span[:, start, mid], span[:, mid, start + size]
+        row, col = np.nonzero((left >= 0) & (right >= 0))
+        if not len(row):
+            continue
+        merged, _ = v.pairs(left[row, col], right[row, col])
+        row, col, merged = row[merged >= 0], col[merged >= 0], merged[merged >= 0]
+        begin, cut = start[col], mid[col]
+        span[row, begin, begin + size] = merged
+        rows.append(row)
+        places.append(_place(begin, cut, begin + size))
+    return np.concatenate(rows), np.concatenate(places)
+
+
+def shared_keys(v: Vocabulary, sym: np.ndarray, starts: np.ndarray, lengths: np.ndarray, unit: np.ndarray, own: np.ndarray, limit: int) -> np.ndarray:
+    """A key for each occurrence of a unit; equal keys have equal units and skip the same merges. Long units keep their own."""
+    key = own.copy()
+    short = np.flatnonzero(lengths <= SHARED)
+    if not len(short):
+        return key
+    distinct, first, back = np.unique(unit[short], return_index=True, return_inverse=True)
+    first = short[first]
+    if not v.source or _merges.settings != v.source:
+        _merges.start_over(v.source)
+    is_known, where = _merges.find(distinct)
+    fresh = np.flatnonzero(~is_known)
+    rows, places = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for width in np.unique(lengths[first[fresh]]).tolist():
+        chosen = fresh[lengths[first[fresh]] == width]
+        row, place = possible_merges(v, sym[starts[first[chosen]][:, None] + np.arange(width)])
+        rows.append(chosen[row])
+        places.append(place)
+    row, place = np.concatenate(rows), np.concatenate(places)
+    order = np.argsort(row, kind="stable")
+    count = np.bincount(row, minlength=len(distinct))
+    head = np.cumsum(count) - count + len(_merges.pool)
+    new, pool = place[order], _merges.pool
+    count[is_known], head[is_known] = _merges.n[where[is_known]], _merges.at[where[is_known]]
+    _merges.keep(distinct[fresh], count[fresh], head[fresh] - len(pool), new)
+    place = np.concatenate([pool, new])
+    # In blocks, as each occurrence has a draw for each merge of its unit.
+    for lo in range(0, len(short), 1 << 15):
+        part, which = short[lo:lo + (1 << 15)], back[lo:lo + (1 << 15)]
+        times = count[which]
+        ends = np.cumsum(times)
+        each = place[np.repeat(head[which] - (ends - times), times) + np.arange(int(ends[-1]))]
+        skipped = (mix(np.repeat(own[part], times) ^ each) >> np.uint64(11)) < np.uint64(limit)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(np.where(skipped, each, np.uint64(0)), dtype=np.uint64)])
+        key[part] = mix(unit[part] ^ mix(sums[ends] - sums[ends - times] + np.uint64(1)))
+    return key
 
 
 def cut_rows(v: Vocabulary, symbols: np.ndarray, keys: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -199,38 +294,7 @@ def cut_long(v: Vocabulary, symbols: np.ndarray, key: np.uint64, limit: int) ->
     return [sym[i] for i in starts], starts
 
 
-class Known:
-    """Cut units that this process keeps for later slices and tasks, at most KNOWN_UNITS. Results don't depend on it."""
-
-    def __init__(self) -> None:
-        self.settings = None
-        self.start_over(None)
-
-    def start_over(self, settings) -> None:
-        self.settings, self.keys = settings, np.zeros(0, np.uint64)
-        self.at, self.n, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which of the sorted keys are known, and where."""
-        if not len(self.keys):
-            return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
-        where = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return self.keys[where] == keys, where
-
-    def keep(self, keys: np.ndarray, n: np.ndarray, at: np.ndarray, pool: np.ndarray) -> None:
-        if len(self.keys) + len(keys) > KNOWN_UNITS or len(self.pool) + len(pool) > 8 * KNOWN_UNITS:
-            return
-        at = at + len(self.pool)
-        self.pool = np.concatenate([self.pool, pool])
-        place = np.searchsorted(self.keys, keys)
-        self.keys, self.n, self.at = np.insert(self.keys, place, keys), np.insert(self.n, place, n), np.insert(self.at, place, at)
-
-
-_known = Known()
-
-
-def encode_texts(v: Vocabulary, texts: list[str], salts: np.ndarray, dropout: float = DROPOUT, seed: int = SEED,
-                 variants: int = VARIANTS) -> tuple[np.ndarray, np.ndarray]:
+def encode_texts(v: Vocabulary, texts: list[str], salts: np.ndarray, dropout: float = DROPOUT, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all texts one after the other, and how many each text has. ``salts`` has a number for each document."""
     limit = int(round(dropout * (1 << 53)))
     # U+2581 of the text itself stays apart from the marks: it has no symbol here.
@@ -263,10 +327,11 @@ def encode_texts(v: Vocabulary, texts: list[str], salts: np.ndarray, dropout: fl
     unit = mix(np.add.reduceat(value * powers[inside], starts) + lengths.astype(np.uint64))
     if limit:
         nth = np.arange(len(starts)) - np.searchsorted(owner, owner)
-        way = mix(mix(salts[owner] ^ np.uint64(seed)) ^ nth.astype(np.uint64)) % np.uint64(variants)
-        key = mix(unit ^ mix(way + mix(np.array([seed], np.uint64))))
+        draw = mix(mix(salts[owner] ^ np.uint64(seed)) ^ nth.astype(np.uint64))
+        own = mix(unit ^ mix(draw + mix(np.array([seed], np.uint64))))
+        key = shared_keys(v, sym, starts, lengths, unit, own, limit)
     else:
-        key = unit
+        key = own = unit
     distinct, all_first, back = np.unique(key, return_index=True, return_inverse=True)
     settings = (v.source, limit)
     if _known.settings != settings:
@@ -281,12 +346,12 @@ def encode_texts(v: Vocabulary, texts: list[str], salts: np.ndarray, dropout: fl
         chosen = np.flatnonzero(size_of == width)
         if width <= WIDE:
             grid = starts[first[chosen]][:, None] + np.arange(width)
-            cut, begin = cut_rows(v, sym[grid], key[first[chosen]], limit)
+            cut, begin = cut_rows(v, sym[grid], own[first[chosen]], limit)
             full = cut != -2
             flat, place = cut[full], (begin + starts[first[chosen]][:, None])[full]
             n = full.sum(axis=1)
         else:
-            parts = [cut_long(v, sym[s:s + width], key[f], limit) for f, s in zip(first[chosen], starts[first[chosen]])]
+            parts = [cut_long(v, sym[s:s + width], own[f], limit) for f, s in zip(first[chosen], starts[first[chosen]])]
             n = np.array([len(p[0]) for p in parts])
             flat = np.array([x for p in parts for x in p[0]], np.int64)
             place = np.array([x + s for p, s in zip(parts, starts[first[chosen]]) for x in p[1]], np.int64)
@@ -301,7 +366,7 @@ def encode_texts(v: Vocabulary, texts: list[str], salts: np.ndarray, dropout: fl
     every[~is_known], begin[~is_known] = counts, placed + (len(pool) - len(fresh))
     every[is_known], begin[is_known] = _known.n[where[is_known]], _known.at[where[is_known]]
     if v.source:
-        short = size_of <= WIDE
+        short = size_of <= (SHARED if limit else WIDE)
         if short.any():
             taken = np.repeat(placed[short] - (np.cumsum(counts[short]) - counts[short]), counts[short]) + np.arange(int(counts[short].sum()))
             _known.keep(distinct[~is_known][short], counts[short], np.cumsum(counts[short]) - counts[short], fresh[taken])
@@ -336,7 +401,7 @@ def _salts(column: pa.Array) -> np.ndarray:
     return mix(pc.fill_null(column, 0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
 
 
-def encode(docs: DataFrame, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS,
+def encode(docs: DataFrame, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED,
            id_col: str = "doc_id", text_col: str = "text", out_col: str = "ids", check_col: str | None = None) -> DataFrame:
     """``docs`` with ``out_col``, the ids of the text, and with ``check_col`` whether they decode to it.
 
@@ -354,7 +419,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, dropout: float = DROPOUT, se
                 if hi > lo:
                     part = batch.slice(lo, hi - lo)
                     texts = part.column(text_col)
-                    ids, n = encode_texts(vocabulary, [t or "" for t in texts.to_pylist()], _salts(part.column(id_col)), dropout, seed, variants)
+                    ids, n = encode_texts(vocabulary, [t or "" for t in texts.to_pylist()], _salts(part.column(id_col)), dropout, seed)
                     lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(ids),
                                                      mask=texts.is_null() if texts.null_count else None)
                     columns = [lists]

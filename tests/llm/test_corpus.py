@@ -114,6 +114,28 @@ def test_rows_and_heap_follow_the_agenda(vocabulary, dropout):
         assert sentencepiece_dropout.cut_long(vocabulary, symbols, key, limit)[0] == want
 
 
+def test_dropout_is_drawn_for_each_occurrence(vocabulary, monkeypatch):
+    rng = random.Random(7)
+    words = ["information", "ab", "the", "日本語", "naïve▁x", "international", "x" * 60, "counterrevolutionaries"]
+    texts = [" ".join(rng.choices(words, k=rng.randint(0, 300))) for _ in range(40)]
+    salts = np.arange(40, dtype=np.uint64)
+    ids, n = sentencepiece_dropout.encode_texts(vocabulary, texts, salts)
+    monkeypatch.setattr(sentencepiece_dropout, "SHARED", 0)
+    alone, m = sentencepiece_dropout.encode_texts(vocabulary, texts, salts)
+    assert (ids == alone).all() and (n == m).all()
+    monkeypatch.undo()
+    # The share of skips is that of the dropout for every word with one merge, and long words have many segmentations.
+    names = vocabulary.ids
+    two = [w for w in ("▁" + c for c in UPPER + LOWER) if w in names and len(w) == 2]
+    assert len(two) > 40
+    for piece in two:
+        ids, n = sentencepiece_dropout.encode_texts(vocabulary, [" ".join([piece[1]] * 4000)], np.ones(1, np.uint64))
+        assert 0.07 < (n[0] - 4000) / 4000 < 0.13
+    ids, n = sentencepiece_dropout.encode_texts(vocabulary, ["information"] * 3000, np.arange(3000, dtype=np.uint64))
+    ends = np.cumsum(n)
+    assert len({tuple(ids[e - k:e]) for e, k in zip(ends, n)}) > 30
+
+
 def test_dropout_round_trip_and_keys(spark, docs, vocabulary):
     extra = docs.unionByName(spark.createDataFrame([(900, "▁ mark ▁▁ itself", "", 0, "", 0)], docs.schema))
     made = sentencepiece_dropout.decode(sentencepiece_dropout.encode(extra, vocabulary), vocabulary)
