@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (decontaminate, html_text, jaccard_join, licenses, line_dedup, quality_classifier, quality_rules, secret_scan,
-               sentencepiece_dropout, url_filters)
+from . import (decontaminate, html_text, jaccard_join, language_id, licenses, line_dedup, periodic_runs, quality_classifier, quality_rules,
+               secret_scan, sentencepiece_dropout, token_alignment, url_filters)
 from .shared import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -288,3 +288,47 @@ def secret_scan_query(spark: SparkSession, folder: str) -> DataFrame:
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
     return found.select("doc_id", number("assign"), number("access"), number("hex"), sha256(joined(base)).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+@query("op11_token_alignment")
+def token_alignment_query(spark: SparkSession, folder: str) -> DataFrame:
+    """How the tokens of a byte-level and a piece model cover every document."""
+    made = token_alignment.align(table(spark, folder, "documents"), token_alignment.read_tokenizers())
+    return made.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                       F.when(F.col("alignment") == "", "").otherwise(sha256(F.col("alignment"))).alias("groups_sha256"))
+
+
+def id_crc(doc_id: str = "doc_id") -> Column:
+    return F.crc32(F.col(doc_id).cast("string").cast("binary"))
+
+
+@query("op12_language_id")
+def language_id_query(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document by a model of those that are not held out."""
+    docs = table(spark, folder, "documents")
+    model = language_id.fit(docs.where(id_crc() % 5 != 0))
+    asked = docs.select("doc_id", "text", F.coalesce(id_crc() % 5 == 0, F.lit(False)).alias("held_out"))
+    return language_id.predict(asked, model).select("doc_id", "held_out", "lang_pred", "score")
+
+
+def with_planted_period(docs: DataFrame) -> DataFrame:
+    """The documents of op13: those that the contract picks by their id have their words repeated with a period from some place on."""
+    split = F.array_remove(F.split("text", r"[\x20\x09-\x0D]+", -1), "")
+    rows = docs.select("doc_id", "text", id_crc().alias("h")).withColumn("words", F.when(F.col("h") % 10 == 0, split))
+    rows = rows.withColumns({"n": F.size("words").cast("long"), "g": F.expr("h div 10")}).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    rows = rows.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")
+    planted = F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda i: F.get("words", place(i))), " ")
+    return rows.select("doc_id", F.when(F.col("n") > 0, planted).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic_runs")
+def periodic_runs_query(spark: SparkSession, folder: str) -> DataFrame:
+    """Periodic runs of words in every document, and what is left without their repeats."""
+    found = periodic_runs.collapse_runs(with_planted_period(table(spark, folder, "documents")))
+    longest = F.array_min(F.transform("runs", lambda r: F.struct((-r["length"]).alias("length"), r["start"].alias("start"), r["period"].alias("period"))))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    rows = found.withColumns({"longest": longest, "lines": F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), "")})
+    return rows.select("doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("longest.start").alias("start"), (-F.col("longest.length")).alias("length"),
+                       F.col("longest.period").alias("period"), F.expr("(1000 * -longest.length) div longest.period").alias("exponent_milli"),
+                       sha256(F.col("lines")).alias("runs_sha256"), sha256(F.col("collapsed")).alias("collapsed_sha256"))

@@ -74,11 +74,11 @@ def small_batches(df: DataFrame) -> DataFrame:
     return df
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """``df`` written to the shared folder and read again: later steps neither recompute it nor lose it with an executor."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
