@@ -37,7 +37,7 @@ def pair():
 
 
 def plain_links(pair, text):
-    """Ids of both sides, all overlapping pairs by comparing all tokens, and the groups; None where bytes differ."""
+    """Ids of both sides, the pairs that share a byte, and the groups, all by going over the bytes; nothing where bytes differ."""
     a, of_a, b, of_b = pair.tools
     ids = [], []
     if text:
@@ -45,16 +45,17 @@ def plain_links(pair, text):
     raw = [[bytes(d.bytes[d.begins[i]:d.begins[i] + d.sizes[i]]) for i in side] for d, side in zip((of_a, of_b), ids)]
     if not text or any(b"".join(r) != (" " + text).encode() for r in raw):
         return [], [], [], ""
-    ends = [np.cumsum([len(x) for x in r]) for r in raw]
-    begins = [e - np.array([len(x) for x in r]) for e, r in zip(ends, raw)]
-    meet = np.maximum(begins[0][:, None], begins[1][None]) < np.minimum(ends[0][:, None], ends[1][None])
-    links = [(ids[0][i], ids[1][j]) for i, j in zip(*np.nonzero(meet))]
-    parts, before = [], 0
-    for cut in sorted(set(ends[0].tolist()) & set(ends[1].tolist())):
-        sides = [",".join(str(i) for i, e in zip(side, end) if before < e <= cut) for side, end in zip(ids, ends)]
-        parts.append("|".join(sides))
-        before = cut
-    return ids[0], ids[1], links, ";".join(parts)
+    owners = [[k for k, x in enumerate(r) for _ in x] for r in raw]
+    links = [(ids[0][i], ids[1][j]) for i, j in dict.fromkeys(zip(*owners))]
+    groups, n = [([], [])], len(owners[0])
+    for p, (i, j) in enumerate(zip(*owners)):
+        ends = [p + 1 == n or owner[p + 1] != k for owner, k in zip(owners, (i, j))]
+        for side, k, ended, group in zip(ids, (i, j), ends, groups[-1]):
+            if ended:
+                group.append(str(side[k]))
+        if all(ends) and p + 1 < n:
+            groups.append(([], []))
+    return ids[0], ids[1], links, ";".join("|".join(map(",".join, g)) for g in groups)
 
 
 def plain_alignment(pair, docs):
