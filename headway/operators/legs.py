@@ -232,3 +232,44 @@ def feasibility_audit(requests: DataFrame, rides: DataFrame, latest: DataFrame,
         F.when(F.col("arr") > F.col("deadline_sec"), "too late").when(F.round(p, 9) < F.col("q"), "confidence below Q")
         .when(F.col("best").isNull(), "unreachable").when(F.col("dep") < F.col("best"), "not better").otherwise("accepted"))
     return rows.groupBy("query_id", reason.alias("reason")).agg(F.count("*").alias("n"))
+
+
+def feasibility_at_stops(requests: DataFrame, rides: DataFrame, latest: DataFrame, scored: DataFrame, watched: DataFrame) -> DataFrame:
+    """Rides that touch a watched stop on each request's day, counted by the reason for which they are or are not used.
+
+    A ride is judged at the stop where it lands, against the request's final label there (``latest``: the latest time to
+    be at a stop): without a label it is "unreachable", after it (with the time to change) "too late", with too little
+    slack "confidence below Q"; then at the stop where it departs: earlier than the label there it is "not better", else
+    "accepted". A ride between two watched stops counts at both. Rides without a label are counted as the difference to
+    all rides of the day, so requests meet rides only over a label that they share.
+    """
+    stops = watched.select(F.col("stop_id").alias("watched_id")).distinct()
+    landing = rides.join(stops, F.col("arr_stop_id") == F.col("watched_id"))
+    leaving = rides.where(F.col("arr_stop_id") != F.col("dep_stop_id")).join(stops, F.col("dep_stop_id") == F.col("watched_id"))
+    touch = landing.unionByName(leaving)
+    ask = requests.select("query_id", "end_id", "q", "min_transfer_secs", F.lower("day").alias("day"), sc.dow_bucket_of_name(F.col("day")).alias("dow_bucket"))
+    best = latest.groupBy("query_id", "stop_id").agg(F.max("t").alias("t"))
+    runs = F
+    for name in fv.DAYS:
+        runs = runs.when(F.col("day") == name, F.col(name))
+    rows = touch.join(best.select("query_id", F.col("stop_id").alias("arr_stop_id"), F.col("t").alias("label")), "arr_stop_id")
+    rows = rows.join(ask, "query_id").where(runs.otherwise(F.lit(False))).select(
+        "query_id", "watched_id", "q", "dow_bucket", "dep_stop_id", "arr_stop_id", F.col("trip_id").cast("string").alias("trip_id"),
+        F.col("dep_time_sec").cast("long").alias("dep"), F.col("arr_time_sec").cast("long").alias("arr"),
+        (F.col("label") - F.when(F.col("arr_stop_id") == F.col("end_id"), 0).otherwise(F.col("min_transfer_secs")) - F.col("arr_time_sec")).alias("slack"))
+    at = scored.select("trip_id", F.col("stop_id").alias("arr_stop_id"), "arr", "dow_bucket", *[F.col(f"d_{c}") for c in ds.DIST_COLS],
+                       "avg_sec", "std_sec").dropDuplicates(["trip_id", "arr_stop_id", "arr", "dow_bucket"])
+    rows = rows.join(at, ["trip_id", "arr_stop_id", "arr", "dow_bucket"], "left")
+    rows = rows.join(best.select("query_id", F.col("stop_id").alias("dep_stop_id"), F.col("t").alias("best")), ["query_id", "dep_stop_id"], "left")
+    rows = pr.with_p_connection(rows, "p", F.col("slack"), "d_", "d_")
+    p = pr.p_transfer(F.col("q"), F.col("p"), pr.p_connection_normal(F.col("slack"), F.col("avg_sec"), F.col("std_sec")))
+    reason = (F.when(F.col("slack") < 0, "too late").when(F.round(p, 9) < F.col("q"), "confidence below Q")
+              .when(F.col("dep") < F.col("best"), "not better").otherwise("accepted"))
+    judged = rows.groupBy("query_id", "watched_id", reason.alias("reason")).agg(F.count("*").alias("n"))
+    of_day = touch.groupBy("watched_id").agg(*[F.count(F.when(F.col(d), 1)).alias(d) for d in fv.DAYS])
+    of_day = of_day.select("watched_id", F.explode(F.array(*[F.struct(F.lit(d).alias("day"), F.col(d).alias("n")) for d in fv.DAYS])).alias("d"))
+    every = ask.select("query_id", "day").join(of_day.select("watched_id", "d.day", "d.n"), "day")
+    known = judged.groupBy("query_id", "watched_id").agg(F.sum("n").alias("known"))
+    rest = every.join(known, ["query_id", "watched_id"], "left").select(
+        "query_id", "watched_id", F.lit("unreachable").alias("reason"), (F.col("n") - F.coalesce("known", F.lit(0))).alias("n"))
+    return judged.unionByName(rest.where(F.col("n") > 0)).withColumnRenamed("watched_id", "stop_id")

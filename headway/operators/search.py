@@ -1,7 +1,7 @@
 """Itineraries for many origin-destination requests at once, as joins and aggregations per boarding.
 
 A request is a row of ``requests(query_id, start_id, end_id, deadline_sec, day, q, max_routes, min_transfer_secs,
-max_walk_m)``. The search runs backwards from the destination: a label says "be at this stop by t to arrive in time".
+max_walk_m)``, with a ``date`` where services are known by date (calls then carry ``service_bits``). The search runs backwards from the destination: a label says "be at this stop by t to arrive in time".
 """
 
 from __future__ import annotations
@@ -10,16 +10,19 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..config import cut_lineage
 from ..functions import fixed_values as fv
 from ..functions import probability as pr
 from ..functions import scalars as sc
 from . import distributions as ds
+from . import service_days
 from .skyline import undominated
 
 CONF_DIGITS = 9
 WALK_DIGITS = 3
+LINE_JOINT = " > "
 
 LEG = ("struct<kind:string,from_stop:bigint,to_stop:bigint,trip_id:string,label:string,line_text:string,dep_sec:bigint,"
        "arr_sec:bigint,walk_m:double>")
@@ -63,7 +66,12 @@ def paired_requests(stops: DataFrame, buckets: int | None = None, seed: str = "o
 
 
 def as_requests(pairs: DataFrame, deadline: str = "09:00", max_routes: int = 3, min_transfer_secs: int = 120,
-                max_walk_m: float = 500.0) -> DataFrame:
+                max_walk_m: float = 500.0, date: Column | str | None = None) -> DataFrame:
+    """``pairs`` with defaults for what they lack. A ``date`` (or a column of that name) sets the weekday too."""
+    if date is not None:
+        pairs = pairs.withColumn("date", (F.lit(date) if isinstance(date, str) else date).cast("date"))
+    if "date" in pairs.columns:
+        pairs = pairs.withColumn("day", F.element_at(F.array(*[F.lit(d) for d in fv.DAYS]), F.weekday("date") + 1))
     defaults = {"deadline_sec": sc.parse_hhmm(F.lit(deadline)).cast("long"), "max_routes": F.lit(max_routes),
                 "min_transfer_secs": F.lit(min_transfer_secs), "max_walk_m": F.lit(float(max_walk_m))}
     return pairs.withColumns({c: v for c, v in defaults.items() if c not in pairs.columns})
@@ -80,17 +88,28 @@ def _day_bit(day: Column) -> Column:
     return chain.otherwise(0)
 
 
-def _runs() -> Column:
-    return F.col("day_mask").bitwiseAND(F.col("day_bit")) != 0
+def _asked_day(requests: DataFrame) -> Column:
+    """What is tested against a call's service days: the number of the date, or the weekday's bit."""
+    if "date" in requests.columns:
+        return service_days.day_number(F.col("date")).alias("day_bit")
+    return _day_bit(F.col("day")).alias("day_bit")
+
+
+def _runs(calls: DataFrame, day_bit: str = "day_bit") -> Column:
+    """Whether a call's service runs on the asked day: one bit of its dates, or of its weekdays."""
+    if isinstance(calls.schema["day_mask"].dataType, StructType):
+        return service_days.runs_on("day_mask", F.col(day_bit))
+    return F.col("day_mask").bitwiseAND(F.col(day_bit)) != 0
 
 
 def calls_by_day(stop_times: DataFrame) -> DataFrame:
-    """Calls with a weekday bit mask and the label that travellers see."""
+    """Calls with their service days (a weekday bit mask, or ``service_bits`` where there are some) and the label that travellers see."""
+    days = F.col("service_bits") if "service_bits" in stop_times.columns else _day_mask()
     label = sc.display_label(F.col("route_label"), F.col("line_text"), F.col("trip_id"))
     return stop_times.select(
         F.col("trip_id").cast("string").alias("trip_id"), F.col("stop_sequence").alias("seq"), "stop_id",
         F.col("arrival_time_sec").cast("long").alias("arr"), F.col("departure_time_sec").cast("long").alias("dep"),
-        label.alias("label"), "line_text", _day_mask().alias("day_mask"))
+        label.alias("label"), "line_text", days.alias("day_mask"))
 
 
 def _block(seconds: Column) -> Column:
@@ -103,8 +122,8 @@ def _block(seconds: Column) -> Column:
 def direct_itineraries(requests: DataFrame, stop_times: DataFrame) -> DataFrame:
     """All single-vehicle itineraries that arrive by the deadline."""
     calls = calls_by_day(stop_times)
-    ask = requests.select("query_id", "start_id", "end_id", "deadline_sec", _day_bit(F.col("day")).alias("day_bit"))
-    alight = ask.join(calls, F.col("stop_id") == F.col("end_id")).where(_runs() & (F.col("arr") <= F.col("deadline_sec")))
+    ask = requests.select("query_id", "start_id", "end_id", "deadline_sec", _asked_day(requests))
+    alight = ask.join(calls, F.col("stop_id") == F.col("end_id")).where(_runs(calls) & (F.col("arr") <= F.col("deadline_sec")))
     alight = alight.select("query_id", "start_id", "trip_id", "label", F.col("seq").alias("alight_seq"), "arr")
     board = calls.select("trip_id", F.col("stop_id").alias("start_id"), F.col("seq").alias("board_seq"), "dep")
     return alight.join(board, ["trip_id", "start_id"]).where(F.col("board_seq") < F.col("alight_seq")).select(
@@ -115,8 +134,8 @@ def one_transfer_itineraries(requests: DataFrame, stop_times: DataFrame, edges:
     """All itineraries of two vehicles with a change at one stop or over one walk."""
     calls = calls_by_day(stop_times)
     ask = requests.select("query_id", "start_id", "end_id", "deadline_sec", "min_transfer_secs", "max_walk_m",
-                          _day_bit(F.col("day")).alias("day_bit"))
-    last = ask.join(calls, F.col("stop_id") == F.col("end_id")).where(_runs() & (F.col("arr") <= F.col("deadline_sec")))
+                          _asked_day(requests))
+    last = ask.join(calls, F.col("stop_id") == F.col("end_id")).where(_runs(calls) & (F.col("arr") <= F.col("deadline_sec")))
     last = last.select(*ask.columns, F.col("trip_id").alias("trip_2"), F.col("label").alias("label_2"),
                        F.col("seq").alias("alight_seq_2"), F.col("arr").alias("arr_2"))
     board_2 = calls.select(F.col("trip_id").alias("trip_2"), F.col("seq").alias("board_seq_2"),
@@ -125,7 +144,7 @@ def one_transfer_itineraries(requests: DataFrame, stop_times: DataFrame, edges:
         (F.col("board_seq_2") < F.col("alight_seq_2")) & (F.col("board_stop_2") != F.col("end_id"))
         & (F.col("board_stop_2") != F.col("start_id")))
     first = ask.select("query_id", "start_id", "day_bit", "end_id", "deadline_sec").join(
-        calls, F.col("stop_id") == F.col("start_id")).where(_runs() & (F.col("dep") <= F.col("deadline_sec"))).select(
+        calls, F.col("stop_id") == F.col("start_id")).where(_runs(calls) & (F.col("dep") <= F.col("deadline_sec"))).select(
         "query_id", "end_id", "start_id", F.col("trip_id").alias("trip_1"), F.col("label").alias("label_1"),
         F.col("seq").alias("board_seq_1"), F.col("dep").alias("dep_1"))
     alight_1 = calls.select(F.col("trip_id").alias("trip_1"), F.col("seq").alias("alight_seq_1"),
@@ -158,7 +177,7 @@ def latest_departures(requests: DataFrame, stop_times: DataFrame, edges: DataFra
     calls = calls_by_day(stop_times).withColumn("block", _block(F.col("arr")))
     arrivals = calls.select("trip_id", "seq", "stop_id", "arr", "day_mask", "block")
     boards = calls.select("trip_id", F.col("seq").alias("b_seq"), F.col("stop_id").alias("b_stop"), F.col("dep").alias("b_dep"))
-    ask = requests.select("query_id", "end_id", "min_transfer_secs", "max_walk_m", _day_bit(F.col("day")).alias("day_bit"))
+    ask = requests.select("query_id", "end_id", "min_transfer_secs", "max_walk_m", _asked_day(requests))
     walks = edges.select(F.col("b_stop_id").alias("stop_id"), F.col("a_stop_id"), F.col("distance_m"),
                          sc.walk_seconds_search(F.col("distance_m")).alias("walk_sec"))
     vehicle = requests.select("query_id", F.col("end_id").alias("stop_id"), F.col("deadline_sec").alias("t"))
@@ -185,7 +204,7 @@ def latest_departures(requests: DataFrame, stop_times: DataFrame, edges: DataFra
         open_labels = open_labels.where((F.col("latest") >= 0) & (F.col("latest") > F.col("after"))).withColumn(
             "block", F.explode(F.sequence(_block(F.greatest("after", F.lit(0))), _block(F.col("latest")))))
         alight = open_labels.join(arrivals, ["stop_id", "block"]).where(
-            _runs() & (F.col("arr") <= F.col("latest")) & (F.col("arr") > F.col("after")))
+            _runs(arrivals) & (F.col("arr") <= F.col("latest")) & (F.col("arr") > F.col("after")))
         # The last call of a trip that is still in time allows every boarding before it.
         alight = alight.groupBy("query_id", "end_id", "trip_id").agg(F.max("seq").alias("seq"))
         vehicle = alight.join(boards, "trip_id").where(
@@ -237,6 +256,8 @@ def scored_arrivals(stop_times: DataFrame, levels: DataFrame | None, requests: D
 _REQUEST = ("query_id", "start_id", "end_id", "day_bit", "dow_bucket", "q", "min_transfer_secs", "max_walk_m", "max_routes",
             "floor_sec")
 _LABEL = (*_REQUEST, "stop_id", "t", "conf", "boardings", "walk_m", "next_label", "trail", "path")
+# Labels of a search for all alternatives also know the lines that follow, equal neighbours once, and the first of them.
+_LINES = ("lines", "first_line")
 
 
 def _leg(kind: str, from_stop: Column, to_stop: Column, trip: Column, label: Column, line: Column, dep: Column, arr: Column,
@@ -245,10 +266,14 @@ def _leg(kind: str, from_stop: Column, to_stop: Column, trip: Column, label: Col
     return F.struct(*values).cast(LEG)
 
 
+def _known_lines(labels: DataFrame) -> tuple[str, ...]:
+    return _LINES if "lines" in labels.columns else ()
+
+
 def destination_labels(requests: DataFrame) -> DataFrame:
     ask = requests.where(F.col("start_id") != F.col("end_id"))
     return ask.select(
-        "query_id", "start_id", "end_id", _day_bit(F.col("day")).alias("day_bit"),
+        "query_id", "start_id", "end_id", _asked_day(requests),
         sc.dow_bucket_of_name(F.col("day")).alias("dow_bucket"), "q", "min_transfer_secs", "max_walk_m", "max_routes",
         F.lit(0).cast("long").alias("floor_sec"), F.col("end_id").alias("stop_id"), F.col("deadline_sec").cast("long").alias("t"),
         F.lit(1.0).alias("conf"), F.lit(0).alias("boardings"), F.lit(0.0).alias("walk_m"),
@@ -272,7 +297,7 @@ def walk_back(labels: DataFrame, edges: DataFrame, walk_limit: str = "total") ->
     return walked.select(
         *_REQUEST, F.col("a_stop_id").alias("stop_id"), F.col("new_t").alias("t"), "conf", "boardings",
         F.col("new_walk").alias("walk_m"), nothing.alias("next_label"), F.concat(step, F.col("trail")).alias("trail"),
-        F.concat(F.array(leg), F.col("path")).alias("path"))
+        F.concat(F.array(leg), F.col("path")).alias("path"), *_known_lines(labels))
 
 
 def _change_secs() -> Column:
@@ -302,10 +327,14 @@ def _boarded(events: DataFrame) -> DataFrame:
     step = F.concat(F.col("trip_id"), F.lit(":"), F.col("b_stop").cast("string"), F.lit(">"), F.col("stop_id").cast("string"), F.lit("|"))
     leg = _leg("ride", F.col("b_stop"), F.col("stop_id"), F.col("trip_id"), F.col("label"), F.col("line_text"), F.col("b_dep"),
                F.col("arr"), F.lit(0.0))
+    lines = []
+    if _known_lines(events):
+        longer = F.when(F.col("first_line") == F.col("label"), F.col("lines")).otherwise(F.concat_ws(LINE_JOINT, "label", F.nullif("lines", F.lit(""))))
+        lines = [longer.alias("lines"), F.col("label").alias("first_line")]
     return events.select(
         *_REQUEST, F.col("b_stop").alias("stop_id"), F.col("b_dep").alias("t"), "conf",
         (F.col("boardings") + 1).alias("boardings"), "walk_m", F.col("label").alias("next_label"),
-        F.concat(step, F.col("trail")).alias("trail"), F.concat(F.array(leg), F.col("path")).alias("path"))
+        F.concat(step, F.col("trail")).alias("trail"), F.concat(F.array(leg), F.col("path")).alias("path"), *lines)
 
 
 def _boardings(arrivals: DataFrame) -> DataFrame:
@@ -315,9 +344,10 @@ def _boardings(arrivals: DataFrame) -> DataFrame:
 def _best_alightings(events: DataFrame) -> DataFrame:
     """Of the labels that one call of a vehicle serves in a round, those with more confidence or less walking than others.
 
-    All of them lead to the same boardings at the same times, so the others would be dominated at each of these.
+    All of them lead to the same boardings at the same times, so the others would be dominated at each of these. Labels
+    that know the lines that follow are compared with those of the same lines only.
     """
-    best_first = Window.partitionBy("query_id", "trip_id", "seq").orderBy(F.desc("conf"), "walk_m", "trail")
+    best_first = Window.partitionBy("query_id", "trip_id", "seq", *_known_lines(events)).orderBy(F.desc("conf"), "walk_m", "trail")
     least = F.min("walk_m").over(best_first.rowsBetween(Window.unboundedPreceding, -1))
     return events.withColumn("_least", least).where(F.col("_least").isNull() | (F.col("walk_m") < F.col("_least"))).drop("_least")
 
@@ -328,9 +358,9 @@ def ride_back(labels: DataFrame, arrivals: DataFrame, calls: DataFrame, final_le
     open_labels = open_labels.where(F.col("latest") >= F.col("floor_sec")).withColumn(
         "block", F.explode(F.sequence(_block(F.col("floor_sec")), _block(F.col("latest")))))
     events = open_labels.join(arrivals, ["stop_id", "block", "dow_bucket"]).where(
-        _runs() & F.col("arr").between(F.col("floor_sec"), F.col("latest")))
+        _runs(arrivals) & F.col("arr").between(F.col("floor_sec"), F.col("latest")))
     events = events.withColumn("slack", F.col("latest") - F.col("arr")).select(
-        *_LABEL, *_ARRIVAL, "slack", *_DISTRIBUTION)
+        *_LABEL, *_known_lines(labels), *_ARRIVAL, "slack", *_DISTRIBUTION)
     events = _best_alightings(_keep_confident(events, final_leg))
     boarded = events.join(_boardings(calls), "trip_id").where(
         (F.col("b_seq") < F.col("seq")) & (F.col("b_stop") != F.col("stop_id")) & (F.col("b_stop") != F.col("end_id"))
@@ -352,7 +382,7 @@ def ride_back_to_start(labels: DataFrame, arrivals: DataFrame, calls: DataFrame,
         "b_seq", "b_dep", "first_walk_m", "trip_id")
     rides = board.join(arrivals.withColumnRenamed("dow_bucket", "a_dow"), "trip_id").where(
         (F.col("z_dow") == F.col("a_dow")) & (F.col("b_seq") < F.col("seq")) & (F.col("b_stop") != F.col("stop_id"))
-        & (F.col("b_dep") <= F.col("arr")) & (F.col("day_mask").bitwiseAND(F.col("z_bit")) != 0))
+        & (F.col("b_dep") <= F.col("arr")) & _runs(arrivals, "z_bit"))
     rides = rides.select(F.col("z_query").alias("query_id"), "stop_id", "b_stop", "b_seq", "b_dep", "first_walk_m",
                          *_ARRIVAL, *_DISTRIBUTION)
     open_labels = labels.where(F.col("stop_id") != F.col("start_id")).withColumn("latest", F.col("t") - _change_secs())
@@ -360,7 +390,7 @@ def ride_back_to_start(labels: DataFrame, arrivals: DataFrame, calls: DataFrame,
         F.col("arr").between(F.col("floor_sec"), F.col("latest"))
         & (F.col("walk_m") + F.col("first_walk_m") <= F.col("max_walk_m") + 1e-3))
     events = events.withColumn("slack", F.col("latest") - F.col("arr")).select(
-        *_LABEL, *_ARRIVAL, "b_stop", "b_dep", "slack", *_DISTRIBUTION)
+        *_LABEL, *_known_lines(labels), *_ARRIVAL, "b_stop", "b_dep", "slack", *_DISTRIBUTION)
     return _boarded(_keep_confident(events, final_leg))
 
 
@@ -368,7 +398,7 @@ def line_sequence(path: Column) -> Column:
     """Labels of the vehicles in order, equal neighbours once."""
     labels = F.transform(F.filter(path, lambda leg: leg["kind"] == "ride"), lambda leg: leg["label"])
     kept = F.filter(labels, lambda x, i: (i == 0) | (x != F.get(labels, i - 1)))
-    return F.concat_ws(" > ", kept)
+    return F.concat_ws(LINE_JOINT, kept)
 
 
 def _best_per_sequence(found: DataFrame) -> DataFrame:
@@ -400,7 +430,8 @@ def _raise_floor(labels: DataFrame, found: DataFrame) -> DataFrame:
 
 def ranked_routes(requests: DataFrame, stop_times: DataFrame, edges: DataFrame, levels: DataFrame | None,
                   features: DataFrame | None = None, max_boardings: int | None = None, walk_limit: str = "total",
-                  final_leg: str = "connection", resolve: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                  final_leg: str = "connection", resolve: Callable[[DataFrame], DataFrame] | None = None,
+                  all_alternatives: bool = False) -> DataFrame:
     """Up to ``max_routes`` itineraries per request with at least the requested confidence, latest departure first.
 
     One round per boarding, until no label is left to follow; ``max_boardings`` is for callers who want fewer vehicles.
@@ -409,17 +440,25 @@ def ranked_routes(requests: DataFrame, stop_times: DataFrame, edges: DataFrame,
 
     ``final_leg``: "connection" scores the arrival at the destination like a change of vehicle, "cdf" by the arrival
     delay alone, "clamped" scores all without distribution tails. ``resolve`` replaces the level lookup.
+
+    A label is dominated by labels of the same next line. With a large ``max_routes`` that can hide a route whose lines
+    differ further on; ``all_alternatives`` compares only labels that are followed by the same sequence of lines, so that
+    the best ``max_routes`` sequences are found, whatever their number. Its labels grow with the sequences that leave no
+    earlier than the last route a request still needs: once it has all its routes, that departure bounds every label.
     """
+    apart = {"class_column": "next_label", "keys": ("query_id", "stop_id", *(["lines"] if all_alternatives else []))}
     arrivals = cut_lineage(scored_arrivals(stop_times, levels, requests, features, resolve))
     calls = calls_by_day(stop_times)
     vehicle = destination_labels(requests)
+    if all_alternatives:
+        vehicle = vehicle.withColumns({"lines": F.lit(""), "first_line": F.lit(None).cast("string")})
     boarded = found = older_vehicle = older_any = None
     boardings = 0
     while True:
         if boarded is not None:
             found = _best_per_sequence(found.unionByName(_at_start(boarded)))
             away = _raise_floor(boarded.where(F.col("stop_id") != F.col("start_id")), found)
-            vehicle = cut_lineage(undominated(away, class_column="next_label", older=older_vehicle))
+            vehicle = cut_lineage(undominated(away, older=older_vehicle, **apart))
             older_vehicle = vehicle if older_vehicle is None else older_vehicle.unionByName(vehicle)
         walked = walk_back(vehicle, edges, walk_limit)
         here = _at_start(walked)
@@ -427,7 +466,7 @@ def ranked_routes(requests: DataFrame, stop_times: DataFrame, edges: DataFrame,
         if boardings == max_boardings:
             break
         away = _raise_floor(vehicle.unionByName(walked.where(F.col("stop_id") != F.col("start_id"))), found)
-        labels = cut_lineage(undominated(away, class_column="next_label", older=older_any))
+        labels = cut_lineage(undominated(away, older=older_any, **apart))
         if labels.isEmpty():
             break
         older_any = labels if older_any is None else older_any.unionByName(labels)

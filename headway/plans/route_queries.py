@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..config import cut_lineage
+from ..operators import distributions as ds
 from ..operators import legs as lg
 from ..operators import search
 from . import shared
 from .registry import ORACLE_BLOCKS as B
 from .registry import query
 from .scalar_queries import p_connection_sql, resolve_sql
-from .search_queries import requests, routes
+from .search_queries import LATEST_ROUNDS, requests, routes
 from .shared import rounded, rounded_sql
 
 
@@ -201,7 +203,7 @@ FROM ox_requests_own r JOIN ox_connections c ON c.arr_stop_id = r.end_id
   AND CASE r.day WHEN 'monday' THEN c.monday WHEN 'tuesday' THEN c.tuesday ELSE c.wednesday END
 LEFT JOIN ox_own_resolved d ON d.bpuic = c.arr_stop_id AND d.hour_of_day = (c.arr_time_sec // 3600) % 24
   AND d.line_text IS NOT DISTINCT FROM c.line_text
-LEFT JOIN (SELECT query_id, stop_id, max(t) AS best FROM ox_latest_2 GROUP BY ALL) b ON b.query_id = r.query_id AND b.stop_id = c.dep_stop_id"""
+LEFT JOIN (SELECT query_id, stop_id, max(t) AS best FROM ox_latest_{LATEST_ROUNDS} GROUP BY ALL) b ON b.query_id = r.query_id AND b.stop_id = c.dep_stop_id"""
 
 
 @query("feasibility_audit", """
@@ -213,3 +215,32 @@ def feasibility_audit(t):
     latest = search.latest_departures(ask, p.stop_times, p.walking_edges)
     scored = search.scored_arrivals(p.stop_times, p.delay_levels, ask, p.delay_features)
     return lg.feasibility_audit(ask, p.connections, latest, scored)
+
+
+# The stops where most rides land are watched.
+WATCHED = 10
+B["ox_watched"] = f"""
+SELECT arr_stop_id AS watched_id FROM ox_connections GROUP BY arr_stop_id ORDER BY count(*) DESC, arr_stop_id LIMIT {WATCHED}"""
+B["ox_latest_best"] = f"SELECT query_id, stop_id, max(t) AS t FROM ox_latest_{LATEST_ROUNDS} GROUP BY ALL"
+B["ox_stop_audit"] = f"""
+SELECT x.*, {p_connection_sql('x.slack', 'x.', 'x.')} AS p
+FROM (SELECT r.query_id, w.watched_id, r.q, c.dep_time_sec AS dep, l.t AS label, b.t AS best, {", ".join("d." + c for c in ds.DIST_COLS)},
+             l.t - CASE WHEN c.arr_stop_id = r.end_id THEN 0 ELSE r.min_transfer_secs END - c.arr_time_sec AS slack
+      FROM ox_requests_own r JOIN ox_connections c ON CASE r.day WHEN 'monday' THEN c.monday WHEN 'tuesday' THEN c.tuesday ELSE c.wednesday END
+      JOIN ox_watched w ON w.watched_id = c.arr_stop_id OR w.watched_id = c.dep_stop_id
+      LEFT JOIN ox_latest_best l ON l.query_id = r.query_id AND l.stop_id = c.arr_stop_id
+      LEFT JOIN ox_latest_best b ON b.query_id = r.query_id AND b.stop_id = c.dep_stop_id
+      LEFT JOIN ox_own_resolved d ON d.bpuic = c.arr_stop_id AND d.hour_of_day = (c.arr_time_sec // 3600) % 24
+        AND d.line_text IS NOT DISTINCT FROM c.line_text) x"""
+
+
+@query("feasibility_at_stops", """
+SELECT query_id, watched_id AS stop_id, CASE WHEN label IS NULL THEN 'unreachable' WHEN slack < 0 THEN 'too late'
+  WHEN round(CASE WHEN q = 0 THEN 1e0 ELSE coalesce(p, 1e0) END, 9) < q THEN 'confidence below Q' WHEN dep < best THEN 'not better' ELSE 'accepted' END AS reason,
+  count(*) AS n FROM ox_stop_audit GROUP BY ALL""")
+def feasibility_at_stops(t):
+    p, ask = shared.prepared(t), requests(t, "own")
+    latest = cut_lineage(search.latest_departures(ask, p.stop_times, p.walking_edges))
+    scored = search.scored_arrivals(p.stop_times, p.delay_levels, ask, p.delay_features)
+    busiest = p.connections.groupBy(F.col("arr_stop_id").alias("stop_id")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "stop_id").limit(WATCHED)
+    return lg.feasibility_at_stops(ask, p.connections, latest, scored, busiest)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import cut_lineage
 from ..functions import fixed_values as fv
 from ..operators import legs as lg
-from ..operators import search
+from ..operators import search, service_days
 from ..operators.skyline import undominated
 from . import search_sql, shared
 from .registry import ORACLE_BLOCKS, query
@@ -37,6 +37,8 @@ def requests(t, panel: str) -> DataFrame:
     base = pairs(t)
     if panel == "own":
         return search.as_requests(base)
+    if panel == "many":
+        return search.as_requests(base, max_routes=search_sql.MANY_ROUTES)
     if panel == "ladder":
         rows = _spread(base.drop("q"), "q", [0.0, 0.5, 0.7, 0.8, 0.9, 0.95, 1.0])
         step = F.when(F.col("q") == 1.0, 99).otherwise(F.round(F.col("q") * 100)).cast("bigint")
@@ -185,3 +187,62 @@ def ranked_routes(t):
     p = shared.prepared(t)
     found = search.ranked_routes(requests(t, "own"), p.stop_times, p.walking_edges, p.delay_levels)
     return found.drop("path")
+
+
+@query("ranked_alternatives", f"""
+SELECT query_id, start_id, end_id, q, {_INTS}, t AS dep_sec, conf, walk_m, lines, trail FROM ox_many_routes""")
+def ranked_alternatives(t):
+    p = shared.prepared(t)
+    found = search.ranked_routes(requests(t, "many"), p.stop_times, p.walking_edges, p.delay_levels, all_alternatives=True)
+    return found.drop("path")
+
+
+_ON_WEEKDAY = "CASE dayofweek(d) " + " ".join(f"WHEN {(i + 1) % 7} THEN {day}" for i, day in enumerate(fv.DAYS)) + " END"
+
+
+def service_dates_sql(calendar: str, exceptions: str) -> str:
+    """All (service, date) on which services run."""
+    return f"""
+SELECT service_id, d FROM (
+  SELECT service_id, d FROM (SELECT *, CAST(unnest(generate_series(start_date, end_date, INTERVAL 1 DAY)) AS DATE) AS d FROM {calendar}) c WHERE {_ON_WEEKDAY}
+  EXCEPT SELECT service_id, date FROM {exceptions} WHERE exception_type = 2) u
+UNION SELECT service_id, date FROM {exceptions} WHERE exception_type = 1"""
+
+
+ORACLE_BLOCKS["ox_service_dates"] = service_dates_sql("fx_service_calendar", "fx_service_exceptions")
+ORACLE_BLOCKS["ox_trip_dates"] = service_dates_sql("fx_trip_calendar", "fx_trip_exceptions")
+
+
+@query("service_days", """
+SELECT service_id, count(*) AS n_days, min(d) AS first_date, max(d) AS last_date, CAST(sum(d - DATE '1970-01-01') AS BIGINT) AS day_sum
+FROM ox_service_dates GROUP BY service_id""")
+def service_day_counts(t):
+    made = service_days.service_days(t.view("fx_service_calendar"), t.view("fx_service_exceptions"))
+    dates = made.select("service_id", service_days.dates_of("service_bits").alias("dates"))
+    total = F.aggregate("dates", F.lit(0).cast("bigint"), lambda a, d: a + service_days.day_number(d))
+    return dates.select("service_id", F.size("dates").cast("bigint").alias("n_days"), F.array_min("dates").alias("first_date"),
+                        F.array_max("dates").alias("last_date"), total.alias("day_sum"))
+
+
+def dated_stop_times(t) -> DataFrame:
+    return service_days.with_service_days(shared.prepared(t).stop_times, service_days.service_days(t.view("fx_trip_calendar"), t.view("fx_trip_exceptions")))
+
+
+def dated_requests(t) -> DataFrame:
+    """The pairs, each on a date of four weeks."""
+    return search.as_requests(pairs(t), date=F.date_add(F.lit("1996-03-04").cast("date"), (F.col("start_id") % 28).cast("int")))
+
+
+ORACLE_BLOCKS["ox_requests_dated"] = """
+SELECT * EXCLUDE (day), DATE '1996-03-04' + CAST(start_id % 28 AS INTEGER) AS date FROM ox_requests_own"""
+
+
+@query("itineraries_on_date", """
+SELECT r.query_id, r.date, a.trip_id, a.label, b.seq AS board_seq, a.seq AS alight_seq, b.dep, a.arr
+FROM ox_requests_dated r JOIN ox_calls_by_day a ON a.stop_id = r.end_id AND a.arr <= r.deadline_sec
+JOIN fx_trips s ON CAST(s.trip_id AS VARCHAR) = a.trip_id JOIN ox_trip_dates d ON d.service_id = s.service_id AND d.d = r.date
+JOIN ox_calls_by_day b ON b.trip_id = a.trip_id AND b.stop_id = r.start_id AND b.seq < a.seq""")
+def itineraries_on_date(t):
+    asked = dated_requests(t)
+    found = search.direct_itineraries(asked, dated_stop_times(t))
+    return found.join(asked.select("query_id", "date"), "query_id")

@@ -35,6 +35,8 @@ WHERE end_id <> stop_id"""
 B["ox_pairs"] = pairs_sql()
 B["ox_requests_own"] = """
 SELECT *, CAST(32400 AS BIGINT) AS deadline_sec, 3 AS max_routes, 120 AS min_transfer_secs, 500e0 AS max_walk_m FROM ox_pairs"""
+MANY_ROUTES = 10
+B["ox_requests_many"] = f"SELECT * EXCLUDE (max_routes), {MANY_ROUTES} AS max_routes FROM ox_requests_own"
 B["ox_requests_ladder"] = """
 SELECT query_id * 100 + l.i AS query_id, start_id, end_id, day, l.q, CAST(32400 AS BIGINT) AS deadline_sec, 1 AS max_routes,
        120 AS min_transfer_secs, 500e0 AS max_walk_m
@@ -54,11 +56,13 @@ _REQ = "query_id, start_id, end_id, day_bit, dow_bucket, q, min_transfer_secs, m
 _STATE = _REQ + ", stop_id, t, conf, boardings, walk_m, next_label, trail, legs, lines, first_line"
 
 
-def _pareto(source: str, older: str | None = None) -> str:
+def _pareto(source: str, older: str | None = None, all_alternatives: bool = False) -> str:
     def beats(x: str, with_ties: bool) -> str:
-        # A label with a class is only beaten by its own class.
+        # A label with a class is only beaten by its own class; where all alternatives are asked for, by the same lines.
         better = (f"{x}.query_id = r.query_id AND {x}.stop_id = r.stop_id AND (r.next_label IS NULL OR {x}.next_label = r.next_label) "
                   f"AND {x}.t >= r.t AND {x}.conf >= r.conf AND {x}.boardings <= r.boardings AND {x}.walk_m <= r.walk_m")
+        if all_alternatives:
+            better += f" AND {x}.lines = r.lines"
         if with_ties:
             better += (f" AND ({x}.t > r.t OR {x}.conf > r.conf OR {x}.boardings < r.boardings OR {x}.walk_m < r.walk_m "
                        f"OR {x}.trail < r.trail)")
@@ -119,7 +123,7 @@ SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY {_ORDER}) AS option
 ROUNDS = 4
 
 
-def add_search(name: str, requests: str) -> None:
+def add_search(name: str, requests: str, all_alternatives: bool = False) -> None:
     """Blocks of a search with at most ``ROUNDS`` boardings; its routes are in ``ox_<name>_routes``."""
     p = f"ox_{name}_"
     B[p + "asked"] = f"""
@@ -140,10 +144,10 @@ SELECT query_id, start_id, end_id, {_DAY_BIT} AS day_bit,
 FROM {requests} WHERE start_id <> end_id"""
     B[p + "w0"] = _walk(p + "v0")
     B[p + "u0"] = f"SELECT {_STATE} FROM {p}v0 UNION ALL SELECT {_STATE} FROM {p}w0 WHERE stop_id <> start_id"
-    B[p + "a0"] = _pareto(p + "u0")
+    B[p + "a0"] = _pareto(p + "u0", None, all_alternatives)
     B[p + "b1"] = _ride(p + "a0", p + "scored")
     B[p + "c1"] = f"SELECT * FROM {p}b1 WHERE stop_id <> start_id"
-    B[p + "v1"] = _pareto(p + "c1")
+    B[p + "v1"] = _pareto(p + "c1", None, all_alternatives)
     B[p + "w1"] = _walk(p + "v1")
     B[p + "f1"] = _ranked([p + "w0", p + "b1", p + "w1"])
     sources = [p + "w0", p + "b1", p + "w1"]
@@ -153,10 +157,10 @@ FROM {requests} WHERE start_id <> end_id"""
         B[p + f"u{k}"] = f"""
 SELECT u.*, coalesce(f.t, 0) AS floor_sec FROM (SELECT {_STATE} FROM {p}v{k} UNION ALL SELECT {_STATE} FROM {p}w{k} WHERE stop_id <> start_id) u
 LEFT JOIN {p}f{k} f ON f.query_id = u.query_id AND f.option = f.max_routes WHERE f.t IS NULL OR u.t >= f.t"""
-        B[p + f"a{k}"] = _pareto(p + f"u{k}", _union(p, "a", range(k)))
+        B[p + f"a{k}"] = _pareto(p + f"u{k}", _union(p, "a", range(k)), all_alternatives)
         B[p + f"b{k + 1}"] = _ride(p + f"a{k}", p + "scored", later=True)
         B[p + f"c{k + 1}"] = f"SELECT * FROM {p}b{k + 1} WHERE stop_id <> start_id"
-        B[p + f"v{k + 1}"] = _pareto(p + f"c{k + 1}", _union(p, "v", range(1, k + 1)))
+        B[p + f"v{k + 1}"] = _pareto(p + f"c{k + 1}", _union(p, "v", range(1, k + 1)), all_alternatives)
         B[p + f"w{k + 1}"] = _walk(p + f"v{k + 1}")
         sources += [p + f"b{k + 1}", p + f"w{k + 1}"]
     B[p + "all"] = _ranked(sources)
@@ -173,3 +177,4 @@ FROM (SELECT query_id, start_id, end_id, q, option, generate_subscripts(string_s
 
 for _name in ("own", "ladder", "walks", "external"):
     add_search(_name, f"ox_requests_{_name}")
+add_search("many", "ox_requests_many", all_alternatives=True)

@@ -57,6 +57,30 @@ SELECT * FROM (VALUES ('1', true, true, true, true, true, false, false), ('2', t
   ('3', false, false, false, false, false, true, true), ('4', false, true, false, true, false, false, false))
   c(service_id, monday, tuesday, wednesday, thursday, friday, saturday, sunday)"""
 
+# Services with validity dates and exceptions: one per customer, with the dates of its orders.
+BLOCKS["fx_service_calendar"] = """
+SELECT 'C' || CAST(o_custkey AS STRING) AS service_id, o_custkey % 2 = 0 AS monday, o_custkey % 3 = 0 AS tuesday, o_custkey % 2 = 1 AS wednesday,
+       o_custkey % 5 = 0 AS thursday, o_custkey % 3 <> 0 AS friday, o_custkey % 7 = 0 AS saturday, o_custkey % 11 = 0 AS sunday,
+       min(CAST(o_orderdate AS DATE)) AS start_date, max(CAST(o_orderdate AS DATE)) AS end_date
+FROM {orders} GROUP BY o_custkey"""
+
+BLOCKS["fx_service_exceptions"] = """
+SELECT DISTINCT 'C' || CAST(o_custkey AS STRING) AS service_id, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 40 - 20 AS INT) AS date,
+       CAST(1 + o_orderkey % 2 AS INT) AS exception_type
+FROM {orders}"""
+
+# The services of fx_trips with validity dates; dear orders are their exceptions.
+BLOCKS["fx_trip_calendar"] = """
+SELECT c.service_id, c.monday, c.tuesday, c.wednesday, c.thursday, c.friday, c.saturday, c.sunday, v.start_date, v.end_date
+FROM fx_calendar c JOIN (SELECT substr(o_orderpriority, 1, 1) AS service_id, min(CAST(o_orderdate AS DATE)) AS start_date,
+                                max(CAST(o_orderdate AS DATE)) AS end_date FROM {orders} GROUP BY substr(o_orderpriority, 1, 1)) v
+  ON v.service_id = c.service_id"""
+
+BLOCKS["fx_trip_exceptions"] = """
+SELECT substr(o_orderpriority, 1, 1) AS service_id, CAST(o_orderdate AS DATE) AS date, CAST(1 + min(o_orderkey) % 2 AS INT) AS exception_type
+FROM {orders} WHERE o_totalprice > (SELECT avg(o_totalprice) FROM {orders})
+GROUP BY substr(o_orderpriority, 1, 1), CAST(o_orderdate AS DATE)"""
+
 BLOCKS["fx_routes"] = """
 SELECT * FROM (VALUES ('R0','11','L0','S',109), ('R1','11','L1','B',700), ('R2','11','L2','T',900), ('R3','11','L3','M',401),
   ('R4','11','L4','S',106), ('R5','11','L5','B',705), ('R6','11','L6','T',900), ('R7','11','L7','M',401),
