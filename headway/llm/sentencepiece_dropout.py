@@ -4,8 +4,9 @@ A byte-pair model's merges are worked off from an agenda: the best piece first,
 is known by where its two parts begin and end in their unit (a word with the space marks before it); a keyed hash of
 seed, document, place of the unit in the text, unit and these places tells whether it is skipped when its turn comes. So
 a text is cut into shorter pieces than without dropout, each occurrence of a unit by its own draws, yet the same way on
-every run and every executor. Equal units whose draws skip the same of all merges the unit can have are cut once. With
-dropout 0 the ids are those of the model.
+every run and every executor. What can happen to a unit is a tree, whose nodes are the merges that have their turn: an
+occurrence draws for those it comes to, and occurrences that make and skip the same are cut once. With dropout 0 the ids
+are those of the model. Equal units are known by a 64-bit hash.
 
 Short units are worked off together, as rows of arrays; the agenda of a row is the smallest rank in it. Long units have
 an agenda of their own (a heap), so that a text without any space costs n log n.
@@ -37,15 +38,13 @@ from .text_arrays import mix
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 DROPOUT = 0.1
 SEED = 29
-# Units of more symbols than this have a heap; texts are handled in slices of about so many characters.
-WIDE = 40
-# Units of at most this many symbols have their possible merges listed, so that occurrences with equal draws share a cut.
-SHARED = 16
-SLICE_CHARS = 1 << 19
+# Units are cut as rows of these widths, longer ones with a heap; texts are handled in slices of about so many characters.
+WIDTHS = (1, 2, 4, 6, 8, 11, 15, 22, 40)
+SLICE_CHARS = 1 << 20
 MARK = "▁"
 NONE = np.int64(2**40)
-# Units that a process remembers between slices: about 40 bytes each.
-KNOWN_UNITS = 600_000
+# Nodes of the tree of draws that a process keeps between slices: about 40 bytes each, its units and pieces included about 100.
+KNOWN_NODES = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -92,13 +91,46 @@ class Vocabulary:
         raw = {i: bytes([b]) for b, i in enumerate(self.byte_ids)}
         return [raw.get(i, b"" if i in self.control else p.replace(MARK, " ").encode()) for i, p in enumerate(self.pieces)]
 
+    @cached_property
+    def slots(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The merges in an open-addressed table: keys (-1 for a free slot), merged ids and ranks."""
+        keys, merged, ranks = self.merges
+        size = 1 << max((16 * len(keys)).bit_length(), 4)
+        table, ids, order = np.full(size + 1, -1, np.int64), np.full(size + 1, -1, np.int64), np.full(size + 1, NONE, np.int64)
+        waiting, at = np.arange(len(keys)), _slot(keys, size)
+        while len(waiting):
+            free = table[at] == -1
+            # Of those that meet in a free slot the first takes it; the others go on with those that found it taken.
+            winners = np.flatnonzero(free)
+            winners = winners[np.unique(at[winners], return_index=True)[1]]
+            place = at[winners]
+            table[place], ids[place], order[place] = keys[waiting[winners]], merged[waiting[winners]], ranks[waiting[winners]]
+            rest = np.ones(len(waiting), bool)
+            rest[winners] = False
+            waiting, at = waiting[rest], (at[rest] + 1) & (size - 1)
+        return table, ids, order
+
     def pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Merged id and rank of pairs of ids; rank NONE where they don't merge."""
-        keys, merged, ranks = self.merges
+        table, merged, ranks = self.slots
+        size = len(table) - 1
         want = (left.astype(np.int64) << 32) | right
-        at = np.minimum(np.searchsorted(keys, want), len(keys) - 1)
-        hit = (keys[at] == want) & (left >= 0) & (right >= 0)
-        return np.where(hit, merged[at], -1), np.where(hit, ranks[at], NONE)
+        shape, want = want.shape, want.ravel()
+        at = _slot(want, size)
+        # Symbols below 0 are no piece: their slot is the last one, which stays free.
+        at[((left < 0) | (right < 0)).ravel()] = size
+        found = table[at]
+        missed = np.flatnonzero((found != want) & (found != -1))
+        while len(missed):
+            at[missed] = (at[missed] + 1) & (size - 1)
+            found = table[at[missed]]
+            missed = missed[(found != want[missed]) & (found != -1)]
+        return merged[at].reshape(shape), ranks[at].reshape(shape)
+
+
+def _slot(keys: np.ndarray, size: int) -> np.ndarray:
+    """Where a pair's search begins: the high bits of a multiplicative hash."""
+    return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(65 - size.bit_length())).astype(np.int64)
 
 
 def read_vocabulary(path: str = MODEL) -> Vocabulary:
@@ -123,143 +155,140 @@ def _skipped(key: np.ndarray, start: np.ndarray, mid: np.ndarray, end: np.ndarra
     return (mix(key ^ _place(start, mid, end)) >> np.uint64(11)) < np.uint64(limit)
 
 
-class Known:
-    """Cut units, or their merges, that this process keeps for later slices and tasks, at most KNOWN_UNITS. Results don't depend on it."""
+class Tree:
+    """What happens to a unit: a node is the merge whose turn comes next, its children follow when it is made or skipped.
+
+    A leaf has the pieces. An occurrence draws only for the merges that it comes to, and those that make and skip the same
+    end in one leaf, which is cut once. A process keeps its tree between slices and tasks, at most KNOWN_NODES nodes;
+    results don't depend on it.
+    """
 
-    def __init__(self, kind: type = np.int32) -> None:
-        self.settings, self.kind = None, kind
+    def __init__(self) -> None:
         self.start_over(None)
 
     def start_over(self, settings) -> None:
-        self.settings, self.keys = settings, np.zeros(0, np.uint64)
-        self.at, self.n, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, self.kind)
-
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Which of the sorted keys are known, and where."""
-        if not len(self.keys):
-            return np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
-        where = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return self.keys[where] == keys, where
-
-    def keep(self, keys: np.ndarray, n: np.ndarray, at: np.ndarray, pool: np.ndarray) -> None:
-        if len(self.keys) + len(keys) > KNOWN_UNITS or len(self.pool) + len(pool) > 8 * KNOWN_UNITS:
-            return
-        at = at + len(self.pool)
-        self.pool = np.concatenate([self.pool, pool])
-        place = np.searchsorted(self.keys, keys)
-        self.keys, self.n, self.at = np.insert(self.keys, place, keys), np.insert(self.n, place, n), np.insert(self.at, place, at)
-
-
-_known, _merges = Known(), Known(np.uint64)
-
-
-def possible_merges(v: Vocabulary, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Row and mixed place (as in _skipped) of every merge that units of equal length can come to under any draws."""
-    n, width = symbols.shape
-    span = np.full((n, width + 1, width + 1), -1, np.int32)
-    at = np.arange(width)
-    span[:, at, at + 1] = np.maximum(symbols, -1)
-    rows, places = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-    for size in range(2, width + 1):
-        start = np.repeat(np.arange(width - size + 1), size - 1)
-        mid = start + np.tile(np.arange(1, size), width - size + 1)
-        left, right = span[:, start, mid], span[:, mid, start + size]
-        row, col = np.nonzero((left >= 0) & (right >= 0))
-        if not len(row):
-            continue
-        merged, _ = v.pairs(left[row, col], right[row, col])
-        row, col, merged = row[merged >= 0], col[merged >= 0], merged[merged >= 0]
-        begin, cut = start[col], mid[col]
-        span[row, begin, begin + size] = merged
-        rows.append(row)
-        places.append(_place(begin, cut, begin + size))
-    return np.concatenate(rows), np.concatenate(places)
-
-
-def shared_keys(v: Vocabulary, sym: np.ndarray, starts: np.ndarray, lengths: np.ndarray, unit: np.ndarray, own: np.ndarray, limit: int) -> np.ndarray:
-    """A key for each occurrence of a unit; equal keys have equal units and skip the same merges. Long units keep their own."""
-    key = own.copy()
-    short = np.flatnonzero(lengths <= SHARED)
-    if not len(short):
-        return key
-    distinct, first, back = np.unique(unit[short], return_index=True, return_inverse=True)
-    first = short[first]
-    if not v.source or _merges.settings != v.source:
-        _merges.start_over(v.source)
-    is_known, where = _merges.find(distinct)
-    fresh = np.flatnonzero(~is_known)
-    rows, places = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-    for width in np.unique(lengths[first[fresh]]).tolist():
-        chosen = fresh[lengths[first[fresh]] == width]
-        row, place = possible_merges(v, sym[starts[first[chosen]][:, None] + np.arange(width)])
-        rows.append(chosen[row])
-        places.append(place)
-    row, place = np.concatenate(rows), np.concatenate(places)
-    order = np.argsort(row, kind="stable")
-    count = np.bincount(row, minlength=len(distinct))
-    head = np.cumsum(count) - count + len(_merges.pool)
-    new, pool = place[order], _merges.pool
-    count[is_known], head[is_known] = _merges.n[where[is_known]], _merges.at[where[is_known]]
-    _merges.keep(distinct[fresh], count[fresh], head[fresh] - len(pool), new)
-    place = np.concatenate([pool, new])
-    # In blocks, as each occurrence has a draw for each merge of its unit.
-    for lo in range(0, len(short), 1 << 15):
-        part, which = short[lo:lo + (1 << 15)], back[lo:lo + (1 << 15)]
-        times = count[which]
-        ends = np.cumsum(times)
-        each = place[np.repeat(head[which] - (ends - times), times) + np.arange(int(ends[-1]))]
-        skipped = (mix(np.repeat(own[part], times) ^ each) >> np.uint64(11)) < np.uint64(limit)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(np.where(skipped, each, np.uint64(0)), dtype=np.uint64)])
-        key[part] = mix(unit[part] ^ mix(sums[ends] - sums[ends - times] + np.uint64(1)))
-    return key
-
-
-def cut_rows(v: Vocabulary, symbols: np.ndarray, keys: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
-    """Merges units of equal length together. Returns the pieces, shifted to the left, with start places; free places hold -2."""
+        self.settings, self.roots, self.n = settings, {}, 0
+        self.place, self.child = np.zeros(1024, np.uint64), np.full((1024, 2), -1, np.int32)
+        # Where the pieces of a leaf are, and how many; -1 for a node that is none.
+        self.at, self.count = np.zeros(1024, np.int64), np.full(1024, -1, np.int32)
+        self.pool, self.used = np.zeros(4096, np.int32), 0
+
+    def _room(self, nodes: int) -> None:
+        if self.n + nodes > len(self.place):
+            more = max(len(self.place), self.n + nodes)
+            self.place = np.concatenate([self.place, np.zeros(more, np.uint64)])
+            self.child = np.concatenate([self.child, np.full((more, 2), -1, np.int32)])
+            self.at, self.count = np.concatenate([self.at, np.zeros(more, np.int64)]), np.concatenate([self.count, np.full(more, -1, np.int32)])
+
+    def add_roots(self, units: list[int]) -> np.ndarray:
+        """Roots of these units, new ones for those without."""
+        self._room(len(units))
+        found = np.array([self.roots.get(u, -1) for u in units], np.int64)
+        fresh = np.flatnonzero(found < 0)
+        found[fresh] = self.n + np.arange(len(fresh))
+        self.roots.update(zip([units[i] for i in fresh.tolist()], found[fresh].tolist()))
+        self.n += len(fresh)
+        return found
+
+    def known(self, node: np.ndarray) -> np.ndarray:
+        """Whether nodes have been reached by a cut: then they have a merge or pieces."""
+        return (self.count[node] >= 0) | (self.place[node] != 0)
+
+    def walk(self, node: np.ndarray, own: np.ndarray, limit: int) -> np.ndarray:
+        """How far each occurrence comes: to a leaf, or to a node that no cut has reached yet."""
+        node = node.copy()
+        going = np.flatnonzero((self.count[node] < 0) & (self.place[node] != 0))
+        while len(going):
+            here = node[going]
+            skipped = (mix(own[going] ^ self.place[here]) >> np.uint64(11)) < np.uint64(limit)
+            there = self.child[here, skipped.astype(np.int64)]
+            # A child that is missing is made, as a node without anything.
+            lost = np.flatnonzero(there < 0)
+            if len(lost):
+                edges, back = np.unique(here[lost] * 2 + skipped[lost], return_inverse=True)
+                self._room(len(edges))
+                made = self.n + np.arange(len(edges))
+                self.child[edges >> 1, edges & 1] = made
+                self.n += len(edges)
+                there[lost] = made[back]
+            node[going] = there
+            going = going[(self.count[there] < 0) & (self.place[there] != 0)]
+        return node
+
+    def add_path(self, node: np.ndarray, steps: list[tuple[np.ndarray, np.ndarray, np.ndarray]], counts: np.ndarray, pieces: np.ndarray) -> None:
+        """Enters cuts below these roots. Each step has rows, places of merges and whether they are skipped; ``pieces`` are the ends."""
+        node = node.copy()
+        for rows, place, skipped in steps:
+            here = node[rows]
+            self.place[here] = place
+            there = self.child[here, skipped.astype(np.int64)]
+            lost = np.flatnonzero(there < 0)
+            if len(lost):
+                edges, back = np.unique(here[lost] * 2 + skipped[lost], return_inverse=True)
+                self._room(len(edges))
+                made = self.n + np.arange(len(edges))
+                self.child[edges >> 1, edges & 1] = made
+                self.n += len(edges)
+                there[lost] = made[back]
+            node[rows] = there
+        if self.used + len(pieces) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), len(pieces)), np.int32)])
+        self.pool[self.used:self.used + len(pieces)] = pieces
+        self.at[node], self.count[node] = self.used + np.cumsum(counts) - counts, counts
+        self.used += len(pieces)
+
+
+_tree = Tree()
+
+
+def cut_rows(v: Vocabulary, symbols: np.ndarray, keys: np.ndarray, limit: int, steps: list | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Merges units together, one a row. Returns the pieces, shifted to the left, with start places; free places hold -2, as may
+    those behind a short unit.
+
+    ``steps`` gets, for every turn, the rows that have one, the merge's mixed place and whether it is skipped.
+    """
     n, width = symbols.shape
     sym = symbols.astype(np.int64)
     begin = np.tile(np.arange(width + 1), (n, 1))
     out_sym, out_begin = np.full((n, width), -2, np.int64), np.full((n, width), width, np.int64)
     rows = np.arange(n)
-
-    def ranked(left, right, b, m, e, key):
-        merged, rank = v.pairs(left, right)
-        if limit:
-            rank = np.where((rank != NONE) & _skipped(key, b, m, e, limit), NONE, rank)
-        return merged, rank
-
-    if width > 1:
-        merged, rank = ranked(sym[:, :-1], sym[:, 1:], begin[:, :-2], begin[:, 1:-1], begin[:, 2:], np.repeat(keys[:, None], width - 1, 1))
-    else:
-        merged, rank = np.zeros((n, 0), np.int64), np.zeros((n, 0), np.int64)
+    merged, rank = v.pairs(sym[:, :-1], sym[:, 1:]) if width > 1 else (np.zeros((n, 0), np.int64), np.zeros((n, 0), np.int64))
+    column, edge = np.arange(width + 1), np.arange(max(width - 1, 0))
     while len(rows):
-        live = rank.min(axis=1) < NONE if rank.shape[1] else np.zeros(len(rows), bool)
+        live = rank.min(axis=1) < NONE if width > 1 else np.zeros(len(rows), bool)
         if not live.all():
             ended = ~live
-            w = sym.shape[1]
-            out_sym[rows[ended], :w], out_begin[rows[ended], :w] = sym[ended], begin[ended, :w]
+            out_sym[rows[ended]], out_begin[rows[ended]] = sym[ended], begin[ended, :width]
             rows, sym, begin, merged, rank, keys = rows[live], sym[live], begin[live], merged[live], rank[live], keys[live]
             if not len(rows):
                 break
         at = rank.argmin(axis=1)
-        k, w = np.arange(len(rows)), sym.shape[1]
-        # The part right of the merge moves one place to the left.
-        shift = np.arange(w - 1)
-        shift = shift + (shift > at[:, None])
-        new = merged[k, at]
-        sym = np.take_along_axis(sym, shift, 1)
-        sym[k, at] = new
-        edge = np.arange(w)
-        begin = np.take_along_axis(begin, edge + (edge > at[:, None]), 1)
-        edge = np.arange(max(w - 2, 0))
-        edge = edge + (edge >= at[:, None])
-        merged, rank = np.take_along_axis(merged, edge, 1), np.take_along_axis(rank, edge, 1)
+        k = np.arange(len(rows))
+        made = np.ones(len(rows), bool)
+        if limit or steps is not None:
+            place = _place(begin[k, at], begin[k, at + 1], begin[k, at + 2])
+            made = (mix(keys ^ place) >> np.uint64(11)) >= np.uint64(limit)
+            if steps is not None:
+                steps.append((rows, place, ~made))
+            # A merge that is skipped never has its turn again.
+            rank[k[~made], at[~made]] = NONE
+        # Right of a merge everything moves one place to the left.
+        new, from_ = merged[k, at], np.where(made, at, width)[:, None]
+        moved = np.minimum(column + (column > from_), width)
+        begin = np.take_along_axis(begin, moved, 1)
+        sym = np.take_along_axis(sym, np.minimum(moved[:, :width], width - 1), 1)
+        moved = np.minimum(edge + (edge >= from_), width - 2)
+        merged, rank = np.take_along_axis(merged, moved, 1), np.take_along_axis(rank, moved, 1)
+        k, at = k[made], at[made]
+        sym[k, -1] = -2
+        sym[k, at] = new[made]
+        rank[k, -1] = NONE
         for side in (0, 1):
             # The pair that ends with the new piece, and the one that begins with it.
-            have = at > 0 if side == 0 else at < w - 2
+            have = at > 0 if side == 0 else at < width - 1
             r, p = k[have], at[have] - 1 + side
             if len(r):
-                merged[r, p], rank[r, p] = ranked(sym[r, p], sym[r, p + 1], begin[r, p], begin[r, p + 1], begin[r, p + 2], keys[r])
+                merged[r, p], rank[r, p] = v.pairs(sym[r, p], sym[r, p + 1])
     return out_sym, out_begin
 
 
@@ -325,55 +354,54 @@ def encode_texts(v: Vocabulary, texts: list[str], salts: np.ndarray, dropout: fl
     inside = np.arange(total) - np.repeat(starts, lengths)
     powers = np.cumprod(np.full(int(lengths.max()), 0x2545F4914F6CDD1D, np.uint64))
     unit = mix(np.add.reduceat(value * powers[inside], starts) + lengths.astype(np.uint64))
-    if limit:
-        nth = np.arange(len(starts)) - np.searchsorted(owner, owner)
-        draw = mix(mix(salts[owner] ^ np.uint64(seed)) ^ nth.astype(np.uint64))
-        own = mix(unit ^ mix(draw + mix(np.array([seed], np.uint64))))
-        key = shared_keys(v, sym, starts, lengths, unit, own, limit)
-    else:
-        key = own = unit
-    distinct, all_first, back = np.unique(key, return_index=True, return_inverse=True)
+    nth = np.arange(len(starts)) - np.searchsorted(owner, owner)
+    draw = mix(mix(salts[owner] ^ np.uint64(seed)) ^ nth.astype(np.uint64))
+    own = mix(unit ^ mix(draw + mix(np.array([seed], np.uint64))))
     settings = (v.source, limit)
-    if _known.settings != settings:
-        _known.start_over(settings)
-    is_known, where = _known.find(distinct) if v.source else (np.zeros(len(distinct), bool), np.zeros(len(distinct), np.int64))
-    first = all_first[~is_known]
-    counts, chunks, placed = np.zeros(len(first), np.int64), [np.zeros(0, np.int32)], np.zeros(len(first), np.int64)
-    at = 0
-    size_of = lengths[first]
+    if not v.source or _tree.settings != settings or _tree.n > KNOWN_NODES or _tree.used > 2 * KNOWN_NODES:
+        _tree.start_over(settings)
     byte_ids = np.array(v.byte_ids, np.int64)
-    for width in np.unique(size_of).tolist():
-        chosen = np.flatnonzero(size_of == width)
-        if width <= WIDE:
-            grid = starts[first[chosen]][:, None] + np.arange(width)
-            cut, begin = cut_rows(v, sym[grid], own[first[chosen]], limit)
-            full = cut != -2
-            flat, place = cut[full], (begin + starts[first[chosen]][:, None])[full]
-            n = full.sum(axis=1)
-        else:
-            parts = [cut_long(v, sym[s:s + width], own[f], limit) for f, s in zip(first[chosen], starts[first[chosen]])]
-            n = np.array([len(p[0]) for p in parts])
-            flat = np.array([x for p in parts for x in p[0]], np.int64)
-            place = np.array([x + s for p, s in zip(parts, starts[first[chosen]]) for x in p[1]], np.int64)
+    short = np.flatnonzero(lengths <= WIDTHS[-1])
+    count, at = np.zeros(len(starts), np.int64), np.zeros(len(starts), np.int64)
+    if len(short):
+        distinct, first, back = np.unique(unit[short], return_index=True, return_inverse=True)
+        roots = _tree.add_roots(distinct.tolist())
+        node = _tree.walk(roots[back], own[short], limit)
+        waiting = np.flatnonzero(_tree.count[node] < 0)
+        while len(waiting):
+            # One occurrence of each place that no cut has reached is cut; the others may come further by its cut.
+            chosen = waiting[np.unique(node[waiting], return_index=True)[1]]
+            wide = np.searchsorted(WIDTHS, lengths[short[chosen]])
+            for kind in np.unique(wide).tolist():
+                part = chosen[wide == kind]
+                begin, size = starts[short[part]], lengths[short[part]]
+                inside = np.arange(WIDTHS[kind])
+                rows_of = np.where(inside < size[:, None], sym[begin[:, None] + np.minimum(inside, size[:, None] - 1)], -2)
+                steps: list = []
+                cut, place = cut_rows(v, rows_of, own[short[part]], limit, steps)
+                full = cut != -2
+                flat, n = cut[full], full.sum(axis=1)
+                if (flat < 0).any():
+                    flat, n = _with_bytes(flat, (place + begin[:, None])[full], n, cp, byte_ids)
+                _tree.add_path(roots[back[part]], steps, n, flat.astype(np.int32))
+            node[waiting] = _tree.walk(node[waiting], own[short[waiting]], limit)
+            waiting = waiting[_tree.count[node[waiting]] < 0]
+        count[short], at[short] = _tree.count[node], _tree.at[node]
+    alone = [np.zeros(0, np.int32)]
+    pool_size = _tree.used
+    for i in np.flatnonzero(lengths > WIDTHS[-1]).tolist():
+        s = int(starts[i])
+        ids, begin = cut_long(v, sym[s:s + int(lengths[i])], own[i], limit)
+        flat, n = np.array(ids, np.int64), np.array([len(ids)])
         if (flat < 0).any():
-            flat, n = _with_bytes(flat, place, n, cp, byte_ids)
-        counts[chosen], placed[chosen] = n, at + np.cumsum(n) - n
-        chunks.append(flat.astype(np.int32))
-        at += len(flat)
-    fresh = np.concatenate(chunks)
-    pool = np.concatenate([_known.pool, fresh]) if is_known.any() else fresh
-    every, begin = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), np.int64)
-    every[~is_known], begin[~is_known] = counts, placed + (len(pool) - len(fresh))
-    every[is_known], begin[is_known] = _known.n[where[is_known]], _known.at[where[is_known]]
-    if v.source:
-        short = size_of <= (SHARED if limit else WIDE)
-        if short.any():
-            taken = np.repeat(placed[short] - (np.cumsum(counts[short]) - counts[short]), counts[short]) + np.arange(int(counts[short].sum()))
-            _known.keep(distinct[~is_known][short], counts[short], np.cumsum(counts[short]) - counts[short], fresh[taken])
-    n = every[back]
-    ends = np.cumsum(n)
-    gather = np.repeat(begin[back] - (ends - n), n) + np.arange(int(ends[-1]))
-    return pool[gather], np.bincount(owner, weights=n, minlength=len(texts)).astype(np.int64)
+            flat, n = _with_bytes(flat, np.array(begin, np.int64) + s, n, cp, byte_ids)
+        count[i], at[i] = len(flat), pool_size
+        pool_size += len(flat)
+        alone.append(flat.astype(np.int32))
+    ends = np.cumsum(count)
+    gather = np.repeat(at - (ends - count), count) + np.arange(int(ends[-1]))
+    pool = np.concatenate([_tree.pool[:_tree.used], *alone]) if len(alone) > 1 else _tree.pool
+    return pool[gather], np.bincount(owner, weights=count, minlength=len(texts)).astype(np.int64)
 
 
 def _with_bytes(flat: np.ndarray, place: np.ndarray, n: np.ndarray, cp: np.ndarray, byte_ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

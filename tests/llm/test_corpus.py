@@ -120,10 +120,16 @@ def test_dropout_is_drawn_for_each_occurrence(vocabulary, monkeypatch):
     texts = [" ".join(rng.choices(words, k=rng.randint(0, 300))) for _ in range(40)]
     salts = np.arange(40, dtype=np.uint64)
     ids, n = sentencepiece_dropout.encode_texts(vocabulary, texts, salts)
-    monkeypatch.setattr(sentencepiece_dropout, "SHARED", 0)
+    # The same without a shared tree: every unit by itself, with a heap.
+    monkeypatch.setattr(sentencepiece_dropout, "WIDTHS", (0,))
     alone, m = sentencepiece_dropout.encode_texts(vocabulary, texts, salts)
     assert (ids == alone).all() and (n == m).all()
     monkeypatch.undo()
+    # And with a tree that starts over with every slice.
+    monkeypatch.setattr(sentencepiece_dropout, "KNOWN_NODES", 0)
+    again, m = sentencepiece_dropout.encode_texts(vocabulary, texts, salts)
+    assert (ids == again).all() and (n == m).all()
+    monkeypatch.undo()
     # The share of skips is that of the dropout for every word with one merge, and long words have many segmentations.
     names = vocabulary.ids
     two = [w for w in ("▁" + c for c in UPPER + LOWER) if w in names and len(w) == 2]
