@@ -7,6 +7,11 @@ decodes to ends there. Where a character of several bytes is split between token
 empty or too wide; there the ends are found by the decoded bytes, from the last good cut on. Texts whose tokens do not
 decode to the space and the text have no tokens.
 
+Most words occur many times, so a text is cut into units first: a space that stands between two characters that are no
+white space begins a unit. Neither model has a token across such a place (the byte-level split never does, and pieces
+hold no mark behind another character, which is checked), so a unit is encoded and aligned once for a block of texts,
+strung together with others.
+
 Places where tokens of both end cut a text into groups. Between two neighbouring ends of either side lies a part of one
 A and one B token, so these parts are the links, one for each pair of tokens that overlap. The links of an id pair are
 counted over all texts, in blocks of texts first, and the counts return to the blocks that hold the pair: one row for
@@ -36,11 +41,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import small_batches, stored
+from .text_arrays import BASE, BYTE_VALUES, mix
 
 BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 # Bytes of text that make a block, whose distinct pairs are counted together; a longer text is a block of its own.
 BLOCK_BYTES = 2 << 20
+# Bytes of distinct units that are strung together for one call of a tokenizer.
+STRUNG_BYTES = 1 << 13
 SPACE_MARK = "▁"
 
 
@@ -96,7 +104,10 @@ def _tools(byte_level: bytes, pieces: bytes):
     entries = {i: t for t, i in a.get_vocab(with_added_tokens=True).items()}
     of_a = [added[i] if i in added else bytes(letters[c] for c in entries.get(i, "")) for i in range(max(entries) + 1)]
     b = sentencepiece.SentencePieceProcessor(model_proto=pieces)
-    of_b = [bytes([int(b.id_to_piece(i)[3:5], 16)]) if b.is_byte(i) else b.id_to_piece(i).replace(SPACE_MARK, " ").encode() for i in range(b.get_piece_size())]
+    names = [b.id_to_piece(i) for i in range(b.get_piece_size())]
+    if any(SPACE_MARK in name.lstrip(SPACE_MARK) for name in names):
+        raise ValueError("a piece goes on behind a space, so texts can't be cut into units")
+    of_b = [bytes([int(name[3:5], 16)]) if b.is_byte(i) else name.replace(SPACE_MARK, " ").encode() for i, name in enumerate(names)]
     return a, Decoded(of_a), b, Decoded(of_b)
 
 
@@ -171,12 +182,10 @@ def tokenise(pair: TokenizerPair, texts: list[str]) -> tuple[Tokens, Tokens, np.
     ids = np.fromiter(chain.from_iterable(e.ids for e in made), np.int64, total)
     offsets = np.fromiter(chain.from_iterable(chain.from_iterable(e.offsets for e in made)), np.int64, 2 * total)[1::2]
     left, good_a = _side(ids, byte_of[offsets + np.repeat(first_char, counts)], counts, of_a, begins, data, sizes)
-    messages = b.encode([t or "" for t in texts], return_type="proto", num_threads=1)
-    spans = [m.pieces for m in messages]
-    counts = np.array([len(s) if t else 0 for s, t in zip(spans, texts)], np.int64)
-    total = int(counts.sum())
-    ids = np.fromiter((p.id for s, t in zip(spans, texts) if t for p in s), np.int64, total)
-    coarse = np.fromiter((p.end for s, t in zip(spans, texts) if t for p in s), np.int64, total)
+    messages = b.encode(texts, return_type="proto", num_threads=1)
+    counts = np.array([len(m.pieces) for m in messages], np.int64)
+    spans = np.fromiter(chain.from_iterable((p.id, p.end) for m in messages for p in m.pieces), np.int64, 2 * int(counts.sum()))
+    ids, coarse = spans[::2], spans[1::2]
     right, good_b = _side(ids, coarse + np.repeat(begins + 1, counts), counts, of_b, begins, data, sizes)
     good = good_a & good_b
     return left.of(good), right.of(good), sizes
@@ -254,38 +263,152 @@ def alignment_texts(a: np.ndarray, b: np.ndarray, made: Alignment) -> pa.Array:
     return pa.LargeStringArray.from_buffers(len(filled), pa.py_buffer(offsets), pa.py_buffer(out)).cast(pa.string())
 
 
-def _packed(ids: np.ndarray, counts: np.ndarray, kind: type) -> pa.Array:
-    """Ids of each text as bytes."""
-    offsets = np.concatenate([[0], np.cumsum(counts)]) * np.dtype(kind).itemsize
-    return pa.BinaryArray.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(ids.astype(kind))])
+def _plain(byte: np.ndarray, earlier: np.ndarray | None = None) -> np.ndarray:
+    """Whether characters are no white space for sure: ASCII above the space, or of two bytes from U+00C0 on.
+
+    ``byte`` is the character's first byte; or its last, with ``earlier``, the byte before.
+    """
+    two = (byte >= 0xC3) & (byte < 0xE0) if earlier is None else (byte >= 128) & (earlier >= 0xC3) & (earlier < 0xE0)
+    return ((byte > 32) & (byte < 128)) | two
+
+
+def split_units(data: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """Where units begin in the bytes of texts, each of which begins with a space at its place in ``begins``.
+
+    Texts are cut at spaces between two plain characters.
+    """
+    at = np.flatnonzero(data[1:-1] == 32) + 1
+    plain = _plain(data[at - 1], data[np.maximum(at - 2, 0)]) & _plain(data[at + 1])
+    cut = np.zeros(len(data), bool)
+    cut[at[plain]] = True
+    cut[begins] = True
+    return np.flatnonzero(cut)
+
+
+def distinct_units(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places (in ``starts``) of the first of equal units, and for each unit which of them it equals. Bytes are compared."""
+    sizes = np.diff(np.append(starts, len(data)))
+    inside = np.arange(len(data)) - np.repeat(starts, sizes)
+    values = BYTE_VALUES[data] * np.cumprod(np.full(int(sizes.max()), BASE, np.uint64))[inside]
+    keys = mix(np.add.reduceat(values, starts) + sizes.astype(np.uint64))
+    _, first, back = np.unique(keys, return_index=True, return_inverse=True)
+    same = sizes[first[back]] == sizes
+    if same.all():
+        same = np.logical_and.reduceat(data[np.repeat(starts[first[back]], sizes) + inside] == data, starts)
+    if not same.all():
+        # Units whose hash is another one's stay alone.
+        odd = np.flatnonzero(~same)
+        back = back.copy()
+        back[odd] = len(first) + np.arange(len(odd))
+        first = np.concatenate([first, odd])
+    return first, back
+
+
+def tokenise_units(pair: TokenizerPair, raw: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[Tokens, Tokens, np.ndarray]:
+    """As :func:`tokenise`, for units of ``raw``, most of them strung together in longer texts.
+
+    Units that begin and end with plain characters are cut where they meet. The others, and those of texts that don't
+    come out whole, are encoded by themselves.
+    """
+    data, size = np.frombuffer(raw, np.uint8), stops - starts
+    easy = (size > 1) & _plain(data[np.minimum(starts + 1, len(data) - 1)]) & _plain(data[stops - 1], data[np.maximum(stops - 2, 0)])
+    order = np.concatenate([np.flatnonzero(easy), np.flatnonzero(~easy)])
+    n_easy = int(easy.sum())
+    chunk = np.arange(len(order))
+    chunk[:n_easy] = np.cumsum(size[order[:n_easy]]) // STRUNG_BYTES
+    if n_easy:
+        chunk[n_easy:] += int(chunk[n_easy - 1]) + 1 - n_easy
+    heads = np.flatnonzero(np.diff(chunk, prepend=-1))
+    parts = [raw[i:j] for i, j in zip(starts[order].tolist(), stops[order].tolist())]
+    cut = [*heads.tolist(), len(order)]
+    sides = tokenise(pair, [b"".join(parts[i:j])[1:].decode() for i, j in zip(cut, cut[1:])])
+    limits = np.cumsum(size[order])
+    whole = np.ones(len(order), bool)
+    counts = []
+    for side in sides[:2]:
+        through = np.searchsorted(side.ends, limits, side="right")
+        whole &= (through > 0) & (side.ends[np.maximum(through - 1, 0)] == limits) if len(side.ends) else False
+        counts.append(np.diff(through, prepend=0))
+    # Texts with a unit that isn't whole: strung ones are encoded unit by unit, single ones have no tokens.
+    text_of = np.cumsum(np.diff(chunk, prepend=-1) != 0) - 1
+    failed = np.zeros(len(heads), bool)
+    failed[text_of[~whole]] = True
+    alone = np.flatnonzero(failed[text_of] & (np.arange(len(order)) < n_easy))
+    sides = [Tokens(t.ids, t.ends, n).of(~failed[text_of]) for t, n in zip(sides[:2], counts)]
+    if len(alone):
+        again = tokenise(pair, [parts[i][1:].decode() for i in alone.tolist()])
+        sides = [_merged(t, r, alone) for t, r in zip(sides, again[:2])]
+    back = np.argsort(order)
+    made = []
+    _, of_a, _, of_b = pair.tools
+    for side, decoded in zip(sides, (of_a, of_b)):
+        begin, n = (np.cumsum(side.counts) - side.counts)[back], side.counts[back]
+        ids = side.ids[np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        made.append(Tokens(ids, np.cumsum(decoded.sizes[ids]), n))
+    return *made, np.where(made[0].counts > 0, size, 0)
 
 
-def _unpacked(column: pa.Array, kind: type) -> tuple[np.ndarray, np.ndarray]:
-    values = column.to_pylist()
-    counts = np.array([len(v) // np.dtype(kind).itemsize for v in values], np.int64)
-    return np.frombuffer(b"".join(values), kind).astype(np.int64), counts
+def _merged(side: Tokens, again: Tokens, places: np.ndarray) -> Tokens:
+    """``side`` with the tokens of ``again`` at these places, which have none yet; the ends no longer hold."""
+    counts = side.counts.copy()
+    counts[places] = again.counts
+    ids, own = np.empty(int(counts.sum()), np.int64), np.zeros(len(counts), bool)
+    own[places] = True
+    ids[np.repeat(own, counts)], ids[np.repeat(~own, counts)] = again.ids, side.ids
+    return Tokens(ids, np.zeros(0, np.int64), counts)
+
+
+def _packed(values: np.ndarray, kind: type) -> bytes:
+    return values.astype(kind).tobytes()
+
+
+def _unpacked(raw: bytes, kind: type) -> np.ndarray:
+    return np.frombuffer(raw, kind).astype(np.int64)
 
 
 def _kind(decoded: Decoded) -> type:
     return np.uint16 if len(decoded.sizes) <= 1 << 16 else np.uint32
 
 
-def _from_ids(pair: TokenizerPair, a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> Alignment:
-    """The alignment of tokens that decode to their texts, from their ids."""
+# Columns that one row of a block fills: the tokens of the block's distinct units, and how many each has.
+SHEET = ("a", "n_a", "b", "n_b")
+
+
+def _block(pair: TokenizerPair, texts: list[str]) -> tuple[list[bytes | None], dict[str, bytes], np.ndarray, np.ndarray]:
+    """Units of each text (None where it has no tokens), tokens of the distinct units, and the block's pairs with their links."""
+    encoded = [(" " + t).encode() if t else b"" for t in texts]
+    raw = b"".join(encoded)
+    data, sizes = np.frombuffer(raw, np.uint8), np.array([len(t) for t in encoded], np.int64)
+    filled = np.flatnonzero(sizes)
+    if not len(filled):
+        return [None] * len(texts), dict.fromkeys(SHEET, b""), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    begins = (np.cumsum(sizes) - sizes)[filled]
+    starts = split_units(data, begins)
+    owner = filled[np.searchsorted(begins, starts, side="right") - 1]
+    first, unit = distinct_units(data, starts)
+    stops = np.append(starts[1:], len(data))
+    a, b, unit_sizes = tokenise_units(pair, raw, starts[first], stops[first])
+    good = sizes > 0
+    good[owner[a.counts[unit] == 0]] = False
+    made = align_tokens(a.ends, b.ends, unit_sizes)
+    times = np.bincount(unit[good[owner]], minlength=len(first))
+    codes, back = np.unique(a.ids[made.a] << 32 | b.ids[made.b], return_inverse=True)
+    n = np.bincount(back, weights=np.repeat(times, made.n_links), minlength=len(codes)).astype(np.int64)
+    packed = _packed(unit, np.uint32)
+    cut = [0, *(4 * np.cumsum(np.bincount(owner, minlength=len(texts)))).tolist()]
+    rows = [packed[i:j] if g else None for i, j, g in zip(cut, cut[1:], good)]
     _, of_a, _, of_b = pair.tools
-    size_a = of_a.sizes[a]
-    sizes = np.bincount(np.repeat(np.arange(len(n_a)), n_a), weights=size_a, minlength=len(n_a)).astype(np.int64)
-    return align_tokens(np.cumsum(size_a), np.cumsum(of_b.sizes[b]), sizes)
+    sheet = {"a": _packed(a.ids, _kind(of_a)), "n_a": _packed(a.counts, np.uint32), "b": _packed(b.ids, _kind(of_b)), "n_b": _packed(b.counts, np.uint32)}
+    return rows, sheet, codes[n > 0], n[n > 0]
 
 
 def token_blocks(docs: DataFrame, pair: TokenizerPair, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Tokens of every text in blocks: id, block, packed ids ``a`` and ``b``; the first row of a block has the block's links
-    as ``pairs`` (array of pair, n). A pair is A's id times 2^32, plus B's.
+    """Units of every text in blocks: id, block, ``units`` (numbers of the block's distinct units). The first row of a block
+    has the tokens of these units and the block's links as ``pairs`` (array of pair, n). A pair is A's id times 2^32, plus B's.
     """
     pair_type = pa.list_(pa.struct([("pair", pa.int64()), ("n", pa.int64())]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, of_a, _, of_b = pair.tools
         partition, done = TaskContext.get().partitionId(), 0
         for batch in batches:
             size = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False)
@@ -295,21 +418,20 @@ def token_blocks(docs: DataFrame, pair: TokenizerPair, id_col: str = "doc_id", t
                 if hi <= lo:
                     continue
                 part = batch.slice(lo, hi - lo)
-                a, b, sizes = tokenise(pair, [t or "" for t in part.column(text_col).to_pylist()])
-                made = align_tokens(a.ends, b.ends, sizes)
-                codes, n = np.unique(a.ids[made.a] << 32 | b.ids[made.b], return_counts=True)
-                # All pairs stand in the first row.
+                rows, sheet, codes, n = _block(pair, [t or "" for t in part.column(text_col).to_pylist()])
+                rest = [None] * (hi - lo - 1)
                 pairs = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.full(hi - lo, len(codes))]).astype(np.int32)),
-                    pa.StructArray.from_arrays([pa.array(codes), pa.array(n.astype(np.int64))], fields=list(pair_type.value_type)))
+                    pa.StructArray.from_arrays([pa.array(codes), pa.array(n)], fields=list(pair_type.value_type)))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(id_col), pa.array(np.full(hi - lo, partition << 32 | done, np.int64)), _packed(a.ids, a.counts, _kind(of_a)),
-                     _packed(b.ids, b.counts, _kind(of_b)), pairs], names=["id", "block", "a", "b", "pairs"])
+                    [part.column(id_col), pa.array(np.full(hi - lo, partition << 32 | done, np.int64)), pa.array(rows, pa.binary()),
+                     *(pa.array([sheet[c], *rest], pa.binary()) for c in SHEET), pairs], names=["id", "block", "units", *SHEET, "pairs"])
                 done += 1
 
     id_type = docs.schema[id_col].dataType.simpleString()
     rows = small_batches(docs).select(F.col(id_col), F.col(text_col))
-    return rows.mapInArrow(work, f"id {id_type}, block bigint, a binary, b binary, pairs array<struct<pair:bigint,n:bigint>>")
+    columns = ", ".join(f"{c} binary" for c in SHEET)
+    return rows.mapInArrow(work, f"id {id_type}, block bigint, units binary, {columns}, pairs array<struct<pair:bigint,n:bigint>>")
 
 
 def pair_counts(blocks: DataFrame) -> DataFrame:
@@ -320,6 +442,19 @@ def pair_counts(blocks: DataFrame) -> DataFrame:
     return counts.join(most, "b_id").select("pair", "links", (F.col("links") == F.col("most")).alias("best"))
 
 
+def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sums of whole numbers over consecutive stretches of so many."""
+    run, ends = np.concatenate([[0], np.cumsum(values)]), np.cumsum(counts)
+    return run[ends] - run[ends - counts]
+
+
+def _joined_units(unit_texts: pa.Array, used: np.ndarray, per_text: np.ndarray) -> pa.Array:
+    """The alignments of each text's units, with a semicolon between two."""
+    pieces = np.array(unit_texts.to_pylist(), object)[used] if len(used) else np.zeros(0, object)
+    cut = [0, *np.cumsum(per_text).tolist()]
+    return pa.array([";".join(pieces[i:j]) for i, j in zip(cut, cut[1:])], pa.string())
+
+
 def align(docs: DataFrame, pair: TokenizerPair, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """A row for each of ``docs``: the id, n_a, n_b, n_groups, n_links, n_best (links whose pair is its B id's most frequent
     one, ties included), count_sum (frequency of the pair, over links), and ``alignment``, the groups as text.
@@ -331,25 +466,23 @@ def align(docs: DataFrame, pair: TokenizerPair, id_col: str = "doc_id", text_col
     known = wanted.join(pair_counts(blocks), "pair")
     names = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
 
-    def work(tokens: pa.Table, counts: pa.Table) -> pa.Table:
+    def work(texts: pa.Table, counts: pa.Table) -> pa.Table:
+        texts = texts.combine_chunks()
+        sheet = {c: b"".join(x for x in texts.column(c).to_pylist() if x) for c in SHEET}
         _, of_a, _, of_b = pair.tools
-        tokens = tokens.combine_chunks()
-        a, n_a = _unpacked(tokens.column("a"), _kind(of_a))
-        b, n_b = _unpacked(tokens.column("b"), _kind(of_b))
-        made = _from_ids(pair, a, n_a, b, n_b)
+        a, n_a, b, n_b = (_unpacked(sheet[c], k) for c, k in zip(SHEET, (_kind(of_a), np.uint32, _kind(of_b), np.uint32)))
+        made = align_tokens(np.cumsum(of_a.sizes[a]), np.cumsum(of_b.sizes[b]), _sums(of_a.sizes[a], n_a))
         code, links, best = (counts.column(c).to_numpy() for c in ("pair", "links", "best"))
         order = np.argsort(code)
-        at = order[np.searchsorted(code[order], a[made.a] << 32 | b[made.b])] if len(code) else np.zeros(0, np.int64)
-        owner = np.repeat(np.arange(len(n_a)), made.n_links)
-        # Sums of whole numbers by differences of running sums: they stay exact.
-        ends = np.cumsum(made.n_links)
-        run = np.concatenate([[0], np.cumsum(links[at])])
-        sums = run[ends] - run[ends - made.n_links]
-        n_best = np.bincount(owner[best[at].astype(bool)], minlength=len(n_a)).astype(np.int64)
-        columns = [n_a, n_b, made.n_groups, made.n_links, n_best, sums]
-        return pa.Table.from_arrays([tokens.column("id"), *(pa.array(c.astype(np.int64)) for c in columns), alignment_texts(a, b, made)],
-                                    names=[id_col, *names, "alignment"])
+        # Pairs that only texts without tokens hold have no count, and nothing asks for it.
+        at = np.minimum(np.searchsorted(code[order], a[made.a] << 32 | b[made.b]), max(len(code) - 1, 0))
+        links, best = (x[order][at] if len(code) else np.zeros(len(at), np.int64) for x in (links, best))
+        of_unit = [n_a, n_b, made.n_groups, made.n_links, _sums(best.astype(np.int64), made.n_links), _sums(links, made.n_links)]
+        rows = [np.frombuffer(x or b"", np.uint32) for x in texts.column("units").to_pylist()]
+        used, per_text = np.concatenate(rows).astype(np.int64), np.array([len(r) for r in rows], np.int64)
+        columns = [pa.array(_sums(c[used], per_text)) for c in of_unit]
+        return pa.Table.from_arrays([texts.column("id"), *columns, _joined_units(alignment_texts(a, b, made), used, per_text)], names=[id_col, *names, "alignment"])
 
     id_type = docs.schema[id_col].dataType.simpleString()
     schema = ", ".join([f"`{id_col}` {id_type}", *(f"{c} bigint" for c in names), "alignment string"])
-    return blocks.select("id", "block", "a", "b").groupBy("block").cogroup(known.groupBy("holder")).applyInArrow(work, schema)
+    return blocks.select("id", "block", "units", *SHEET).groupBy("block").cogroup(known.groupBy("holder")).applyInArrow(work, schema)
