@@ -366,6 +366,21 @@ def _unpacked(raw: bytes, kind: type) -> np.ndarray:
     return np.frombuffer(raw, kind).astype(np.int64)
 
 
+def _unit_width(n: int) -> int:
+    """Bytes of a unit's number in a block of so many."""
+    return 2 if n <= 1 << 16 else 3 if n <= 1 << 24 else 4
+
+
+def _packed_units(units: np.ndarray, width: int) -> bytes:
+    return units.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width].tobytes()
+
+
+def _unpacked_units(raw: bytes, width: int) -> np.ndarray:
+    numbers = np.zeros((len(raw) // width, 4), np.uint8)
+    numbers[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
+    return numbers.view("<u4").ravel().astype(np.int64)
+
+
 def _kind(decoded: Decoded) -> type:
     return np.uint16 if len(decoded.sizes) <= 1 << 16 else np.uint32
 
@@ -394,8 +409,9 @@ def _block(pair: TokenizerPair, texts: list[str]) -> tuple[list[bytes | None], d
     times = np.bincount(unit[good[owner]], minlength=len(first))
     codes, back = np.unique(a.ids[made.a] << 32 | b.ids[made.b], return_inverse=True)
     n = np.bincount(back, weights=np.repeat(times, made.n_links), minlength=len(codes)).astype(np.int64)
-    packed = _packed(unit, np.uint32)
-    cut = [0, *(4 * np.cumsum(np.bincount(owner, minlength=len(texts)))).tolist()]
+    width = _unit_width(len(first))
+    packed = _packed_units(unit, width)
+    cut = [0, *(width * np.cumsum(np.bincount(owner, minlength=len(texts)))).tolist()]
     rows = [packed[i:j] if g else None for i, j, g in zip(cut, cut[1:], good)]
     _, of_a, _, of_b = pair.tools
     sheet = {"a": _packed(a.ids, _kind(of_a)), "n_a": _packed(a.counts, np.uint32), "b": _packed(b.ids, _kind(of_b)), "n_b": _packed(b.counts, np.uint32)}
@@ -478,8 +494,8 @@ def align(docs: DataFrame, pair: TokenizerPair, id_col: str = "doc_id", text_col
         at = np.minimum(np.searchsorted(code[order], a[made.a] << 32 | b[made.b]), max(len(code) - 1, 0))
         links, best = (x[order][at] if len(code) else np.zeros(len(at), np.int64) for x in (links, best))
         of_unit = [n_a, n_b, made.n_groups, made.n_links, _sums(best.astype(np.int64), made.n_links), _sums(links, made.n_links)]
-        rows = [np.frombuffer(x or b"", np.uint32) for x in texts.column("units").to_pylist()]
-        used, per_text = np.concatenate(rows).astype(np.int64), np.array([len(r) for r in rows], np.int64)
+        rows, width = [x or b"" for x in texts.column("units").to_pylist()], _unit_width(len(n_a))
+        used, per_text = _unpacked_units(b"".join(rows), width), np.array([len(r) // width for r in rows], np.int64)
         columns = [pa.array(_sums(c[used], per_text)) for c in of_unit]
         return pa.Table.from_arrays([texts.column("id"), *columns, _joined_units(alignment_texts(a, b, made), used, per_text)], names=[id_col, *names, "alignment"])
 

@@ -104,6 +104,21 @@ def test_refined_ends_of_split_characters(pair):
     assert not sound[0] or not sound[1]
 
 
+def test_packed_units_and_equal_hashes(monkeypatch):
+    for n in (1, 300, 1 << 16, (1 << 16) + 1, (1 << 24) + 1):
+        units = np.array([0, n // 2, n - 1])
+        width = token_alignment._unit_width(n)
+        assert token_alignment._unpacked_units(token_alignment._packed_units(units, width), width).tolist() == units.tolist()
+    raw = " aa bb aa cc".encode()
+    data = np.frombuffer(raw, np.uint8)
+    starts = token_alignment.split_units(data, np.array([0]))
+    assert starts.tolist() == [0, 3, 6, 9]
+    # With every hash the same, units are still told apart by their bytes.
+    monkeypatch.setattr(token_alignment, "mix", lambda x: np.zeros(len(x), np.uint64))
+    first, back = token_alignment.distinct_units(data, starts)
+    assert [raw[starts[first[b]]:starts[first[b]] + 3] for b in back] == [b" aa", b" bb", b" aa", b" cc"]
+
+
 # ---- 12 -----------------------------------------------------------------------------------------------------------
 
 
