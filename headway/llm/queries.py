@@ -235,16 +235,15 @@ OP10_SQL = f"""
 WITH docs AS MATERIALIZED (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 matches AS MATERIALIZED ({" UNION ALL ".join((
     _kind_sql(1, "assign", _ASSIGN_SQL, 2, 8), _kind_sql(2, "access", secret_scan.ACCESS, 1, 16), _kind_sql(3, "hex", secret_scan.HEX, 1, 32),
-    _kind_sql(4, "entropy_hex", secret_scan.RUN_HEX, 1, secret_scan.SLIDE), _kind_sql(5, "entropy_base64", secret_scan.RUN_BASE64, 1, secret_scan.SLIDE)))}),
+    *(_kind_sql(4 + i, kind, pattern, 1, secret_scan.SLIDE) for i, (kind, pattern) in enumerate(secret_scan.CLASSES.items()))))}),
 placed AS MATERIALIZED (
   SELECT *, CAST(stop_at - size AS BIGINT) AS start FROM (
     SELECT *, CAST(sum(gap + size) OVER (PARTITION BY doc_id, kind_no ORDER BY n) AS BIGINT) AS stop_at FROM matches) m),
 runs AS (
   SELECT doc_id, kind_no, kind, start, run FROM placed
-  WHERE kind_no >= 4 AND {" AND ".join(f"NOT contains(run, '{word}')" for word in secret_scan.ALLOWED)}
-    AND regexp_matches(run, '[0-9]') AND CASE kind_no WHEN 4 THEN regexp_matches(run, '[A-Fa-f]')
-                                              ELSE regexp_matches(run, '[A-Z]') AND regexp_matches(run, '[a-z]') END),
-chars AS (SELECT doc_id, kind_no, kind, start, loc, substr(run, loc + 1, 1) AS ch
+  WHERE kind_no >= 4 AND (kind_no > 4 OR regexp_matches(run, '[A-Fa-f]'))),
+chars AS (SELECT doc_id, kind_no, kind, start, loc, substr(run, loc + 1, 1) AS ch, {", ".join(
+    f"CAST(substr(run, loc + 1, {len(word)}) = '{word}' AS INT) AS begins_{i}" for i, word in enumerate(secret_scan.ALLOWED))}
           FROM (SELECT *, unnest(generate_series(0, length(run) - 1)) AS loc FROM runs) r),
 counted AS (
   SELECT *, count(*) OVER (PARTITION BY doc_id, kind_no, start, ch ORDER BY loc RANGE BETWEEN {secret_scan.SLIDE - 1} PRECEDING AND CURRENT ROW) AS c_in,
@@ -253,12 +252,14 @@ counted AS (
 changed AS (SELECT *, {_SCALED.format("c_in")} - {_SCALED.format("(c_in - 1)")} AS gain, {_SCALED.format("c_out")} - {_SCALED.format("(c_out - 1)")} AS loss FROM counted),
 summed AS (
   SELECT *, sum(gain) OVER (PARTITION BY doc_id, kind_no, start ORDER BY loc)
-         - coalesce(sum(loss) OVER (PARTITION BY doc_id, kind_no, start ORDER BY loc ROWS BETWEEN UNBOUNDED PRECEDING AND {secret_scan.SLIDE} PRECEDING), 0) AS total
+         - coalesce(sum(loss) OVER (PARTITION BY doc_id, kind_no, start ORDER BY loc ROWS BETWEEN UNBOUNDED PRECEDING AND {secret_scan.SLIDE} PRECEDING), 0) AS total,
+         greatest({", ".join(f"max(begins_{i}) OVER (PARTITION BY doc_id, kind_no, start ORDER BY loc ROWS BETWEEN "
+                             f"{secret_scan.SLIDE + len(word) - 2} PRECEDING AND CURRENT ROW)" for i, word in enumerate(secret_scan.ALLOWED))}) AS listed
   FROM changed),
 high AS (
   SELECT doc_id, kind_no, kind, start, loc FROM summed
-  WHERE loc >= {secret_scan.SLIDE - 1} AND log2({secret_scan.SLIDE}e0) - CAST(total AS DOUBLE) / {secret_scan.SLIDE}e9
-        >= CASE kind_no WHEN 4 THEN {secret_scan.THRESHOLDS["entropy_hex"]}e0 ELSE {secret_scan.THRESHOLDS["entropy_base64"]}e0 END),
+  WHERE loc >= {secret_scan.SLIDE - 1} AND listed = 0 AND log2({secret_scan.SLIDE}e0) - CAST(total AS DOUBLE) / {secret_scan.SLIDE}e9
+        >= CASE kind {" ".join(f"WHEN '{kind}' THEN {bits}e0" for kind, bits in secret_scan.THRESHOLDS.items())} END),
 islands AS (
   SELECT *, sum(apart) OVER (PARTITION BY doc_id, kind_no, start ORDER BY loc) AS island
   FROM (SELECT *, CASE WHEN loc - lag(loc) OVER (PARTITION BY doc_id, kind_no, start ORDER BY loc) > {secret_scan.SLIDE} THEN 1 ELSE 0 END AS apart FROM high) h),

@@ -1,10 +1,15 @@
 """Secret scans: fixed patterns, and windows of high Shannon entropy inside candidate strings.
 
-A candidate is a run of one character class (hex digits, or the base64 alphabet) that is long enough. A window of 20
-characters slides over it; its entropy is kept up by the change that the entering and the leaving character make to
-sum(c * log2(c)), where c is how often a character stands in the window. The counts are window functions per character
-and the entropy is a running sum, in whole 10^-9 bits, so the order of additions doesn't matter. Neighbouring windows
-above the class's threshold make one span. Candidates on the allow list are left out.
+A candidate is a run of one character class (hex digits, the base64 alphabet, small letters and digits, capitals and
+digits) of 20 characters or more; it may be a candidate of several classes. A window of 20 characters slides over it; its
+entropy is kept up by the change that the entering and the leaving character make to sum(c * log2(c)), where c is how
+often a character stands in the window. The counts are window functions per character and the entropy is a running sum,
+in whole 10^-9 bits, so the order of additions doesn't matter. Neighbouring windows above the class's threshold make one
+span of the kind of that class.
+
+What is suppressed: windows that share a character with a string of the allow list (the rest of the run stays), and the
+class of hex digits for runs of digits only, whose random windows reach its threshold; such numbers are still candidates
+of the wider classes. Nothing else is left out: letters only, or one case only, count as any other run.
 
 Defined results: null or empty text has no spans. Rows that share an id are scanned each by its own text; equal rows
 stay as many as they were. Very long texts are scanned whole. An empty table gives an empty result.
@@ -12,6 +17,8 @@ stay as many as they were. Very long texts are scanned whole. An empty table giv
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,10 +33,14 @@ ACCESS = r"(AKIA[A-Z0-9]+)"
 HEX = r"([0-9a-f]{32,})"
 RUN_HEX = r"([0-9A-Fa-f]{20,})"
 RUN_BASE64 = r"([A-Za-z0-9+/_-]{20,})"
-KINDS = ("assign", "access", "hex", "entropy_hex", "entropy_base64")
-# Bits a character that a window must reach: of 4.0 possible for hex and 4.32 in 20 characters of base64.
-THRESHOLDS = {"entropy_hex": 3.0, "entropy_base64": 3.9}
-# Strings of public documentation and plain alphabets; a candidate that holds one is no secret.
+RUN_BASE36 = r"([0-9a-z]{20,})"
+RUN_BASE32 = r"([0-9A-Z]{20,})"
+CLASSES = {"entropy_hex": RUN_HEX, "entropy_base64": RUN_BASE64, "entropy_base36": RUN_BASE36, "entropy_base32": RUN_BASE32}
+KINDS = ("assign", "access", "hex", *CLASSES)
+# Bits a character that a window must reach: of 4.0 possible for hex and 4.32 in 20 characters of the others. Random keys of
+# 32 characters have such a window in about 98 of 100 cases; words of one case seldom do.
+THRESHOLDS = {"entropy_hex": 3.0, "entropy_base64": 3.9, "entropy_base36": 3.65, "entropy_base32": 3.6}
+# Strings of public documentation and plain alphabets; a window that touches one is no secret.
 ALLOWED = ("EXAMPLE", "example", "0123456789", "abcdefghijkl", "ABCDEFGHIJKL", "00000000", "ffffffff")
 
 
@@ -49,28 +60,43 @@ def _scaled(c: Column) -> Column:
     return F.when(c <= 1, F.lit(0)).otherwise(F.round(c * F.log2(c) * UNIT)).cast("long")
 
 
-def entropy_spans(runs: DataFrame, keys: list[str], slide: int = SLIDE, thresholds: dict[str, float] = THRESHOLDS) -> DataFrame:
-    """(keys, kind, start, length): joined windows above the threshold. ``runs`` has keys, kind, start and run (the string)."""
+def _without_listed(run: Column, allowed: tuple[str, ...]) -> Column:
+    """The run with a * for each character that is part of a listed string, overlapping ones included."""
+    each = "|".join(f"(?<={w[:k]}){w[k]}(?={w[k + 1:]})" for w in map(re.escape, allowed) for k in range(len(w)))
+    holds = F.lit(False)
+    for word in allowed:
+        holds = holds | run.contains(word)
+    return F.when(holds, F.regexp_replace(run, each, "*")).otherwise(run) if allowed else run
+
+
+def with_entropy_spans(rows: DataFrame, keys: list[str], slide: int = SLIDE, thresholds: dict[str, float] = THRESHOLDS) -> DataFrame:
+    """(keys, kind, copies, start, length): for a row with a run its joined windows above the threshold, others as they are.
+
+    ``rows`` has keys, kind, start, length, copies and run (the string, * for suppressed characters; null for no candidate).
+    Rows of both sorts go the same way, so what makes them is computed once.
+    """
     each = [*keys, "kind", "start"]
-    chars = runs.select(*each, F.posexplode(F.split("run", "")).alias("at", "ch")).where("ch <> ''")
+    chars = rows.select(*each, "length", "copies", F.col("run").isNull().alias("fixed"),
+                        F.posexplode(F.when(F.col("run").isNull(), F.array(F.lit("*"))).otherwise(F.split("run", ""))).alias("at", "ch")).where("ch <> ''")
     per_char = Window.partitionBy(*each, "ch").orderBy("at")
     entering = F.count("*").over(per_char.rangeBetween(-(slide - 1), 0))
     leaving = F.count("*").over(per_char.rangeBetween(0, slide - 1))
-    changed = chars.select(*each, "at", entering.alias("c_in"), leaving.alias("c_out"))
-    changed = changed.select(*each, "at", (_scaled(F.col("c_in")) - _scaled(F.col("c_in") - 1)).alias("gain"),
-                             (_scaled(F.col("c_out")) - _scaled(F.col("c_out") - 1)).alias("loss"))
+    changed = chars.withColumns({"c_in": entering, "c_out": leaving})
+    changed = changed.withColumns({"gain": _scaled(F.col("c_in")) - _scaled(F.col("c_in") - 1), "loss": _scaled(F.col("c_out")) - _scaled(F.col("c_out") - 1)})
     along = Window.partitionBy(*each).orderBy("at")
     total = F.sum("gain").over(along.rowsBetween(Window.unboundedPreceding, 0)) - F.coalesce(
         F.sum("loss").over(along.rowsBetween(Window.unboundedPreceding, -slide)), F.lit(0))
     entropy = F.log2(F.lit(float(slide))) - total / (F.lit(float(slide)) * UNIT)
+    listed = F.sum((F.col("ch") == "*").cast("int")).over(along.rowsBetween(-(slide - 1), 0))
     limit = F.element_at(F.create_map(*(F.lit(x) for pair in thresholds.items() for x in pair)), F.col("kind"))
-    high = changed.withColumn("entropy", entropy).where((F.col("at") >= slide - 1) & (F.col("entropy") >= limit))
+    high = changed.withColumns({"entropy": entropy, "listed": listed}).where(
+        F.col("fixed") | (F.col("at") >= slide - 1) & (F.col("listed") == 0) & (F.col("entropy") >= limit))
     # The end of a window is ``at``; windows that touch make one span.
     apart = (F.col("at") - F.lag("at").over(along) > slide).cast("int")
     grouped = high.withColumn("apart", F.coalesce(apart, F.lit(0))).withColumn("island", F.sum("apart").over(along))
-    spans = grouped.groupBy(*each, "island").agg(F.min("at").alias("lo"), F.max("at").alias("hi"))
-    return spans.select(*keys, "kind", (F.col("start") + F.col("lo") - (slide - 1)).alias("start"),
-                        (F.col("hi") - F.col("lo") + slide).alias("length"))
+    spans = grouped.groupBy(*each, "island").agg(F.min("at").alias("lo"), F.max("at").alias("hi"), *(F.first(c).alias(c) for c in ("length", "copies", "fixed")))
+    return spans.select(*keys, "kind", "copies", (F.col("start") + F.when(F.col("fixed"), 0).otherwise(F.col("lo") - (slide - 1))).alias("start"),
+                        F.when(F.col("fixed"), F.col("length")).otherwise(F.col("hi") - F.col("lo") + slide).alias("length"))
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slide: int = SLIDE,
@@ -85,25 +111,18 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         _matches("assign", text, ASSIGN, 2, 8, text.rlike(ASSIGN)),
         _matches("access", text, ACCESS, 1, 16, text.contains("AKIA")),
         _matches("hex", text, HEX, 1, 32, text.rlike(HEX)),
-        _matches("entropy_hex", text, RUN_HEX, 1, slide, text.rlike(RUN_HEX)),
-        _matches("entropy_base64", text, RUN_BASE64, 1, slide, text.rlike(RUN_BASE64)))))
+        *(_matches(kind, text, pattern, 1, slide, text.rlike(RUN_BASE64) & text.rlike(pattern)) for kind, pattern in CLASSES.items()))))
     rows = own.select("id", "mark", F.inline(found)).repartition("id", "mark")
     # Equal rows give equal matches: they are counted and handled once.
     once = rows.groupBy("id", "mark", "kind", "nth").agg(F.count("*").alias("copies"), *(F.first(c).alias(c) for c in ("gap", "length", "kept", "run")))
     order = Window.partitionBy("id", "mark", "kind").orderBy("nth")
     placed = once.withColumn("end", F.sum(F.col("gap") + F.col("length")).over(order)).withColumn("start", F.col("end") - F.col("length"))
-    listed = F.lit(False)
-    for word in allowed:
-        listed = listed | F.col("run").contains(word)
     is_run = F.col("kind").startswith("entropy")
-    mixed = (F.col("kind") == "entropy_hex") & F.col("run").rlike("[0-9]") & F.col("run").rlike("[A-Fa-f]") | (
-        F.col("kind") == "entropy_base64") & F.col("run").rlike("[0-9]") & F.col("run").rlike("[A-Z]") & F.col("run").rlike("[a-z]")
-    runs = placed.where(is_run & mixed & ~listed).select("id", "mark", "kind", "start", "run")
-    high = entropy_spans(runs, ["id", "mark"], slide, thresholds)
-    fixed = placed.where(~is_run).select("id", "mark", "kind", "copies", F.when(F.col("kept"), F.col("start")).alias("start"), "length")
-    every = fixed.unionByName(high.withColumn("copies", F.lit(0).cast("long")))
+    number_only = (F.col("kind") == "entropy_hex") & ~F.col("run").rlike("[A-Fa-f]")
+    wanted = placed.where(F.when(is_run, ~number_only).otherwise(F.col("kept") | (F.col("kind") == "")))
+    every = with_entropy_spans(wanted.withColumn("run", _without_listed(F.col("run"), allowed)), ["id", "mark"], slide, thresholds)
     number = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind"))
     span = F.struct(F.col("start").cast("long").alias("start"), number.alias("kind_no"), "kind", (F.col("start") + F.col("length")).cast("long").alias("end"))
     per_doc = every.groupBy("id", "mark").agg(F.max(F.when(F.col("kind") == "", F.col("copies"))).alias("copies"),
-                                              F.array_sort(F.collect_list(F.when((F.col("kind") != "") & F.col("start").isNotNull(), span))).alias("spans"))
+                                              F.array_sort(F.collect_list(F.when(F.col("kind") != "", span))).alias("spans"))
     return repeated(per_doc, "copies").select(F.col("id").alias(id_col), "spans")

@@ -530,7 +530,10 @@ def base_spans(text):
 
 
 def entropy_windows(run, bits, slide=20):
-    ends = [i for i in range(slide - 1, len(run)) if -sum(c / slide * math.log2(c / slide) for c in Counter(run[i - slide + 1:i + 1]).values()) >= bits - 1e-9]
+    """Joined windows of enough entropy that share no character with a listed string."""
+    places = [(i, i + len(w)) for w in secret_scan.ALLOWED for i in range(len(run)) if run.startswith(w, i)]
+    ends = [i for i in range(slide - 1, len(run)) if -sum(c / slide * math.log2(c / slide) for c in Counter(run[i - slide + 1:i + 1]).values()) >= bits - 1e-9
+            and not any(lo <= i and hi > i - slide + 1 for lo, hi in places)]
     spans = []
     for e in ends:
         if spans and e - spans[-1][1] <= slide:
@@ -540,14 +543,17 @@ def entropy_windows(run, bits, slide=20):
     return [(a - slide + 1, b + 1) for a, b in spans]
 
 
+# The rule of each class: its characters and the bits that a window must reach.
+ENTROPY_RULES = [("entropy_hex", "[0-9A-Fa-f]", 3.0), ("entropy_base64", "[A-Za-z0-9+/_-]", 3.9), ("entropy_base36", "[0-9a-z]", 3.65),
+                 ("entropy_base32", "[0-9A-Z]", 3.6)]
+
+
 def all_spans(text):
     found = base_spans(text)
-    for k, kind, pattern in ((4, "entropy_hex", secret_scan.RUN_HEX), (5, "entropy_base64", secret_scan.RUN_BASE64)):
-        for m in re.finditer(pattern, text):
-            run = m[0]
-            needs = ["[0-9]", "[A-Fa-f]"] if k == 4 else ["[0-9]", "[A-Z]", "[a-z]"]
-            if all(re.search(n, run) for n in needs) and not any(a in run for a in secret_scan.ALLOWED):
-                found += [(m.start() + a, k, kind, m.start() + b) for a, b in entropy_windows(run, secret_scan.THRESHOLDS[kind])]
+    for k, (kind, chars, bits) in enumerate(ENTROPY_RULES):
+        for m in re.finditer(chars + "{20,}", text):
+            if kind != "entropy_hex" or not m[0].isdigit():
+                found += [(m.start() + a, 4 + k, kind, m.start() + b) for a, b in entropy_windows(m[0], bits)]
     return sorted(found)
 
 
@@ -564,6 +570,25 @@ def test_secret_scan(spark, docs):
     assert secret_scan.scan_secrets(docs.limit(0)).count() == 0
 
 
+def test_secret_scan_finds_keys_of_every_alphabet(spark):
+    rng = random.Random(16)
+    alphabets = {"entropy_hex": "0123456789abcdef", "entropy_base64": UPPER + LOWER + "0123456789+/", "entropy_base36": LOWER + "0123456789",
+                 "entropy_base32": UPPER + "234567"}
+    planted = [(i, kind, "".join(rng.choices(chars, k=40))) for i, (kind, chars) in enumerate(list(alphabets.items()) * 30)]
+    rows = [(i, f"the key é is {key}, keep it") for i, _, key in planted]
+    # A listed string takes the windows that touch it, and no others; words and numbers have no span.
+    far = "".join(rng.choices(UPPER + LOWER, k=40))
+    rows += [(900, far + "/" * 20 + "EXAMPLE" + "/" * 20 + far), (901, "internationalization_of_words " + "0123456789" * 4 + " 31415926535897932384626433832795"),
+             (902, "EXAMPLEXAMPLE" + "0" * 12), (903, f"a{far[:9]}EXAMPLE{far[10:19]}")]
+    scanned = {r.doc_id: r.spans for r in secret_scan.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for kind in alphabets:
+        hit = [any(s.kind == kind for s in scanned[i]) for i, k, _ in planted if k == kind]
+        assert sum(hit) >= 0.9 * len(hit), kind  # a random key may repeat too many characters
+    assert [(s.start, s.end) for s in scanned[900] if s.kind == "entropy_base64"] == [
+        (a, b) for a, b in entropy_windows(rows[-4][1], 3.9)] and len(scanned[900]) == 2
+    assert [s.kind for s in scanned[901]] == ["hex", "hex"] and scanned[902] == scanned[903] == []
+
+
 def test_secret_query(spark):
     got = {r.doc_id: r for r in queries.QUERIES["op10_secret_scan"](spark, FOLDER).collect()}
     for doc, text in pairs_of(spark.read.parquet(f"{FOLDER}/documents.parquet")):
