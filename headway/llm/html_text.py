@@ -1,10 +1,15 @@
 """HTML extraction by composite text density.
 
-A page becomes a tree. Elements that are never content (menus, forms, scripts and the like, by tag, role or name) are
-taken out. Every node left has its characters, tags, linked characters and linked tags; its density is characters per
+A page becomes a tree. Elements that are never content (menus, forms, scripts and the like, by tag, or hidden ones) are
+taken out. A name of boilerplate (class, id or role) takes an element out as well, unless that would take the text with
+it: on a page without an article element outside of such names, a named element stays if it holds the subtree of the
+largest density sum and at least half of the characters; one that is named after comments, adverts or related pages also
+has to hold a main or h1 element. Headings and article elements go by the latter names only. Every node left has its characters, tags, linked characters and linked tags; its density is characters per
 tag, adjusted for links and for the share of links in the whole body. The densities of a node's children are summed; the
 lowest density on the path from the node of the largest sum to the body is the threshold, and under each node that
-reaches it the subtree of the largest sum is the main text, rounded to the article elements it lies in or holds.
+reaches it the subtree of the largest sum is the main text, rounded to the article elements it lies in or holds. Without
+such elements the headings, paragraphs, lists and tables beside it join it if they reach the part of the threshold that
+their length asks for.
 
 Defined results: null, empty and tagless input give the text itself without markup (empty if there is none). Unclosed
 and misnested elements are closed where HTML closes them; a tag cut off at the end of the page is dropped. Equal rows
@@ -27,8 +32,8 @@ from .shared import small_batches
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)([^>"']*+(?:(?:"[^"]{0,512}"|'[^']{0,512}')[^>"']*+){0,16}+)>|"""
                    r"""<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?/a-zA-Z][^>]*\Z""", re.S)
 END_OR_QUOTE = re.compile(r"""[>"']""")
-NAME = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-HIDDEN = re.compile(r"(?:^|\s)(?:hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|style\s*=\s*[\"'][^\"']*display\s*:\s*none)", re.I)
+ATTRIBUTE = re.compile(r"""([^\s"'=/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+NOT_SHOWN = re.compile(r"display\s*:\s*none", re.I)
 
 # Elements by their part in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -38,6 +43,7 @@ DROPPED = frozenset("nav header footer aside form script style noscript iframe t
                     "canvas object embed audio video head title".split())
 BLOCKS = frozenset("address article aside blockquote body br center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
                    "header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
+PROSE = frozenset("h1 h2 h3 h4 h5 h6 p ul ol dl dt dd blockquote pre table figure".split())
 CLOSES_P = BLOCKS - {"br", "body", "html", "td", "th", "tr", "tbody", "thead", "tfoot"}
 HIDES_P = frozenset("table td th button".split())
 # An element of the first kind ends open elements of the second, up to the third.
@@ -48,19 +54,40 @@ BOILERPLATE = frozenset("ad ads advert adverts advertisement advertising adsense
                         "menu nav navbar navigation breadcrumb breadcrumbs pagination header masthead footer cookie cookies consent gdpr notice notices "
                         "alert popup modal overlay newsletter subscribe subscription signup login form search share sharing social related recommended "
                         "comment comments disqus respond replies reply contentinfo complementary toolbar skip".split())
-# The same for article elements, whose names often speak of the header or form they have.
+# The same for article elements and headings, whose names often speak of the header or form they have or are.
 ASIDE = frozenset("ad ads advert adverts advertisement sponsored promo related recommended comment comments reply replies".split())
+OWN_NAMES = frozenset("article main h1 h2 h3 h4 h5 h6".split())
+# What a name says of an element: nothing, part of a layout, or beside the article.
+PLAIN, LAYOUT, BESIDE = range(3)
+
+
+def judge(tag: str, attributes: str) -> tuple[bool, int]:
+    """Whether the element is hidden, and what its names say."""
+    hidden, said = False, PLAIN
+    for m in ATTRIBUTE.finditer(attributes):
+        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name in ("class", "id", "role"):
+            words = re.split(r"[^a-z]+", value.lower())
+            if not ASIDE.isdisjoint(words):
+                said = BESIDE
+            elif tag not in OWN_NAMES and not BOILERPLATE.isdisjoint(words):
+                said = max(said, LAYOUT)
+        elif name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true" or name == "style" and NOT_SHOWN.search(value):
+            hidden = True
+    return hidden, said
 
 
 class Page:
-    """The tree of a page: parent, tag and text pieces of each node, in page order."""
+    """The tree of a page: parent, tag and text pieces of each node, in page order; ``said`` is what names say of it."""
 
     def __init__(self, source: str):
-        self.parent, self.tag, self.dropped = [-1], ["#page"], [False]
+        self.parent, self.tag, self.dropped, self.said = [-1], ["#page"], [False], [PLAIN]
         self.pieces: list[tuple[int, str | None]] = []  # (node, text) or (node, None) for the border of a block
         stack = [0]
         # For each open element the place in the stack of the p that a block in it ends, or 0.
         self.open_p = [0]
+        # The places in the stack of the open elements of each tag.
+        self.places: dict[str, list[int]] = {}
         self.endless: set[int] = set()
         at, size = 0, len(source)
         while at < size:
@@ -119,38 +146,40 @@ class Page:
             self._cut(stack, self.open_p[-1])
         if name in SIBLINGS:
             self._pop(stack, *SIBLINGS[name])
-        parent, drop = stack[-1], name in DROPPED
+        parent, drop, said = stack[-1], name in DROPPED, PLAIN
         if attributes and not drop and name not in ("html", "body"):
-            names = ASIDE if name in ("article", "main") else BOILERPLATE
-            drop = bool(HIDDEN.search(attributes)) or any(
-                not names.isdisjoint(re.split(r"[^a-z]+", (m[1] or m[2] or m[3] or "").lower())) for m in NAME.finditer(attributes))
+            drop, said = judge(name, attributes)
         node = len(self.tag)
         self.parent.append(parent)
         self.tag.append(name)
         self.dropped.append(drop or self.dropped[parent])
+        self.said.append(said)
         self._border(parent, name)
         if name not in VOID and not attributes.endswith("/"):
             self.open_p.append(len(stack) if name == "p" else 0 if name in HIDES_P else self.open_p[-1])
+            self.places.setdefault(name, []).append(len(stack))
             stack.append(node)
 
     def _cut(self, stack: list[int], k: int) -> None:
         """Ends the open element at place k, and all in it."""
         self._border(self.parent[stack[k]], self.tag[stack[k]])
+        for node in reversed(stack[k:]):
+            self.places[self.tag[node]].pop()
         del stack[k:], self.open_p[k:]
 
+    def _last(self, names: set[str]) -> int:
+        """Place of the innermost open element of these tags, or 0."""
+        return max((self.places[name][-1] for name in names if self.places.get(name)), default=0)
+
     def _pop(self, stack: list[int], names: set[str], until: set[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[k]] in until:
-                return
-            if self.tag[stack[k]] in names:
-                self._cut(stack, k)
-                return
+        k = self._last(names)
+        if k > self._last(until):
+            self._cut(stack, k)
 
     def _close(self, stack: list[int], name: str) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if self.tag[stack[k]] == name:
-                self._cut(stack, k)
-                return
+        k = self._last({name})
+        if k:
+            self._cut(stack, k)
 
     def inside(self, tops: set[int]) -> list[bool]:
         flags = [False] * len(self.tag)
@@ -193,8 +222,36 @@ def densities(page: Page) -> tuple[list[float], list[float], list[int]]:
     return density, sums, chars
 
 
+def settled(page: Page) -> tuple[list[float], list[float], list[int]]:
+    """Drops what is named as boilerplate, but not what holds the text of the page; the densities of what is left."""
+    shown, n = page.dropped, len(page.tag)
+
+    def left(freed: set[int], least: int) -> tuple[list[float], list[float], list[int]]:
+        flags = list(shown)
+        for i in range(1, n):
+            flags[i] = flags[i] or flags[page.parent[i]] or (page.said[i] >= least and i not in freed)
+        page.dropped = flags
+        return densities(page)
+
+    made = left(set(), LAYOUT)
+    if not any(page.said) or any(page.tag[i] in ("article", "main") and made[2][i] for i in range(n)):
+        return made
+    chars = left(set(), BESIDE + 1)[2]
+    holds = [page.tag[i] in ("main", "h1") and chars[i] > 0 for i in range(n)]
+    for i in range(n - 1, 0, -1):
+        holds[page.parent[i]] = holds[page.parent[i]] or holds[i]
+    freed = {i for i in range(n) if page.said[i] == BESIDE and chars[i] and holds[i] and 2 * chars[i] >= chars[0]}
+    _, sums, chars = left(freed, BESIDE)
+    i = max(range(n), key=lambda i: (sums[i], chars[i], -i))
+    while i > 0:
+        if page.said[i] == LAYOUT and chars[i] and 2 * chars[i] >= chars[0]:
+            freed.add(i)
+        i = page.parent[i]
+    return left(freed, LAYOUT)
+
+
 def main_nodes(page: Page) -> set[int]:
-    density, sums, chars = densities(page)
+    density, sums, chars = settled(page)
     n = len(page.tag)
     live = [i for i in range(n) if not page.dropped[i] and chars[i]]
     if not live:
@@ -221,19 +278,23 @@ def main_nodes(page: Page) -> set[int]:
     chosen = chosen or {top}
     articles = [i for i in live if page.tag[i] in ("article", "main")]
     if not articles:
-        return chosen
-    inner = page.inside(chosen)
-    rounded = set()
-    for i in articles:
-        if inner[i] or any(_under(page, c, i) for c in chosen):
-            rounded.add(i)
-    return rounded if rounded and 2 * sum(chars[i] for i in rounded if not any(_under(page, i, j) for j in rounded if j != i)) >= chars[top] else chosen
-
-
-def _under(page: Page, node: int, top: int) -> bool:
-    while node > top:
-        node = page.parent[node]
-    return node == top
+        # The whole block of an inline subtree, and the headings, paragraphs and the like beside it that reach the threshold.
+        whole = set()
+        for i in chosen:
+            while i > 0 and page.tag[i] not in BLOCKS:
+                i = page.parent[i]
+            whole.add(i)
+        around = {page.parent[i] for i in whole if i > 0}
+        # Density grows with the length of a text, so a shorter one needs its share of the threshold only.
+        most = max(chars[i] for i in whole)
+        return whole | {i for i in live if page.parent[i] in around and page.tag[i] in PROSE and density[i] * most >= threshold * min(chars[i], most)}
+    inner, holds = page.inside(chosen), [i in chosen for i in range(n)]
+    for i in range(n - 1, 0, -1):
+        holds[page.parent[i]] = holds[page.parent[i]] or holds[i]
+    rounded = {i for i in articles if inner[i] or holds[i]}
+    within = page.inside(rounded)
+    outermost = sum(chars[i] for i in rounded if not within[page.parent[i]])
+    return rounded if rounded and 2 * outermost >= chars[top] else chosen
 
 
 def main_text(source: str | None) -> str:

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import duckdb
@@ -265,6 +266,18 @@ def test_kth_largest(spark):
      "<section class=comments><p>First!</p></section></main><aside>side</aside>", "A long enough paragraph of text.\nAnd another."),
     ("<div id=sidebar>links</div><div><p>Main text stands here, long enough to win.</p><ul><li>a<li>b</ul></div><script>var t='</p>'</script>",
      "Main text stands here, long enough to win.\na\nb"),
+    # A name takes no element that holds the text, and headings go by names of what stands beside an article only.
+    ("<body><nav>m</nav><div class='layout has-sidebar'><article><h1>T</h1><p>Some text of the article.</p></article><div class=sidebar>side</div></div>",
+     "T\nSome text of the article."),
+    ("<body><div class='layout has-sidebar'><h1>T</h1><p>Some text of the article, and more.</p><div class=sidebar>side</div></div><div class=footer>f</div>",
+     "T\nSome text of the article, and more."),
+    ("<body><div class='page comments-open'><h1>T</h1><p>Short article.</p><section class=comments><p>A comment.</p></section></div>", "T\nShort article."),
+    ("<body><h1>T</h1><p>Short article.</p><section class=comments><article><p>A comment that is much longer than the article.</p></article></section>",
+     "T\nShort article."),
+    ("<body><div class='cookie-notice'>We use cookies</div></body>", ""),
+    # Hidden is an attribute, not a word in a value.
+    ("<article><h1 class='article-header'>T</h1><p title='no hidden costs'>Para.</p><p hidden>x</p><p style='display: none'>y</p><p aria-hidden=true>z</p></article>",
+     "T\nPara."),
     ("<article><p>cut off in a tag</p><p>next &am<a hre", "cut off in a tag\nnext &am"),
 ])
 def test_main_text(source, want):
@@ -289,6 +302,20 @@ def test_html_long_values_deep_inlines_and_raw_ends():
         assert html_text.main_text("<body><p>" + "İ" * 40 + f"</p><{raw}>x < y</{raw.title()}><p>after</p></body>") == "İ" * 40 + "\nafter"
 
 
+def test_html_pages_without_article_elements(spark):
+    for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect():
+        bare = re.sub("</?article>", "", r.html)
+        assert html_text.main_text(bare) == html_text.main_text(r.html), r.page_id
+
+
+@pytest.mark.parametrize("source", ["<b>" * 100_000 + "</i>" * 100_000, "<div>" * 50_000 + "</i></b>" * 50_000, "<article>" * 50_000 + "x",
+                                    "<ul><li><ul>" + "<b>" * 50_000 + "<li></li>" * 50_000, "<article>x</article>" * 50_000])
+def test_html_takes_time_in_proportion(source):
+    start = time.process_time()
+    html_text.main_text(source)
+    assert time.process_time() - start < 10
+
+
 def test_html_pages(spark):
     rows = [(1, "u", None, 5), (2, None, "<p>" * 30000 + "deep", 5), (2, None, "<p>" * 30000 + "deep", 5), (3, "u", "<div>" * 5000 + "x", 1)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text int")
