@@ -130,8 +130,13 @@ def direct_itineraries(requests: DataFrame, stop_times: DataFrame) -> DataFrame:
         "query_id", "trip_id", "label", "board_seq", "alight_seq", "dep", "arr")
 
 
-def one_transfer_itineraries(requests: DataFrame, stop_times: DataFrame, edges: DataFrame) -> DataFrame:
-    """All itineraries of two vehicles with a change at one stop or over one walk."""
+_FIRST_RIDE = ["trip_1", "label_1", "board_seq_1", "alight_seq_1", "dep_1", "arr_1"]
+_SECOND_RIDE = ["trip_2", "label_2", "board_seq_2", "alight_seq_2", "dep_2", "arr_2"]
+
+
+def _two_rides(requests: DataFrame, stop_times: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rides from the origin with the time from which one can leave their last stop, and rides to the destination with the
+    time by which one has to leave a stop where the change begins (their own, or one within walking distance)."""
     calls = calls_by_day(stop_times)
     ask = requests.select("query_id", "start_id", "end_id", "deadline_sec", "min_transfer_secs", "max_walk_m",
                           _asked_day(requests))
@@ -143,26 +148,75 @@ def one_transfer_itineraries(requests: DataFrame, stop_times: DataFrame, edges:
     last = last.join(board_2, "trip_2").where(
         (F.col("board_seq_2") < F.col("alight_seq_2")) & (F.col("board_stop_2") != F.col("end_id"))
         & (F.col("board_stop_2") != F.col("start_id")))
-    first = ask.select("query_id", "start_id", "day_bit", "end_id", "deadline_sec").join(
+    first = ask.select("query_id", "start_id", "day_bit", "end_id", "deadline_sec", "min_transfer_secs").join(
         calls, F.col("stop_id") == F.col("start_id")).where(_runs(calls) & (F.col("dep") <= F.col("deadline_sec"))).select(
-        "query_id", "end_id", "start_id", F.col("trip_id").alias("trip_1"), F.col("label").alias("label_1"),
+        "query_id", "end_id", "start_id", "min_transfer_secs", F.col("trip_id").alias("trip_1"), F.col("label").alias("label_1"),
         F.col("seq").alias("board_seq_1"), F.col("dep").alias("dep_1"))
     alight_1 = calls.select(F.col("trip_id").alias("trip_1"), F.col("seq").alias("alight_seq_1"),
                             F.col("stop_id").alias("alight_stop_1"), F.col("arr").alias("arr_1"))
     first = first.join(alight_1, "trip_1").where(
         (F.col("board_seq_1") < F.col("alight_seq_1")) & (F.col("alight_stop_1") != F.col("start_id"))
-        & (F.col("alight_stop_1") != F.col("end_id"))).drop("start_id", "end_id")
+        & (F.col("alight_stop_1") != F.col("end_id")))
+    first = first.select("query_id", "alight_stop_1", *_FIRST_RIDE, (F.col("arr_1") + F.col("min_transfer_secs")).alias("ready"))
     # The later vehicle is reached from its own stop or from a stop within walking distance.
     here = last.withColumns({"alight_stop_1": F.col("board_stop_2"), "walk_m": F.lit(0.0), "walk_sec": F.lit(0).cast("long")})
     walks = edges.select(F.col("b_stop_id").alias("board_stop_2"), F.col("a_stop_id").alias("alight_stop_1"),
                          F.col("distance_m").alias("walk_m"), sc.walk_seconds_search(F.col("distance_m")).alias("walk_sec"))
     near = last.join(walks, "board_stop_2").where(F.col("walk_m") <= F.col("max_walk_m"))
     reach = here.unionByName(near)
-    met = first.join(reach, ["query_id", "alight_stop_1"]).where(
-        (F.col("trip_1") != F.col("trip_2"))
-        & (F.col("arr_1") + F.col("min_transfer_secs") + F.col("walk_sec") <= F.col("dep_2")))
-    return met.select("query_id", "trip_1", "label_1", "board_seq_1", "alight_seq_1", "dep_1", "arr_1", "alight_stop_1",
-                      "board_stop_2", "walk_m", "trip_2", "label_2", "board_seq_2", "alight_seq_2", "dep_2", "arr_2")
+    return first, reach.select("query_id", "alight_stop_1", "board_stop_2", "walk_m", "walk_sec", *_SECOND_RIDE,
+                               (F.col("dep_2") - F.col("walk_sec")).alias("leave"))
+
+
+def one_transfer_itineraries(requests: DataFrame, stop_times: DataFrame, edges: DataFrame, max_wait_secs: int | None = None) -> DataFrame:
+    """All itineraries of two vehicles with a change at one stop or over one walk.
+
+    ``max_wait_secs`` bounds the wait beyond walk and minimum change time. Rides then meet within time blocks of that length
+    only, so work and output grow with the departures of a wait and not with those of the day; a busy stop is split by block.
+    """
+    first, reach = _two_rides(requests, stop_times, edges)
+    keys = ["query_id", "alight_stop_1"]
+    if max_wait_secs is not None:
+        if max_wait_secs < 0:
+            raise ValueError("max_wait_secs must not be negative")
+        block = lambda c: F.floor(F.col(c) / (max_wait_secs + 1)).cast("long")
+        first = first.withColumn("block", F.explode(F.array(block("ready"), block("ready") + 1)))
+        reach, keys = reach.withColumn("block", block("leave")), [*keys, "block"]
+    met = first.join(reach, keys).where((F.col("trip_1") != F.col("trip_2")) & (F.col("ready") <= F.col("leave")))
+    if max_wait_secs is not None:
+        met = met.where(F.col("leave") - F.col("ready") <= max_wait_secs)
+    return met.select("query_id", *_FIRST_RIDE, "alight_stop_1", "board_stop_2", "walk_m", *_SECOND_RIDE)
+
+
+def latest_transfers(requests: DataFrame, stop_times: DataFrame, edges: DataFrame) -> DataFrame:
+    """For each ride to the destination the best ride from the origin that meets it: the one that departs last.
+
+    Ties go to the shorter walk, then the earlier arrival, then the greater trip id, boarding and alighting, then the
+    smaller stop of the change. No ride meets another: both are put in order of time per request and stop, and a running maximum
+    gives what is ready by then. Only where that is the later vehicle itself do the other rides of the stop have to be
+    looked at one by one. The result has at most one row per ride to the destination.
+    """
+    first, reach = _two_rides(requests, stop_times, edges)
+    keys = ["query_id", "alight_stop_1"]
+    # Greater is better.
+    worth = F.struct("dep_1", (-F.col("arr_1")).alias("early"), "trip_1", "board_seq_1", "alight_seq_1", "label_1", "arr_1")
+    ride = F.struct("board_stop_2", "walk_m", "walk_sec", *_SECOND_RIDE, "leave")
+    ready = first.select(*keys, F.col("ready").alias("at"), worth.alias("one"), F.lit(None).alias("two"))
+    asked = reach.select(*keys, F.col("leave").alias("at"), F.lit(None).alias("one"), ride.alias("two"))
+    # With the frame by range, rides that are ready at the very second of leaving count.
+    so_far = Window.partitionBy(*keys).orderBy("at").rangeBetween(Window.unboundedPreceding, 0)
+    found = ready.unionByName(asked).withColumn("one", F.max("one").over(so_far)).where("two is not null and one is not null")
+    found = found.select(*keys, "one", "two.*")
+    own = found.where(F.col("one.trip_1") == F.col("trip_2")).drop("one")
+    others = own.join(first.withColumn("one", worth), keys).where((F.col("trip_1") != F.col("trip_2")) & (F.col("ready") <= F.col("leave")))
+    others = others.groupBy(*keys, "board_stop_2", "walk_m", "walk_sec", *_SECOND_RIDE).agg(F.max("one").alias("one"))
+    every = found.where(F.col("one.trip_1") != F.col("trip_2")).drop("leave").unionByName(others)
+    rank = F.struct(F.col("one.dep_1"), (-F.col("walk_sec")).alias("walk"), F.col("one.early"), F.col("one.trip_1"), F.col("one.board_seq_1"),
+                    F.col("one.alight_seq_1"), (-F.col("alight_stop_1")).alias("stop"))
+    best = every.groupBy("query_id", *_SECOND_RIDE, "board_stop_2").agg(
+        F.max_by(F.struct("one", "alight_stop_1", "walk_m"), rank).alias("best"))
+    return best.select("query_id", *(F.col(f"best.one.{c}").alias(c) for c in _FIRST_RIDE), "best.alight_stop_1", "board_stop_2", "best.walk_m",
+                       *_SECOND_RIDE)
 
 
 # ---- latest departures, by schedule only -------------------------------------------------------------------------

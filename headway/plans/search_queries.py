@@ -92,7 +92,7 @@ def direct_itineraries(t):
     return search.direct_itineraries(requests(t, "own"), shared.prepared(t).stop_times)
 
 
-@query("one_transfer_itineraries", """
+_ONE_TRANSFER = """
 SELECT r.query_id, a.trip_id AS trip_1, b.trip_id AS trip_2, a.label AS label_1, b.label AS label_2, a0.seq AS board_seq_1,
        a.seq AS alight_seq_1, a0.dep AS dep_1, a.arr AS arr_1, a.stop_id AS alight_stop_1, b.stop_id AS board_stop_2,
        round(w.walk_m, 3) + 0e0 AS walk_m, b.seq AS board_seq_2, z.seq AS alight_seq_2, b.dep AS dep_2, z.arr AS arr_2
@@ -103,13 +103,35 @@ JOIN (SELECT a_stop_id, b_stop_id, distance_m AS walk_m, walk_sec FROM ox_walks
       UNION ALL SELECT DISTINCT stop_id, stop_id, 0e0, 0 FROM ox_calls_by_day) w ON w.b_stop_id = b.stop_id AND w.walk_m <= r.max_walk_m
 JOIN ox_calls_by_day a ON a.stop_id = w.a_stop_id AND a.stop_id <> r.start_id AND a.stop_id <> r.end_id AND a.trip_id <> b.trip_id
   AND (a.day_mask & r.bit) <> 0 AND a.arr + r.min_transfer_secs + w.walk_sec <= b.dep
-JOIN ox_calls_by_day a0 ON a0.trip_id = a.trip_id AND a0.seq < a.seq AND a0.stop_id = r.start_id""")
+JOIN ox_calls_by_day a0 ON a0.trip_id = a.trip_id AND a0.seq < a.seq AND a0.stop_id = r.start_id"""
+
+
+@query("one_transfer_itineraries", _ONE_TRANSFER)
 def one_transfer_itineraries(t):
+    return _transfers(t, search.one_transfer_itineraries)
+
+
+def _transfers(t, made, **options):
     p = shared.prepared(t)
-    out = search.one_transfer_itineraries(requests(t, "own"), p.stop_times, p.walking_edges)
+    out = made(requests(t, "own"), p.stop_times, p.walking_edges, **options)
     return out.select(*[c for c in out.columns if c != "walk_m"], *rounded(["walk_m"], 3))
 
 
+MAX_WAIT_SECS = 900
+
+
+@query("one_transfer_within_wait", f"{_ONE_TRANSFER} AND b.dep - w.walk_sec - a.arr - r.min_transfer_secs <= {MAX_WAIT_SECS}")
+def one_transfer_within_wait(t):
+    return _transfers(t, search.one_transfer_itineraries, max_wait_secs=MAX_WAIT_SECS)
+
+
+@query("latest_transfers", f"""{_ONE_TRANSFER}
+QUALIFY row_number() OVER (PARTITION BY r.query_id, b.trip_id, b.seq, z.seq
+  ORDER BY a0.dep DESC, w.walk_sec, a.arr, a.trip_id DESC, a0.seq DESC, a.seq DESC, a.stop_id) = 1""")
+def latest_transfers(t):
+    return _transfers(t, search.latest_transfers)
+
+
 def _round_sql(k: int) -> None:
     prev = f"ox_latest_{k - 1}"
     best = f"SELECT query_id, stop_id, max(t) AS t FROM {prev} GROUP BY ALL"

@@ -11,7 +11,7 @@ FOLDER = "/root/testdata/sf0.001"
 NAMES = ("stops_in_regions", "connections", "delay_quantile_tables", "connection_success", "label_dominance", "latest_departure_rounds",
          "ranked_routes", "confidence_breakdown", "replayed_success", "pit_values", "external_journeys_to_legs",
          "monotonicity_check", "robust_vs_deterministic", "feasibility_audit", "feasibility_at_stops", "ranked_alternatives", "service_days",
-         "itineraries_on_date")
+         "itineraries_on_date", "one_transfer_itineraries", "one_transfer_within_wait", "latest_transfers")
 
 
 @pytest.fixture(scope="module")

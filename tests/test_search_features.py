@@ -191,3 +191,52 @@ def test_audit_at_watched_stops_counts_every_ride(spark):
                           else "not better" if r.dep_time_sec < best.get((a, r.dep_stop_id), -1) else "accepted")
                 want[a, stop, reason] += 1
     assert got == dict(want) and {"accepted", "too late"} <= {k[2] for k in got}
+
+
+def test_changes_with_a_wait_bound_and_latest_changes(spark):
+    rng, columns = random.Random(21), ["query_id", "trip_1", "board_seq_1", "alight_seq_1", "board_stop_2", "trip_2", "board_seq_2", "alight_seq_2", "alight_stop_1"]
+    trips = []
+    for k in range(60):  # trips may call at a stop twice, with waits long enough to change from a trip to itself
+        t, calls = rng.randint(0, 1500), []
+        for stop in rng.choices(range(1, 7), k=rng.randint(2, 6)):
+            calls.append((stop, t, t + rng.choice([20, 60, 200])))
+            t = calls[-1][2] + rng.choice([100, 200, 300])
+        trips.append((f"t{k:02}", f"L{k % 5}", calls))
+    trips.append(("loop", "L0", [(1, 0, 10), (3, 100, 110), (1, 200, 210), (3, 300, 310), (3, 900, 910), (2, 1000, 1010)]))
+    walks = [(3, 4, 100.0, 120), (4, 3, 100.0, 120), (5, 6, 400.0, 480), (6, 5, 400.0, 480)]
+    edges = spark.createDataFrame(walks, NO_WALKS)
+    pairs = [(1, 1, 2, "monday", 0.5), (2, 3, 6, "monday", 0.5), (3, 5, 1, "monday", 0.5), (4, 9, 2, "monday", 0.5)]
+    ask, table = asked(spark, pairs), network(spark, trips)
+    limit, change = 70 * 60, 120
+    near = [(a, b, d, int(d / (50 / 60))) for a, b, d, _ in walks] + [(s, s, 0.0, 0) for s in range(1, 10)]
+    every = {}
+    for query, start, end, *_ in pairs:
+        rides = [(name, i, j, calls) for name, _, calls in trips for i in range(len(calls)) for j in range(i + 1, len(calls))]
+        for n1, i1, j1, c1 in rides:
+            if c1[i1][0] != start or c1[i1][2] > limit or c1[j1][0] in (start, end):
+                continue
+            for n2, i2, j2, c2 in rides:
+                if n1 == n2 or c2[j2][0] != end or c2[j2][1] > limit or c2[i2][0] in (start, end):
+                    continue
+                for a, b, _, secs in near:
+                    wait = c2[i2][2] - secs - change - c1[j1][1]
+                    if a == c1[j1][0] and b == c2[i2][0] and wait >= 0:
+                        row = (query, n1, i1 + 1, j1 + 1, b, n2, i2 + 1, j2 + 1, a)
+                        every[row] = (wait, (-c1[i1][2], secs, c1[j1][1], [-ord(x) for x in n1], -i1, -j1, a))
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.select(*columns).collect())
+
+    assert len(every) > 100 and rows(search.one_transfer_itineraries(ask, table, edges)) == sorted(every)
+    for bound in (0, 59, 300, 100_000):
+        got = rows(search.one_transfer_itineraries(ask, table, edges, max_wait_secs=bound))
+        assert got == sorted(row for row, (wait, _) in every.items() if wait <= bound)
+    best = {}
+    for row, (_, rank) in every.items():
+        key = (row[0], *row[5:8])
+        if key not in best or rank < best[key][0]:
+            best[key] = (rank, row)
+    assert rows(search.latest_transfers(ask, table, edges)) == sorted(row for _, row in best.values())
+    assert search.latest_transfers(ask.limit(0), table, edges).count() == 0 and search.latest_transfers(ask, table.limit(0), edges).count() == 0
+    with pytest.raises(ValueError, match="negative"):
+        search.one_transfer_itineraries(ask, table, edges, max_wait_secs=-1)
