@@ -1,6 +1,7 @@
 import random
 import struct
 
+import pytest
 from pyspark.sql import functions as F
 
 from headway.config import NetworkConfig
@@ -9,6 +10,7 @@ from headway.operators import distributions as ds
 from headway.operators import places, search, timetable
 from headway.operators.skyline import undominated
 from headway.sources import artifacts, geometry
+from headway.validate import quality
 
 DAYS = ", ".join(f"{d} boolean" for d in fv.DAYS)
 CALLS = f"trip_id string, route_id string, line_text string, route_label string, stop_id bigint, stop_sequence int, arrival_time_sec int, departure_time_sec int, {DAYS}"
@@ -174,3 +176,20 @@ def test_confidence_falls_back_to_the_normal_model(spark):
     features = spark.createDataFrame([(7, 8, 1.0, 1.0)], "bpuic bigint, hour_of_day int, hist_avg_delay_mins double, hist_std_delay_mins double")
     p = {r["query_id"]: r["p"] for r in lg.confidence_breakdown(parts, requests, levels, features).collect()}
     assert abs(p[1] - 0.8413447) < 1e-4 and p[2] == 1.0
+
+
+def test_exact_percentile(spark):
+    rng = random.Random(8)
+    values = [rng.lognormvariate(0, 3) for _ in range(500)] + [0.0] * 7 + [-1.7e308, 1.7e308, 5e-324, 1.0, 1.0]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double").repartition(4)
+    ordered = sorted(values)
+    for share in (0.0, 0.05, 0.5, 0.77, 1.0):
+        at = share * (len(ordered) - 1)
+        k, part = int(at), at - int(at)
+        want = ordered[k] if not part else (1 - part) * ordered[k] + part * ordered[k + 1]
+        assert quality.exact_percentile(df, "v", share, bins=16) == want
+    assert quality.exact_percentile(df.where("v is null"), "v", 0.5) is None
+    million = spark.range(1_000_000).select(((F.col("id") * 7919) % 1_000_003 / 3.0).alias("v"))
+    assert quality.exact_percentile(million, "v", 0.5) == million.agg(F.percentile("v", F.lit(0.5))).first()[0]
+    with pytest.raises(ValueError, match="finite"):
+        quality.exact_percentile(spark.sql("SELECT double('NaN') AS v"), "v", 0.5)
