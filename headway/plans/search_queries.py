@@ -181,7 +181,8 @@ def robust_labels(t):
     arrivals = cut_lineage(search.scored_arrivals(p.stop_times, p.delay_levels, ask))
     first = search.destination_labels(ask)
     walked = search.walk_back(first, p.walking_edges)
-    labels = undominated(first.unionByName(walked.where("stop_id <> start_id")), class_column="next_label")
+    # Used twice: the first domination runs once.
+    labels = cut_lineage(undominated(first.unionByName(walked.where("stop_id <> start_id")), class_column="next_label"))
     boarded = search.ride_back(labels, arrivals, search.calls_by_day(p.stop_times))
     vehicle = undominated(boarded.where("stop_id <> start_id"), class_column="next_label")
     return vehicle.unionByName(labels).select("query_id", "stop_id", "t", "conf", "boardings", "walk_m", "next_label", "trail")
