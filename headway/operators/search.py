@@ -222,15 +222,37 @@ def latest_transfers(requests: DataFrame, stop_times: DataFrame, edges: DataFram
 # ---- latest departures, by schedule only -------------------------------------------------------------------------
 
 
+def ride_profile(calls: DataFrame, horizon: Column) -> DataFrame:
+    """For any time at a stop the latest departure at every stop from which one ride arrives there by then.
+
+    Per pair of stops and set of service days, only rides that no later departure with an earlier or equal arrival beats
+    are kept. In order of arrival each of them is then the best from its own arrival (``arr``) until the next one's
+    (``until``, null for the last), and stands once in every hour ``block`` of that time up to ``horizon`` (seconds). A time at a
+    stop so meets one block and, of each pair, one ride, however many run in a day. Rides that arrive after ``horizon``
+    or before they depart are left out.
+
+    The table grows with the pairs of calls of a trip. Rides with equal arrival are combined before the shuffle.
+    """
+    alight = calls.where(F.col("arr") <= horizon).select("trip_id", "seq", "stop_id", "arr", "day_mask")
+    rides = alight.join(_boardings(calls), "trip_id").where((F.col("b_seq") < F.col("seq")) & (F.col("b_dep") <= F.col("arr")))
+    pair = ["stop_id", "b_stop", "day_mask"]
+    rides = rides.groupBy(*pair, "arr").agg(F.max("b_dep").alias("b_dep"))
+    in_order = Window.partitionBy(*pair).orderBy("arr")
+    beaten_by = F.max("b_dep").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    rides = rides.withColumn("_before", beaten_by).where(F.col("_before").isNull() | (F.col("b_dep") > F.col("_before")))
+    rides = rides.drop("_before").withColumn("until", F.lead("arr").over(in_order))
+    last = F.least(F.coalesce(F.col("until") - 1, horizon), horizon)
+    return rides.withColumn("block", F.explode(F.sequence(_block(F.col("arr")), _block(last))))
+
 def latest_departures(requests: DataFrame, stop_times: DataFrame, edges: DataFrame, max_boardings: int | None = None) -> DataFrame:
     """Latest time to be at each stop per request and number of boardings used.
 
-    One round per boarding, until no label improves (or ``max_boardings`` are used, if given). Only labels that improved are followed, and only over arrivals that the previous label of
-    the same stop did not already reach, so nothing is expanded twice.
+    One round per boarding, until no label improves (or ``max_boardings`` are used, if given). Only labels that improved are
+    followed. Each looks up the best ride from every other stop (:func:`ride_profile`), and takes it unless the previous
+    label of the same stop did, so nothing is expanded twice; the maximum per stop is taken before anything is shuffled.
     """
-    calls = calls_by_day(stop_times).withColumn("block", _block(F.col("arr")))
-    arrivals = calls.select("trip_id", "seq", "stop_id", "arr", "day_mask", "block")
-    boards = calls.select("trip_id", F.col("seq").alias("b_seq"), F.col("stop_id").alias("b_stop"), F.col("dep").alias("b_dep"))
+    deadline = requests.agg(F.max("deadline_sec").cast("long")).scalar()
+    profile = cut_lineage(ride_profile(calls_by_day(stop_times), deadline))
     ask = requests.select("query_id", "end_id", "min_transfer_secs", "max_walk_m", _asked_day(requests))
     walks = edges.select(F.col("b_stop_id").alias("stop_id"), F.col("a_stop_id"), F.col("distance_m"),
                          sc.walk_seconds_search(F.col("distance_m")).alias("walk_sec"))
@@ -256,14 +278,11 @@ def latest_departures(requests: DataFrame, stop_times: DataFrame, edges: DataFra
         open_labels = better.join(ask, "query_id").withColumns(
             {"latest": F.col("t") - change, "after": F.coalesce(F.col("t_before") - change, F.lit(-1).cast("long"))})
         open_labels = open_labels.where((F.col("latest") >= 0) & (F.col("latest") > F.col("after"))).withColumn(
-            "block", F.explode(F.sequence(_block(F.greatest("after", F.lit(0))), _block(F.col("latest")))))
-        alight = open_labels.join(arrivals, ["stop_id", "block"]).where(
-            _runs(arrivals) & (F.col("arr") <= F.col("latest")) & (F.col("arr") > F.col("after")))
-        # The last call of a trip that is still in time allows every boarding before it.
-        alight = alight.groupBy("query_id", "end_id", "trip_id").agg(F.max("seq").alias("seq"))
-        vehicle = alight.join(boards, "trip_id").where(
-            (F.col("b_seq") < F.col("seq")) & (F.col("b_stop") != F.col("end_id"))
-        ).groupBy("query_id", F.col("b_stop").alias("stop_id")).agg(F.max("b_dep").alias("t"))
+            "block", _block(F.col("latest")))
+        rides = open_labels.join(profile, ["stop_id", "block"]).where(
+            _runs(profile) & (F.col("arr") <= F.col("latest")) & (F.col("until").isNull() | (F.col("until") > F.col("latest")))
+            & (F.col("arr") > F.col("after")) & (F.col("b_stop") != F.col("end_id")))
+        vehicle = rides.groupBy("query_id", F.col("b_stop").alias("stop_id")).agg(F.max("b_dep").alias("t"))
     return result
 
 
