@@ -48,14 +48,22 @@ def undominated(labels: DataFrame, keys: Sequence[str] = ("query_id", "stop_id")
 
     meetings = F.when(F.col("_top") == 0, same).otherwise(
         F.concat(same, F.transform(F.sequence(F.lit(0), digits - 1), at)))
-    rows = rows.select("*", F.explode(meetings).alias("_m")).select("*", "_m.*").drop("_m")
+    # What only the result needs rides on one of a label's copies, and on none of an older label.
+    payload = [c for c in columns if c not in keys]
+    needed = [*keys, "_pos", "_new", "conf", "boardings"]
+    rows = rows.withColumn("_payload", F.when(F.col("_new"), F.struct(*payload)))
     if class_column:
         own = F.struct(F.coalesce(F.col(class_column), F.lit("")).alias("group"), F.lit(True).alias("asks"))
         shared = F.struct(F.lit("").alias("group"), F.lit(False).alias("asks"))
         groups = F.when(F.col(class_column).isNull(), F.array(own)).otherwise(F.array(own, shared))
-        rows = rows.select("*", F.explode(groups).alias("_g")).select("*", "_g.*").drop("_g")
     else:
-        rows = rows.withColumns({"group": F.lit(""), "asks": F.lit(True)})
+        groups = F.array(F.struct(F.lit("").alias("group"), F.lit(True).alias("asks")))
+    rows = rows.select(*needed, "_payload", F.explode(meetings).alias("_m"), groups.alias("_gs"))
+    rows = rows.select(*needed, "_payload", "_m.*", F.explode("_gs").alias("_g")).select(
+        *needed, "_payload", "digit", "node", "wins", "loses", "_g.*")
+    # A copy that neither asks nor can win is of no use to anyone.
+    rows = rows.where(F.col("asks") | F.col("wins")).withColumn(
+        "_payload", F.when((F.col("digit") == -1) & F.col("asks"), F.col("_payload")))
     before = Window.partitionBy(*keys, "group", "digit", "node").orderBy("_pos").rowsBetween(
         Window.unboundedPreceding, -1)
     if max_boardings is None:
@@ -65,7 +73,6 @@ def undominated(labels: DataFrame, keys: Sequence[str] = ("query_id", "stop_id")
                      for b in range(max_boardings + 1)]
         best = F.get(F.array(*per_count), F.col("boardings"))
     beaten = F.col("asks") & F.col("loses") & F.coalesce(best >= F.col("conf"), F.lit(False))
-    payload = [c for c in columns if c not in keys]
     kept = rows.withColumn("_beaten", beaten).where(F.col("_new") & F.col("asks")).groupBy(*keys, "_pos").agg(
-        F.max("_beaten").alias("_beaten"), F.first(F.struct(*payload)).alias("_row"))
+        F.max("_beaten").alias("_beaten"), F.first("_payload", ignorenulls=True).alias("_row"))
     return kept.where(~F.col("_beaten")).select(*keys, "_row.*").select(*columns)
