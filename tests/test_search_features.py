@@ -240,3 +240,32 @@ def test_changes_with_a_wait_bound_and_latest_changes(spark):
     assert search.latest_transfers(ask.limit(0), table, edges).count() == 0 and search.latest_transfers(ask, table.limit(0), edges).count() == 0
     with pytest.raises(ValueError, match="negative"):
         search.one_transfer_itineraries(ask, table, edges, max_wait_secs=-1)
+
+
+def test_ride_profile_gives_the_latest_departure_by_any_time(spark):
+    rng = random.Random(11)
+    trips = []
+    for k in range(60):
+        stops, t = rng.sample(range(6), rng.randint(2, 5)), rng.randint(0, 4) * 1800
+        if k % 7 == 0:
+            stops.append(stops[0])
+        calls = []
+        for stop in stops:
+            arr = t = t + rng.choice([0, 300, 900, 4000])
+            dep = t = t + rng.choice([0, 60, 600])
+            calls.append((stop, arr, dep))
+        trips += [(f"t{k}", "L", calls)] * (2 if k % 20 == 0 else 1)
+    horizon = 14_000
+    made = search.ride_profile(search.calls_by_day(network(spark, trips)), F.lit(horizon).cast("long")).collect()
+    assert len({(r.stop_id, r.b_stop, r.arr, r.block) for r in made}) == len(made)
+    for now in range(0, horizon + 1, 350):
+        want = {}
+        for _, _, calls in trips:
+            for j, (stop, arr, _) in enumerate(calls):
+                for start, _, dep in calls[:j]:
+                    if arr <= now:
+                        want[stop, start] = max(want.get((stop, start), -1), dep)
+        got = [((r.stop_id, r.b_stop), r.b_dep) for r in made
+               if r.block == now // 3600 and r.arr <= now and (r.until is None or r.until > now)]
+        assert len(got) == len(dict(got)) and dict(got) == want
+    assert search.ride_profile(search.calls_by_day(network(spark, trips)).limit(0), F.lit(horizon).cast("long")).count() == 0
