@@ -231,6 +231,18 @@ def test_cascade_order_is_free(docs):
 # ---- 4 ------------------------------------------------------------------------------------------------------------
 
 
+def test_cascade_puts_cheap_rules_first_and_the_sample_covers_all_rows(spark):
+    rows = [(k, f"{'plain words of a text ' * 200}{k}") for k in range(400)]
+    made = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    figured = quality_rules.base_figures(made).cache()
+    slow = "length(regexp_replace(text, '([aeiou]|[bcd]|[xyz])+', '')) > 0"
+    order = quality_rules.cascade_order(figured, {"slow": slow, "rare": "id < 4", "fast": "n_words > 0"})
+    assert [name for name, _, _ in order][0] == "fast" and {name: share for name, _, share in order} == {"slow": 1.0, "rare": 0.01, "fast": 1.0}
+    assert dict((name, cost) for name, cost, _ in order)["slow"] > 0
+    for sample_rows in (1, 40, 10_000):
+        assert quality_rules.judge_quality(made, sample_rows=sample_rows).where("kept or base_failed").count() == 400
+
+
 def test_classifier_on_held_out_labels(spark):
     rng = random.Random(1)
     good = ["the cat sat on the mat and looked at the bird", "a quiet day by the river with a good book", "we walked home after the long concert"]
