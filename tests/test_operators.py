@@ -193,3 +193,31 @@ def test_exact_percentile(spark):
     assert quality.exact_percentile(million, "v", 0.5) == million.agg(F.percentile("v", F.lit(0.5))).first()[0]
     with pytest.raises(ValueError, match="finite"):
         quality.exact_percentile(spark.sql("SELECT double('NaN') AS v"), "v", 0.5)
+
+
+def test_tables_on_demand_bring_only_what_they_are_made_of(spark, tmp_path):
+    import struct
+
+    from headway.operators.prepare import NetworkOnDemand, RawTables
+
+    stops = spark.createDataFrame([("8500001:0:1", "a", 0.5, 0.5, 0), ("8500002:0:1", "b", 0.501, 0.5, 0), ("8500003:0:1", "far", 9.0, 9.0, 0)],
+                                  "stop_id string, stop_name string, stop_lat double, stop_lon double, location_type int")
+    ring = [(0.0, 0.0), (1.0, 0.0), (1.0, 1.0), (0.0, 1.0), (0.0, 0.0)]
+    wkb = struct.pack("<BIII", 1, 3, 1, len(ring)) + b"".join(struct.pack("<dd", *point) for point in ring)
+    shapes = spark.createDataFrame([("a", bytearray(wkb))], "uuid string, wkb_geometry binary")
+    cfg = NetworkConfig(region_uuids=("a",), artifact_root=str(tmp_path))
+    reads = []
+
+    def raw():
+        reads.append(1)
+        return RawTables(stops, None, None, None, None, shapes)
+
+    network = NetworkOnDemand(spark, cfg, raw)
+    assert network.stops.count() == 2 and artifacts.complete_tables(spark, cfg) == {"stops"}
+    assert network.stops.count() == 2 and len(reads) == 1  # read from disk
+    assert network.walking_edges.count() == 2 and artifacts.complete_tables(spark, cfg) == {"stops", "walking_edges"}
+    assert network.delay_levels is None  # no recorded arrivals
+    with pytest.raises(AttributeError):
+        network.no_such_table
+    with pytest.raises(RuntimeError, match="run the preparation first"):  # not all of them
+        artifacts.read_prepared(spark, cfg)
