@@ -15,8 +15,8 @@ from ..functions import fixed_values as fv
 
 ADDED, REMOVED = 1, 2
 _WORD = 64
-# Every seventh bit of a word, as a signed number.
-_WEEKLY = sum(1 << k for k in range(0, _WORD, 7)) - (1 << _WORD)
+# Every seventh bit of a word from each of the first seven on, as signed numbers.
+_WEEKLY_FROM = [m - (1 << _WORD) if m >> (_WORD - 1) else m for m in (sum(1 << k for k in range(n, _WORD, 7)) for n in range(7))]
 
 
 def day_number(date: Column) -> Column:
@@ -27,6 +27,13 @@ def _bit(place: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("bigint"), place.cast("int"))
 
 
+def _weekly(rest: int) -> Column:
+    """The word of a service's weekdays whose first day leaves ``rest`` when divided by seven."""
+    # Day 0 was a Thursday, which is the fourth weekday.
+    each = [(_WEEKLY_FROM[(k - 3 - rest) % 7], d) for k, d in enumerate(fv.DAYS)]
+    return reduce(Column.bitwiseOR, [F.when(F.col(d), F.lit(word)).otherwise(F.lit(0)).cast("bigint") for word, d in each])
+
+
 def service_days(calendar: DataFrame, exceptions: DataFrame) -> DataFrame:
     """``service_id`` and ``service_bits`` of every service that runs at all.
 
@@ -35,9 +42,8 @@ def service_days(calendar: DataFrame, exceptions: DataFrame) -> DataFrame:
     Null weekdays count as false; rows without an interval or a date, and intervals that end before they begin, add nothing.
     Everything of a service is in one row before the bits are set: a few intervals and its exception dates.
     """
-    weekdays = F.array(*[F.coalesce(F.col(d), F.lit(False)) for d in fv.DAYS])
     intervals = calendar.select("service_id", F.struct(day_number(F.col("start_date")).alias("first"), day_number(F.col("end_date")).alias("last"),
-                                                       weekdays.alias("weekdays")).alias("interval"))
+                                                       F.array(*[_weekly(r) for r in range(7)]).alias("weekly")).alias("interval"))
     intervals = intervals.where(F.col("interval.first") <= F.col("interval.last"))
     number = day_number(F.col("date"))
     dates = exceptions.where(F.col("date").isNotNull()).select("service_id", *[
@@ -54,13 +60,10 @@ def service_days(calendar: DataFrame, exceptions: DataFrame) -> DataFrame:
         begin = F.col("first") + w * _WORD
 
         def usual(i: Column) -> Column:
-            # Day 0 was a Thursday, which is the fourth weekday.
-            each = [F.when(i["weekdays"][k], F.call_function("shiftleft", F.lit(_WEEKLY), F.pmod(k - 3 - begin, F.lit(7)).cast("int"))).otherwise(0)
-                    for k in range(7)]
             low, high = F.greatest(i["first"] - begin, F.lit(0)), F.least(i["last"] - begin, F.lit(_WORD - 1))
             every = F.lit(-1).cast("bigint")
             span = F.call_function("shiftleft", every, low).bitwiseAND(F.call_function("shiftrightunsigned", every, _WORD - 1 - high))
-            return F.when((low < _WORD) & (high >= 0), reduce(Column.bitwiseOR, each).bitwiseAND(span)).otherwise(F.lit(0).cast("bigint"))
+            return F.when((low < _WORD) & (high >= 0), F.get(i["weekly"], F.pmod(begin, F.lit(7))).bitwiseAND(span)).otherwise(F.lit(0).cast("bigint"))
 
         def of(days: str) -> Column:
             inside = F.filter(days, lambda d: d.between(begin, begin + (_WORD - 1)))
@@ -89,6 +92,33 @@ def dates_of(bits: str) -> Column:
     return F.transform(F.filter(places, is_set), lambda n: F.date_add(F.lit("1970-01-01").cast("date"), n + F.col(f"{bits}.first")))
 
 
+def date_totals(bits: str) -> dict[str, Column]:
+    """Number, first, last and sum (as day numbers) of the days of a service, by word: no day is looked at by itself."""
+    words, first = F.col(f"{bits}.words"), F.col(f"{bits}.first")
+
+    def total(value) -> Column:
+        return F.aggregate(F.transform(words, value), F.lit(0).cast("bigint"), lambda a, v: a + v)
+
+    def places(w: Column) -> Column:
+        # The sum of the places of the set bits: those with bit k in their number count 2 to the k each.
+        masks = [sum(1 << n for n in range(_WORD) if n >> k & 1) for k in range(6)]
+        signed = [m - (1 << _WORD) if m >> (_WORD - 1) else m for m in masks]
+        return sum((F.bit_count(w.bitwiseAND(F.lit(m))) * (1 << k) for k, m in enumerate(signed)), F.lit(0))
+
+    def ends(place) -> Column:
+        return F.transform(words, lambda w, i: F.when(w != 0, first + i * _WORD + place(F.bin(w))))
+
+    def date(number: Column) -> Column:
+        return F.date_add(F.lit("1970-01-01").cast("date"), number)
+
+    return {
+        "n_days": total(lambda w: F.bit_count(w).cast("bigint")),
+        "first_date": date(F.array_min(ends(lambda digits: F.instr(F.reverse(digits), "1") - 1))),
+        "last_date": date(F.array_max(ends(lambda digits: F.length(digits) - 1))),
+        "day_sum": total(lambda w, i: (F.bit_count(w) * (first + i * _WORD) + places(w)).cast("bigint")),
+    }
+
+
 def with_service_days(stop_times: DataFrame, services: DataFrame) -> DataFrame:
     """Calls of the services that run at all, with their ``service_bits``: for searches by date."""
     return stop_times.join(services, "service_id")

@@ -241,10 +241,7 @@ SELECT service_id, count(*) AS n_days, min(d) AS first_date, max(d) AS last_date
 FROM ox_service_dates GROUP BY service_id""")
 def service_day_counts(t):
     made = service_days.service_days(t.view("fx_service_calendar"), t.view("fx_service_exceptions"))
-    dates = made.select("service_id", service_days.dates_of("service_bits").alias("dates"))
-    total = F.aggregate("dates", F.lit(0).cast("bigint"), lambda a, d: a + service_days.day_number(d))
-    return dates.select("service_id", F.size("dates").cast("bigint").alias("n_days"), F.array_min("dates").alias("first_date"),
-                        F.array_max("dates").alias("last_date"), total.alias("day_sum"))
+    return made.select("service_id", *[c.alias(n) for n, c in service_days.date_totals("service_bits").items()])
 
 
 def dated_stop_times(t) -> DataFrame:

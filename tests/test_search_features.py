@@ -47,6 +47,17 @@ def test_service_days_against_dates(spark):
     assert empty.count() == 0
 
 
+def test_totals_of_service_days_by_word(spark):
+    rng, base = random.Random(8), dt.date(1969, 12, 1)
+    days = {f"s{k}": sorted(rng.sample(range(-200, 700), rng.choice([1, 2, 60, 500]))) for k in range(30)}
+    days |= {"ends": [0, 63, 64, 127], "word": list(range(64)), "one": [63]}
+    exceptions = [(s, base + dt.timedelta(d), 1) for s, some in days.items() for d in some]
+    made = service_days.service_days(spark.createDataFrame([], CALENDAR), spark.createDataFrame(exceptions, EXCEPTIONS))
+    got = made.select("service_id", *[c.alias(n) for n, c in service_days.date_totals("service_bits").items()]).collect()
+    zero = (base - dt.date(1970, 1, 1)).days
+    assert {tuple(r) for r in got} == {(s, len(d), base + dt.timedelta(d[0]), base + dt.timedelta(d[-1]), sum(d) + zero * len(d)) for s, d in days.items()}
+
+
 def network(spark, trips, services=None):
     """Calls of ``trips``: (trip, line, [(stop, arrival, departure)]), daily unless ``services`` names one for each."""
     rows = [(trip, "R", line, line, (services or {}).get(trip, "S"), stop, seq, arr, dep, *[True] * 7)
