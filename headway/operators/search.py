@@ -148,6 +148,7 @@ def _two_rides(requests: DataFrame, stop_times: DataFrame, edges: DataFrame) ->
     last = last.join(board_2, "trip_2").where(
         (F.col("board_seq_2") < F.col("alight_seq_2")) & (F.col("board_stop_2") != F.col("end_id"))
         & (F.col("board_stop_2") != F.col("start_id")))
+    last = cut_lineage(last)
     first = ask.select("query_id", "start_id", "day_bit", "end_id", "deadline_sec", "min_transfer_secs").join(
         calls, F.col("stop_id") == F.col("start_id")).where(_runs(calls) & (F.col("dep") <= F.col("deadline_sec"))).select(
         "query_id", "end_id", "start_id", "min_transfer_secs", F.col("trip_id").alias("trip_1"), F.col("label").alias("label_1"),
@@ -158,11 +159,19 @@ def _two_rides(requests: DataFrame, stop_times: DataFrame, edges: DataFrame) ->
         (F.col("board_seq_1") < F.col("alight_seq_1")) & (F.col("alight_stop_1") != F.col("start_id"))
         & (F.col("alight_stop_1") != F.col("end_id")))
     first = first.select("query_id", "alight_stop_1", *_FIRST_RIDE, (F.col("arr_1") + F.col("min_transfer_secs")).alias("ready"))
+    first = cut_lineage(first)
     # The later vehicle is reached from its own stop or from a stop within walking distance.
     here = last.withColumns({"alight_stop_1": F.col("board_stop_2"), "walk_m": F.lit(0.0), "walk_sec": F.lit(0).cast("long")})
     walks = edges.select(F.col("b_stop_id").alias("board_stop_2"), F.col("a_stop_id").alias("alight_stop_1"),
                          F.col("distance_m").alias("walk_m"), sc.walk_seconds_search(F.col("distance_m")).alias("walk_sec"))
-    near = last.join(walks, "board_stop_2").where(F.col("walk_m") <= F.col("max_walk_m"))
+    # Only walks between two stops that rides of the same request call at, the first one early enough: a destination's rides
+    # are not multiplied by everything around their stops.
+    left = first.groupBy("query_id", "alight_stop_1").agg(F.min("ready").alias("soonest"))
+    asked = last.groupBy("query_id", "board_stop_2").agg(F.max("dep_2").alias("latest"))
+    between = left.join(asked, "query_id").where(F.col("soonest") <= F.col("latest")).select("query_id", "alight_stop_1", "board_stop_2")
+    between = between.join(walks, ["alight_stop_1", "board_stop_2"])
+    near = last.join(between, ["query_id", "board_stop_2"]).where(F.col("walk_m") <= F.col("max_walk_m"))
+    near = near.select(*here.columns)
     reach = here.unionByName(near)
     return first, reach.select("query_id", "alight_stop_1", "board_stop_2", "walk_m", "walk_sec", *_SECOND_RIDE,
                                (F.col("dep_2") - F.col("walk_sec")).alias("leave"))

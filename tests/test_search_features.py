@@ -280,3 +280,12 @@ def test_ride_profile_gives_the_latest_departure_by_any_time(spark):
                if r.block == now // 3600 and r.arr <= now and (r.until is None or r.until > now)]
         assert len(got) == len(dict(got)) and dict(got) == want
     assert search.ride_profile(search.calls_by_day(network(spark, trips)).limit(0), F.lit(horizon).cast("long")).count() == 0
+
+
+def test_walks_of_a_change_only_between_stops_that_rides_call_at(spark):
+    trips = [("a", "A", [(1, 0, 0), (2, 600, 600)]), ("b", "B", [(3, 1500, 1500), (4, 2000, 2000)]), ("early", "B", [(3, 100, 100), (4, 500, 500)])]
+    walks = [(s, 3, 100.0, 120) for s in (2, *range(10, 60))]
+    ask, edges = asked(spark, [(1, 1, 4, "monday", 0.0)]), spark.createDataFrame(walks, NO_WALKS)
+    reach = search._two_rides(ask, network(spark, trips), edges)[1].where("walk_m > 0").collect()
+    assert {(r.alight_stop_1, r.board_stop_2) for r in reach} == {(2, 3)} and len(reach) == 2
+    assert [r.trip_2 for r in search.one_transfer_itineraries(ask, network(spark, trips), edges).collect()] == ["b"]
