@@ -1,4 +1,4 @@
-"""Settings passed to operators; the caller owns the SparkSession, and ``tune_session`` sets four options of it."""
+"""Settings passed to operators; the caller owns the SparkSession, and ``tune_session`` sets six options of it."""
 
 from __future__ import annotations
 
@@ -68,11 +68,16 @@ def tune_session(spark: SparkSession) -> SparkSession:
 
     Generated methods above 8,000 bytes are never compiled by the JVM's optimiser, so stages that outgrow it run
     faster with one generated class per operator. Skewed join partitions are split by adaptive execution.
+
+    Shuffles start with many small partitions, which adaptive execution puts together to its advisory size. A task then
+    sorts so many bytes and no share of the input; with few partitions its memory would grow with the tables.
     """
     for key, value in {
         "spark.sql.codegen.hugeMethodLimit": "8000",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "1024",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m",
         "spark.sql.session.timeZone": "UTC",
     }.items():
         spark.conf.set(key, value)

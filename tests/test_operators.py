@@ -221,3 +221,15 @@ def test_tables_on_demand_bring_only_what_they_are_made_of(spark, tmp_path):
         network.no_such_table
     with pytest.raises(RuntimeError, match="run the preparation first"):  # not all of them
         artifacts.read_prepared(spark, cfg)
+
+
+def test_shuffles_are_split_by_size_whatever_the_number_of_partitions(spark):
+    from headway.config import tune_session
+
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "1")
+        rows = tune_session(spark).range(3_000_000).groupBy(F.xxhash64("id").alias("h")).agg(F.sum("id").alias("s"))
+        assert rows.select(F.spark_partition_id().alias("p")).distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
