@@ -289,3 +289,33 @@ def test_walks_of_a_change_only_between_stops_that_rides_call_at(spark):
     reach = search._two_rides(ask, network(spark, trips), edges)[1].where("walk_m > 0").collect()
     assert {(r.alight_stop_1, r.board_stop_2) for r in reach} == {(2, 3)} and len(reach) == 2
     assert [r.trip_2 for r in search.one_transfer_itineraries(ask, network(spark, trips), edges).collect()] == ["b"]
+
+
+def test_routes_shortly_before_the_deadline_need_no_search_of_the_day(spark, monkeypatch):
+    early = [(f"e{k}", f"E{k % 7}", [(100 + k % 50, 1000 + 10 * k, 1020 + 10 * k), (9, 1300 + 10 * k, 1320 + 10 * k)]) for k in range(300)]
+    late = [(f"l{k}", f"L{k}", [(1 + k // 3, 9000 + 50 * k, 9010 + 50 * k), (9, 9300 + 50 * k, 9320 + 50 * k)]) for k in range(4)]
+    stop_times = network(spark, early + late)
+    edges = spark.createDataFrame([(1, 2, 100.0), (2, 1, 100.0)], "a_stop_id long, b_stop_id long, distance_m double")
+
+    def run(least, *pairs):
+        written, ask = [], search.as_requests(spark.createDataFrame(
+            [(k, start, 9, "monday", 0.0) for k, start in pairs], "query_id long, start_id long, end_id long, day string, q double"), deadline="02:46")
+
+        def counted(df):
+            out = real(df)
+            if "trail" in out.columns and "stop_id" in out.columns:
+                written.append(out.count())
+            return out
+        real = search.cut_lineage
+        with monkeypatch.context() as m:
+            m.setattr(search, "ALIGHTINGS_AT_ONCE", 1, raising=False)
+            m.setattr(search, "LEAST_STRETCH_SECS", least, raising=False)
+            m.setattr(search, "cut_lineage", counted)
+            found = search.ranked_routes(ask, stop_times, edges, None).drop("path").collect()
+        return sorted(map(tuple, found), key=str), max(written)
+
+    routes, most = run(1200, (1, 1))
+    assert [r[0] for r in routes] == [1] * 3 and most < 30
+    # The second has early routes only, the third one has no id.
+    pairs = [(1, 1), (2, 100), (None, 2)]
+    assert run(6000, *pairs)[0] == run(10_000, *pairs)[0]
