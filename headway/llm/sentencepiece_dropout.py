@@ -40,11 +40,11 @@ DROPOUT = 0.1
 SEED = 29
 # Units are cut as rows of these widths, longer ones with a heap; texts are handled in slices of about so many characters.
 WIDTHS = (1, 2, 4, 6, 8, 11, 15, 22, 40)
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 19
 MARK = "▁"
 NONE = np.int64(2**40)
 # Nodes of the tree of draws that a process keeps between slices: about 40 bytes each, its units and pieces included about 100.
-KNOWN_NODES = 2_000_000
+KNOWN_NODES = 1_000_000
 
 
 @dataclass(frozen=True)

@@ -714,3 +714,22 @@ def test_near_copies_of_the_pipeline_take_five_words_and_four_fifths(spark):
         assert len(left) == 1 and left[0][0] == least, (group, left)
     assert sum(kept.values()) == len(groups) and kept[4, "a clean text that no other document holds"] == 1
     assert find(0) == find(1) and kept[2, rows[1][1]] == 0
+
+
+def test_encoder_holds_little_between_and_within_slices():
+    """The memory of a process follows from the limits on a slice and on the kept tree, whatever it has encoded before."""
+    import tracemalloc
+
+    rng, v = np.random.default_rng(3), sentencepiece_dropout.read_vocabulary()
+    v.slots, v.of_char
+    tracemalloc.start()
+    for _ in range(3):
+        letters = rng.integers(97, 123, 2_000_000).astype(np.uint8)
+        letters[rng.random(len(letters)) < 0.15] = 32
+        text = letters.tobytes().decode()
+        size = sentencepiece_dropout.SLICE_CHARS
+        for k in range(0, len(text), size):
+            sentencepiece_dropout.encode_texts(v, [text[k:k + size]], np.zeros(1, np.uint64))
+    peak = tracemalloc.get_traced_memory()[1] >> 20
+    tracemalloc.stop()
+    assert peak < 160
