@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import components
@@ -231,15 +231,14 @@ def verified(own: DataFrame, classes: DataFrame, pairs: DataFrame, order: Order,
 
 def similar_links(own: DataFrame, classes: DataFrame, order: Order, percent: int = PERCENT, shingle: int = SHINGLE) -> DataFrame:
     """(a, b) between nodes: enough links that all linked nodes are connected."""
-    posted = stored(postings(own, order, percent, shingle), "postings")
-    shared = posted.groupBy("tok").agg(F.min("sig").alias("lo"), F.max("sig").alias("hi")).where("lo <> hi").select("tok")
-    shared = stored(shared, "shared")
-    held = stored(posted.join(shared, "tok"), "held")
-    chosen = held.groupBy("tok").agg(F.min(F.struct("pos", "n", "sig")).alias("pivot")).select(
-        "tok", F.col("pivot.sig").alias("p"), F.col("pivot.n").alias("pn"), F.col("pivot.pos").alias("ppos"))
-    met = held.join(stored(chosen, "chosen"), "tok")
+    # One shuffle brings the rows of a shingle together; those of shingles that one node alone posts go no further.
+    whole = Window.partitionBy("tok")
+    posted = postings(own, order, percent, shingle)
+    held = posted.withColumns({"lo": F.min("sig").over(whole), "hi": F.max("sig").over(whole), "pivot": F.min(F.struct("pos", "n", "sig")).over(whole)})
+    held = stored(held.where("lo <> hi").select("tok", "sig", "n", "pos", F.col("pivot.sig").alias("p"), F.col("pivot.n").alias("pn"),
+                                                F.col("pivot.pos").alias("ppos")), "held")
     # One pivot for each node: the one it shares most posted shingles with.
-    votes = met.where((F.col("sig") != F.col("p")) & may_link(percent, "n", "pos", "pn", "ppos")).groupBy("sig", "n", "p", "pn").agg(F.count("*").alias("v"))
+    votes = held.where((F.col("sig") != F.col("p")) & may_link(percent, "n", "pos", "pn", "ppos")).groupBy("sig", "n", "p", "pn").agg(F.count("*").alias("v"))
     pivots = votes.groupBy("sig", "n").agg(F.max(F.struct("v", "p", "pn")).alias("best"))
     first = stored(pivots.select(F.col("sig").alias("a"), F.col("n").alias("an"), F.col("best.p").alias("b"), F.col("best.pn").alias("bn")), "pairs")
     links = stored(verified(own, classes, first, order, percent, shingle), "links")

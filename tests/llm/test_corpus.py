@@ -733,3 +733,24 @@ def test_encoder_holds_little_between_and_within_slices():
     peak = tracemalloc.get_traced_memory()[1] >> 20
     tracemalloc.stop()
     assert peak < 160
+
+
+def test_jaccard_stores_no_shingles_of_one_node(spark, monkeypatch):
+    """Only shingles that several nodes post are written; copies in one text and in exact copies don't count as several."""
+    rng, rows = random.Random(17), {}
+    write = jaccard_join.stored
+    text = lambda: " ".join(f"w{rng.randrange(10**6)}" for _ in range(100))
+
+    def counted(df, label, **options):
+        out = write(df, label, **options)
+        rows[label] = rows.get(label, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(jaccard_join, "stored", counted)
+    texts = [text() for _ in range(120)]
+    near = texts[3] + " more"
+    made = spark.createDataFrame(list(enumerate([*texts, texts[5], near])), "doc_id long, text string").coalesce(2)
+    got = {r.doc_id: r.component_id for r in jaccard_join.jaccard_components(made).collect()}
+    assert got == {i: i for i in range(120)} | {120: 5, 121: 3}
+    rows.pop("sets")
+    assert max(rows.values()) <= len(got), rows
