@@ -42,7 +42,7 @@ SEED = 29
 WIDTHS = (1, 2, 4, 6, 8, 11, 15, 22, 40)
 SLICE_CHARS = 1 << 19
 MARK = "▁"
-NONE = np.int64(2**40)
+NONE = np.int32(2**31 - 1)
 # Nodes of the tree of draws that a process keeps between slices: about 40 bytes each, its units and pieces included about 100.
 KNOWN_NODES = 1_000_000
 
@@ -96,7 +96,7 @@ class Vocabulary:
         """The merges in an open-addressed table: keys (-1 for a free slot), merged ids and ranks."""
         keys, merged, ranks = self.merges
         size = 1 << max((16 * len(keys)).bit_length(), 4)
-        table, ids, order = np.full(size + 1, -1, np.int64), np.full(size + 1, -1, np.int64), np.full(size + 1, NONE, np.int64)
+        table, ids, order = np.full(size + 1, -1, np.int64), np.full(size + 1, -1, np.int32), np.full(size + 1, NONE, np.int32)
         waiting, at = np.arange(len(keys)), _slot(keys, size)
         while len(waiting):
             free = table[at] == -1
@@ -248,23 +248,26 @@ def cut_rows(v: Vocabulary, symbols: np.ndarray, keys: np.ndarray, limit: int, s
     ``steps`` gets, for every turn, the rows that have one, the merge's mixed place and whether it is skipped.
     """
     n, width = symbols.shape
-    sym = symbols.astype(np.int64)
-    begin = np.tile(np.arange(width + 1), (n, 1))
-    out_sym, out_begin = np.full((n, width), -2, np.int64), np.full((n, width), width, np.int64)
+    sym = symbols.astype(np.int32)
+    begin = np.tile(np.arange(width + 1, dtype=np.int32), (n, 1))
+    out_sym, out_begin = np.full((n, width), -2, np.int32), np.full((n, width), width, np.int32)
+    if width == 1:
+        out_sym[:], out_begin[:] = sym, 0
+        return out_sym, out_begin
     rows = np.arange(n)
-    merged, rank = v.pairs(sym[:, :-1], sym[:, 1:]) if width > 1 else (np.zeros((n, 0), np.int64), np.zeros((n, 0), np.int64))
-    column, edge = np.arange(width + 1), np.arange(max(width - 1, 0))
+    merged, rank = v.pairs(sym[:, :-1], sym[:, 1:])
+    column = np.arange(width)
     while len(rows):
-        live = rank.min(axis=1) < NONE if width > 1 else np.zeros(len(rows), bool)
+        k, at = np.arange(len(rows)), rank.argmin(axis=1)
+        live = rank[k, at] < NONE
         if not live.all():
             ended = ~live
             out_sym[rows[ended]], out_begin[rows[ended]] = sym[ended], begin[ended, :width]
-            rows, sym, begin, merged, rank, keys = rows[live], sym[live], begin[live], merged[live], rank[live], keys[live]
+            rows, sym, begin, merged, rank, keys, at = rows[live], sym[live], begin[live], merged[live], rank[live], keys[live], at[live]
             if not len(rows):
                 break
-        at = rank.argmin(axis=1)
-        k = np.arange(len(rows))
-        made = np.ones(len(rows), bool)
+            k = np.arange(len(rows))
+        new, made = merged[k, at], None
         if limit or steps is not None:
             place = _place(begin[k, at], begin[k, at + 1], begin[k, at + 2])
             made = (mix(keys ^ place) >> np.uint64(11)) >= np.uint64(limit)
@@ -273,22 +276,20 @@ def cut_rows(v: Vocabulary, symbols: np.ndarray, keys: np.ndarray, limit: int, s
             # A merge that is skipped never has its turn again.
             rank[k[~made], at[~made]] = NONE
         # Right of a merge everything moves one place to the left.
-        new, from_ = merged[k, at], np.where(made, at, width)[:, None]
-        moved = np.minimum(column + (column > from_), width)
-        begin = np.take_along_axis(begin, moved, 1)
-        sym = np.take_along_axis(sym, np.minimum(moved[:, :width], width - 1), 1)
-        moved = np.minimum(edge + (edge >= from_), width - 2)
-        merged, rank = np.take_along_axis(merged, moved, 1), np.take_along_axis(rank, moved, 1)
-        k, at = k[made], at[made]
+        right = column >= (at if made is None else np.where(made, at, width))[:, None]
+        np.copyto(begin[:, 1:-1], begin[:, 2:], where=right[:, :-1])
+        np.copyto(sym[:, 1:-1], sym[:, 2:], where=right[:, :-2])
+        np.copyto(merged[:, :-1], merged[:, 1:], where=right[:, :-2])
+        np.copyto(rank[:, :-1], rank[:, 1:], where=right[:, :-2])
+        if made is not None:
+            k, at, new = k[made], at[made], new[made]
         sym[k, -1] = -2
-        sym[k, at] = new[made]
+        sym[k, at] = new
         rank[k, -1] = NONE
-        for side in (0, 1):
-            # The pair that ends with the new piece, and the one that begins with it.
-            have = at > 0 if side == 0 else at < width - 1
-            r, p = k[have], at[have] - 1 + side
-            if len(r):
-                merged[r, p], rank[r, p] = v.pairs(sym[r, p], sym[r, p + 1])
+        # The pair that ends with the new piece, and the one that begins with it.
+        before, after = at > 0, at < width - 1
+        r, p = np.concatenate([k[before], k[after]]), np.concatenate([at[before] - 1, at[after]])
+        merged[r, p], rank[r, p] = v.pairs(sym[r, p], sym[r, p + 1])
     return out_sym, out_begin
 
 

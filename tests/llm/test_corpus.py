@@ -754,3 +754,17 @@ def test_jaccard_stores_no_shingles_of_one_node(spark, monkeypatch):
     assert got == {i: i for i in range(120)} | {120: 5, 121: 3}
     rows.pop("sets")
     assert max(rows.values()) <= len(got), rows
+
+
+def test_rows_of_units_are_cut_in_little_memory(vocabulary):
+    """20,000 rows of 22 symbols: what is held are a few arrays of 4-byte numbers, and no places of all symbols anew at each turn."""
+    import tracemalloc
+
+    rng = np.random.default_rng(5)
+    symbols, keys = vocabulary.of_char[rng.integers(97, 123, (20_000, 22))].astype(np.int64), rng.integers(0, 2**60, 20_000).astype(np.uint64)
+    vocabulary.slots
+    tracemalloc.start()
+    sentencepiece_dropout.cut_rows(vocabulary, symbols, keys, int(0.1 * (1 << 53)), [])
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    assert peak < 28
