@@ -9,8 +9,8 @@ decode to the space and the text have no tokens.
 
 Most words occur many times, so a text is cut into units first: a space that stands between two characters that are no
 white space begins a unit. Neither model has a token across such a place (the byte-level split never does, and pieces
-hold no mark behind another character, which is checked), so a unit is encoded and aligned once for a block of texts,
-strung together with others.
+hold no mark behind another character, which is checked), so a unit is aligned once for a block of texts and encoded once
+for a block or, where it came up in the first blocks of a task, for all that follow, strung together with others.
 
 Places where tokens of both end cut a text into groups. Between two neighbouring ends of either side lies a part of one
 A and one B token, so these parts are the links, one for each pair of tokens that overlap. The links of an id pair are
@@ -32,6 +32,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property, lru_cache
 from itertools import chain
+from operator import attrgetter, itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -47,8 +48,10 @@ BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 # Bytes of text that make a block, whose distinct pairs are counted together; a longer text is a block of its own.
 BLOCK_BYTES = 2 << 20
-# Bytes of distinct units that are strung together for one call of a tokenizer.
-STRUNG_BYTES = 1 << 13
+# Bytes of distinct units that are strung together for one text of a tokenizer, whose time grows faster than a text.
+STRUNG_BYTES = 1 << 11
+# Bytes of the units whose tokens a task keeps for its later blocks.
+KNOWN_BYTES = 4 << 20
 SPACE_MARK = "▁"
 
 
@@ -148,6 +151,12 @@ class Tokens:
         kept = np.repeat(good, self.counts)
         return Tokens(self.ids[kept], self.ends[kept], np.where(good, self.counts, 0))
 
+    def picked(self, places: np.ndarray, decoded: Decoded) -> Tokens:
+        """The tokens of the texts at these places, in this order, strung together anew."""
+        begin, n = (np.cumsum(self.counts) - self.counts)[places], self.counts[places]
+        ids = self.ids[np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
+        return Tokens(ids, np.cumsum(decoded.sizes[ids]), n)
+
 
 def _side(ids: np.ndarray, coarse: np.ndarray, counts: np.ndarray, decoded: Decoded, begins: np.ndarray, data: np.ndarray,
           sizes: np.ndarray) -> tuple[Tokens, np.ndarray]:
@@ -180,11 +189,12 @@ def tokenise(pair: TokenizerPair, texts: list[str]) -> tuple[Tokens, Tokens, np.
     counts = np.array([len(e) for e in made], np.int64)
     total = int(counts.sum())
     ids = np.fromiter(chain.from_iterable(e.ids for e in made), np.int64, total)
-    offsets = np.fromiter(chain.from_iterable(chain.from_iterable(e.offsets for e in made)), np.int64, 2 * total)[1::2]
+    offsets = np.fromiter(map(itemgetter(1), chain.from_iterable(e.offsets for e in made)), np.int64, total)
     left, good_a = _side(ids, byte_of[offsets + np.repeat(first_char, counts)], counts, of_a, begins, data, sizes)
     messages = b.encode(texts, return_type="proto", num_threads=1)
     counts = np.array([len(m.pieces) for m in messages], np.int64)
-    spans = np.fromiter(chain.from_iterable((p.id, p.end) for m in messages for p in m.pieces), np.int64, 2 * int(counts.sum()))
+    pieces = chain.from_iterable(m.pieces for m in messages)
+    spans = np.fromiter(chain.from_iterable(map(attrgetter("id", "end"), pieces)), np.int64, 2 * int(counts.sum()))
     ids, coarse = spans[::2], spans[1::2]
     right, good_b = _side(ids, coarse + np.repeat(begins + 1, counts), counts, of_b, begins, data, sizes)
     good = good_a & good_b
@@ -339,15 +349,44 @@ def tokenise_units(pair: TokenizerPair, raw: bytes, starts: np.ndarray, stops: n
         again = tokenise(pair, [parts[i][1:].decode() for i in alone.tolist()])
         sides = [_merged(t, r, alone) for t, r in zip(sides, again[:2])]
     back = np.argsort(order)
-    made = []
     _, of_a, _, of_b = pair.tools
-    for side, decoded in zip(sides, (of_a, of_b)):
-        begin, n = (np.cumsum(side.counts) - side.counts)[back], side.counts[back]
-        ids = side.ids[np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))]
-        made.append(Tokens(ids, np.cumsum(decoded.sizes[ids]), n))
+    made = [side.picked(back, decoded) for side, decoded in zip(sides, (of_a, of_b))]
     return *made, np.where(made[0].counts > 0, size, 0)
 
 
+class KnownUnits:
+    """Tokens of units that earlier blocks of a task had, so that a frequent unit is encoded once in a task.
+
+    Units are kept until they have ``KNOWN_BYTES``, others are encoded once a block. Bytes are compared.
+    """
+
+    def __init__(self):
+        nothing = np.zeros(0, np.int64)
+        self.place: dict[bytes, int] = {}
+        self.room, self.sides = KNOWN_BYTES, [Tokens(nothing, nothing, nothing)] * 2
+
+    def tokenise(self, pair: TokenizerPair, raw: bytes, starts: np.ndarray, stops: np.ndarray) -> tuple[Tokens, Tokens, np.ndarray]:
+        """As :func:`tokenise_units`."""
+        parts = [raw[i:j] for i, j in zip(starts.tolist(), stops.tolist())]
+        places = np.fromiter((self.place.get(part, -1) for part in parts), np.int64, len(parts))
+        new, known = np.flatnonzero(places < 0), len(self.sides[0].counts)
+        sides = self.sides
+        if len(new):
+            made = tokenise_units(pair, raw, starts[new], stops[new])
+            places[new] = known + np.arange(len(new))
+            # Ends are made when units are picked.
+            sides = [Tokens(np.concatenate([old.ids, t.ids]), old.ends, np.concatenate([old.counts, t.counts])) for old, t in zip(sides, made)]
+            taken = np.cumsum((stops - starts)[new])
+            kept = int(np.searchsorted(taken, self.room, side="right"))
+            if kept:
+                self.room -= int(taken[kept - 1])
+                self.place.update(zip((parts[i] for i in new[:kept].tolist()), range(known, known + kept)))
+                self.sides = [Tokens(t.ids[:int(t.counts[:known + kept].sum())], t.ends, t.counts[:known + kept]) for t in sides]
+        _, of_a, _, of_b = pair.tools
+        made = [side.picked(places, decoded) for side, decoded in zip(sides, (of_a, of_b))]
+        return *made, np.where(made[0].counts > 0, stops - starts, 0)
+
+
 def _merged(side: Tokens, again: Tokens, places: np.ndarray) -> Tokens:
     """``side`` with the tokens of ``again`` at these places, which have none yet; the ends no longer hold."""
     counts = side.counts.copy()
@@ -389,7 +428,7 @@ def _kind(decoded: Decoded) -> type:
 SHEET = ("a", "n_a", "b", "n_b")
 
 
-def _block(pair: TokenizerPair, texts: list[str]) -> tuple[list[bytes | None], dict[str, bytes], np.ndarray, np.ndarray]:
+def _block(pair: TokenizerPair, texts: list[str], known: KnownUnits) -> tuple[list[bytes | None], dict[str, bytes], np.ndarray, np.ndarray]:
     """Units of each text (None where it has no tokens), tokens of the distinct units, and the block's pairs with their links."""
     encoded = [(" " + t).encode() if t else b"" for t in texts]
     raw = b"".join(encoded)
@@ -402,7 +441,7 @@ def _block(pair: TokenizerPair, texts: list[str]) -> tuple[list[bytes | None], d
     owner = filled[np.searchsorted(begins, starts, side="right") - 1]
     first, unit = distinct_units(data, starts)
     stops = np.append(starts[1:], len(data))
-    a, b, unit_sizes = tokenise_units(pair, raw, starts[first], stops[first])
+    a, b, unit_sizes = known.tokenise(pair, raw, starts[first], stops[first])
     good = sizes > 0
     good[owner[a.counts[unit] == 0]] = False
     made = align_tokens(a.ends, b.ends, unit_sizes)
@@ -425,7 +464,7 @@ def token_blocks(docs: DataFrame, pair: TokenizerPair, id_col: str = "doc_id", t
     pair_type = pa.list_(pa.struct([("pair", pa.int64()), ("n", pa.int64())]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        partition, done = TaskContext.get().partitionId(), 0
+        partition, done, known = TaskContext.get().partitionId(), 0, KnownUnits()
         for batch in batches:
             size = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_numpy(zero_copy_only=False)
             group = np.cumsum(size) // BLOCK_BYTES
@@ -434,7 +473,7 @@ def token_blocks(docs: DataFrame, pair: TokenizerPair, id_col: str = "doc_id", t
                 if hi <= lo:
                     continue
                 part = batch.slice(lo, hi - lo)
-                rows, sheet, codes, n = _block(pair, [t or "" for t in part.column(text_col).to_pylist()])
+                rows, sheet, codes, n = _block(pair, [t or "" for t in part.column(text_col).to_pylist()], known)
                 rest = [None] * (hi - lo - 1)
                 pairs = pa.ListArray.from_arrays(
                     pa.array(np.concatenate([[0], np.full(hi - lo, len(codes))]).astype(np.int32)),

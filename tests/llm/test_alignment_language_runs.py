@@ -119,6 +119,31 @@ def test_packed_units_and_equal_hashes(monkeypatch):
     assert [raw[starts[first[b]]:starts[first[b]] + 3] for b in back] == [b" aa", b" bb", b" aa", b" cc"]
 
 
+@pytest.mark.parametrize("room", [0, 40, 1 << 20])
+def test_units_of_earlier_blocks_are_not_encoded_again(pair, monkeypatch, room):
+    monkeypatch.setattr(token_alignment, "KNOWN_BYTES", room)
+    asked, plain = [], token_alignment.tokenise_units
+
+    def counted(pair, raw, starts, stops):
+        asked.append([raw[i:j] for i, j in zip(starts.tolist(), stops.tolist())])
+        return plain(pair, raw, starts, stops)
+
+    monkeypatch.setattr(token_alignment, "tokenise_units", counted)
+    known = token_alignment.KnownUnits()
+    texts = [t for t in ODD if t and "▁" not in t]
+    for block in (texts, texts[::-1], ["the same text", "twice new", "the 🧿 é"], ["▁x", "the ▁x"]):
+        rows, sheet, codes, n = token_alignment._block(pair, block, known)
+        alone = token_alignment._block(pair, block, token_alignment.KnownUnits())
+        assert (rows, sheet) == alone[:2] and codes.tolist() == alone[2].tolist() and n.tolist() == alone[3].tolist()
+        assert sum(map(len, known.place)) <= room
+    first, again, more = set(asked[0]), set(asked[2]), set(asked[-4])
+    if room == 1 << 20:
+        # Each block is followed by one on its own; the second block of the shared units asks for nothing.
+        assert asked[1] == asked[0] and again == set(asked[1]) and not more & first
+    if room == 0:
+        assert len(asked) == 8
+
+
 # ---- 12 -----------------------------------------------------------------------------------------------------------
 
 
