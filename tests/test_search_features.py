@@ -319,3 +319,26 @@ def test_routes_shortly_before_the_deadline_need_no_search_of_the_day(spark, mon
     # The second has early routes only, which takes another stretch; the third one has no id.
     got = {(r[0], r[5]) for r in run(6000, (1, 1), (2, 100), (None, 2))[0]}
     assert got == {(1, 9110), (1, 9060), (1, 9040), (2, 3520), (2, 3020), (2, 2520), (None, 9160), (None, 8990), (None, 8940)}
+
+
+def test_rides_without_a_change_bound_the_search(spark, monkeypatch):
+    """Three lines run from the origin shortly before the deadline, so no label of the search goes below the third's departure."""
+    trips = [(f"x{k}", f"X{k % 5}", [(1, 60 * k, 60 * k), (2, 60 * k + 300, 60 * k + 300)]) for k in range(60)]
+    trips += [(f"y{k}", f"Y{k}", [(4, 50 * k, 50 * k), (2, 50 * k + 200, 50 * k + 200)]) for k in range(60)]
+    walks = [(1, 3, 50.0, 0), (3, 1, 50.0, 0)]
+    calls, edges = network(spark, trips), spark.createDataFrame(walks, NO_WALKS)
+    ask = asked(spark, [(1, 1, 2, "monday", 0.0), (2, 3, 2, "monday", 0.0)], max_routes=3)
+    floors, ridden = [], search.ride_back
+
+    def seen(labels, *rest):
+        floors.append({(r.query_id, r.floor_sec) for r in labels.select("query_id", "floor_sec").distinct().collect()})
+        return ridden(labels, *rest)
+
+    monkeypatch.setattr(search, "ride_back", seen)
+    found = search.ranked_routes(ask, calls, edges, None).orderBy("query_id", "option").collect()
+    assert [(r.query_id, r.dep_sec, r.lines) for r in found] == [
+        (1, 3540, "X4"), (1, 3480, "X3"), (1, 3420, "X2"), (2, 3480, "X4"), (2, 3420, "X3"), (2, 3360, "X2")]
+    assert floors[0] == {(1, 3420), (2, 3360)}
+    # The bound never changes what is found.
+    monkeypatch.setattr(search, "_with_direct_floors", lambda waiting, *rest: waiting.withColumn("direct_sec", F.lit(None).cast("long")))
+    assert search.ranked_routes(ask, calls, edges, None).orderBy("query_id", "option").collect() == found
