@@ -335,6 +335,7 @@ def test_rides_without_a_change_bound_the_search(spark, monkeypatch):
         return ridden(labels, *rest)
 
     monkeypatch.setattr(search, "ride_back", seen)
+    monkeypatch.setattr(search, "ALIGHTINGS_AT_ONCE", 1)
     found = search.ranked_routes(ask, calls, edges, None).orderBy("query_id", "option").collect()
     assert [(r.query_id, r.dep_sec, r.lines) for r in found] == [
         (1, 3540, "X4"), (1, 3480, "X3"), (1, 3420, "X2"), (2, 3480, "X4"), (2, 3420, "X3"), (2, 3360, "X2")]
